@@ -40,53 +40,81 @@ def is_geography(data_type: T.DataType) -> bool:
     return data_type.simpleString() == GEOGRAPHY.simpleString()
 
 
+def _let(value: Column, body) -> Column:
+    """Bind a value to a name inside one expression, so that using it several times computes it once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _outline(body: Column) -> Column:
     brackets = F.regexp_replace(body, r"[^(),]+", "")
     lists = F.regexp_replace(F.regexp_replace(brackets, r"\(,*\)", "r"), r"r,(?=r)", "")
     return F.regexp_replace(F.regexp_replace(lists, r"\(r\)", "p"), r"p,(?=p)", "")
 
 
+def _malformed(text: Column, as_type) -> Column:
+    return F.raise_error(F.concat(F.lit("malformed geography text: "), text)).cast(as_type)
+
+
 def _vertex(text: Column, whole: Column) -> Column:
-    parts = F.split(F.trim(text), r"\s+")
-    lon = F.get(parts, F.lit(0)).try_cast("double")
-    lat = F.get(parts, F.lit(1)).try_cast("double")
-    good = (F.size(parts) == 2) & lon.isNotNull() & lat.isNotNull()
-    bad = F.raise_error(F.concat(F.lit("malformed geography text: "), whole)).cast(VERTEX)
-    return F.when(good, F.struct(lon.alias("lon"), lat.alias("lat"))).otherwise(bad)
+    def numbers(parts: Column) -> Column:
+        bad = _malformed(whole, "double")
+        lat = F.when(F.get(parts, F.lit(2)).isNull(), F.get(parts, F.lit(1)).try_cast("double"))
+        return F.struct(
+            F.coalesce(F.get(parts, F.lit(0)).try_cast("double"), bad).alias("lon"), F.coalesce(lat, bad).alias("lat")
+        )
+
+    return _let(F.split(F.trim(text), r"\s+"), numbers)
 
 
 def wkt_to_geo(text: Column | str) -> Column:
     """``CAST(text AS GEOGRAPHY)``; NULL stays NULL and malformed text raises."""
     text = _col(text)
-    kind = F.lower(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
-    body = F.trim(F.regexp_replace(text, r"^\s*[A-Za-z]+\s*", ""))
-    empty = F.lower(body) == "empty"
-    outline = _outline(body)
-    known = F.lit(False)
-    for name, allowed in OUTLINES.items():
-        known = known | ((kind == name) & outline.isin(*allowed))
-    known = known & ((kind != "point") | ~body.contains(","))
-
-    # Bring every kind to three levels, then take the levels apart from the outside in.
-    flat = F.regexp_replace(body, r"^[\s(]+|[\s)]+$", "")
-    many_points = F.regexp_replace(F.regexp_replace(flat, r"[()]", ""), r"\s*,\s*", ")),((")
-    many_lines = F.regexp_replace(flat, r"\)\s*,\s*\(", ")),((")
-    levelled = (
-        F.when(kind == "multipoint", many_points).when(kind == "multilinestring", many_lines).otherwise(flat)
-    )
-    shapes = F.transform(
-        F.split(levelled, r"\)\s*\)\s*,\s*\(\s*\("),
-        lambda shape: F.transform(
-            F.split(shape, r"\)\s*,\s*\("),
-            lambda ring: F.transform(F.split(ring, ","), lambda vertex: _vertex(vertex, text)),
+
+    def split_kind(whole: Column) -> Column:
+        kind = F.lower(F.regexp_extract(whole, r"^\s*([A-Za-z]+)", 1))
+        body = F.trim(F.regexp_replace(whole, r"^\s*[A-Za-z]+\s*", ""))
+        return F.struct(whole.alias("whole"), kind.alias("kind"), body.alias("body"))
+
+    def check(v: Column) -> Column:
+        fitting = F.concat_ws(" ", v["kind"], v["outline"]).isin([f"{name} {o}" for name, allowed in OUTLINES.items() for o in allowed])
+        single = (v["kind"] != "point") | ~v["body"].contains(",")
+        empty = (F.lower(v["body"]) == "empty") & v["kind"].isin(*OUTLINES)
+        return F.when(empty, F.lit("empty")).when(fitting & single, v["kind"])
+
+    def levels(v: Column) -> Column:
+        # Bring every kind to three levels, then take the levels apart from the outside in.
+        flat = F.regexp_replace(v["body"], r"^[\s(]+|[\s)]+$", "")
+        many_points = F.regexp_replace(F.regexp_replace(flat, r"[()]", ""), r"\s*,\s*", ")),((")
+        many_lines = F.regexp_replace(flat, r"\)\s*,\s*\(", ")),((")
+        levelled = F.when(v["kind"] == "multipoint", many_points).when(v["kind"] == "multilinestring", many_lines).otherwise(flat)
+        return F.transform(
+            F.split(levelled, r"\)\s*\)\s*,\s*\(\s*\("),
+            lambda shape: F.transform(
+                F.split(shape, r"\)\s*,\s*\("),
+                lambda ring: F.transform(F.split(ring, ","), lambda vertex: _vertex(vertex, v["whole"])),
+            ),
+        )
+
+    def value(v: Column) -> Column:
+        none = F.array().cast(GEOGRAPHY["shapes"].dataType)
+        shapes = (
+            F.when(v["found"] == "empty", none)
+            .when(v["found"].isNotNull(), levels(v))
+            .otherwise(_malformed(v["whole"], none_type))
+        )
+        return F.struct(v["kind"].alias("kind"), shapes.alias("shapes"))
+
+    none_type = GEOGRAPHY["shapes"].dataType
+    parsed = _let(
+        split_kind(text),
+        lambda a: _let(
+            F.struct(a["whole"].alias("whole"), a["kind"].alias("kind"), a["body"].alias("body"), _outline(a["body"]).alias("outline")),
+            lambda b: _let(
+                F.struct(b["whole"].alias("whole"), b["kind"].alias("kind"), b["body"].alias("body"), check(b).alias("found")), value
+            ),
         ),
     )
-    none = F.array().cast(GEOGRAPHY["shapes"].dataType)
-    bad = F.raise_error(F.concat(F.lit("malformed geography text: "), text)).cast(GEOGRAPHY)
-    value = F.when(empty & kind.isin(*OUTLINES), F.struct(kind.alias("kind"), none.alias("shapes"))).when(
-        known, F.struct(kind.alias("kind"), shapes.alias("shapes"))
-    )
-    return F.when(text.isNull(), F.lit(None).cast(GEOGRAPHY)).otherwise(value.otherwise(bad))
+    return F.when(text.isNotNull(), parsed)
 
 
 def geo_to_wkt(geo: Column | str) -> Column:

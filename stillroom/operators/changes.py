@@ -136,9 +136,10 @@ def upsert(df: DataFrame, changes: DataFrame, match: Match | Pairs, unique_targe
         return df.join(_unique_keys(keys), _on(match), "left_anti").unionByName(inserts)
 
     updated = update_from(df, changes, match)
-    # Keys both sides have: only the target's key columns are read, and the result is no larger than the changeset.
-    target_keys = df.select([_c(t) for _, t in match.pairs])
-    known = target_keys.join(keys.distinct(), _on(match), "left_semi").distinct()
+    # Keys both sides have: only the target's key columns are read, copies of a key collapse on the map side, and
+    # the result is no larger than the changeset. A changeset small enough to broadcast filters before that.
+    target_keys = df.select([_c(t) for _, t in match.pairs]).distinct()
+    known = target_keys.join(keys.distinct(), _on(match), "left_semi")
     known = known.select([_c(t).alias(SOURCE_PREFIX + s) for s, t in match.pairs])
     return updated.unionByName(inserts.join(known, _on(match), "left_anti"))
 

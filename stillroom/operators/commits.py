@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stillroom.functions.expressions import content_hash, epoch_to_utc
 from stillroom.operators.model import Model
+from stillroom.session import scratch_path
 
 FILE_SIZE_LIMIT = 10 * 1024**2
 FILES_PER_PART = 10_000
@@ -55,33 +56,55 @@ def list_part(file_name: Column, parts: Column) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(file_name.cast("binary")), 1, 8), 16, 10).cast("bigint"), parts)
 
 
-def changed_file_lists(files: DataFrame, files_per_part: int = FILES_PER_PART) -> DataFrame:
-    """``(commit_id, part, changed_files)``: the files of a commit as comma-joined text, sorted by name.
+def _spread(changes: DataFrame, files_per_part: int) -> DataFrame:
+    """Changes with the list part each belongs to, and the totals of commits too large for one part.
 
-    A commit of up to ``files_per_part`` files gives one row. A larger one is spread by a hash of the file
-    name over as many rows as it needs, so no task ever holds all files of a huge commit; together its rows
-    list every file once. ``files`` has one row per changed file of a commit.
+    The large commits are stored first: the planner then knows their exact size, so it broadcasts them only
+    when they are few and otherwise joins by key with the changes on the side whose hot keys can split.
     """
-    large = (
-        files.groupBy("commit_id")
-        .agg(F.count(F.lit(1)).alias("__files"))
-        .filter(F.col("__files") > files_per_part)
-        .select("commit_id", F.ceil(F.col("__files") / files_per_part).cast("bigint").alias("__parts"))
+    totals = commit_totals(changes)
+    large = totals.filter(F.col("number_of_changed_files") > files_per_part).select(
+        "commit_id",
+        F.ceil(F.col("number_of_changed_files") / files_per_part).cast("bigint").alias("__parts"),
+        F.struct([c for c in totals.columns if c != "commit_id"]).alias("__totals"),
     )
-    # Few commits are large: after the filter the optimizer sees the real size and broadcasts, or splits hot keys.
-    spread = files.join(large, "commit_id", "left")
+    path = scratch_path(changes.sparkSession, "large-commits")
+    large.write.parquet(path)
+    joined = changes.join(changes.sparkSession.read.parquet(path), "commit_id", "left")
     part = F.when(F.col("__parts").isNull(), F.lit(0).cast("bigint")).otherwise(list_part(F.col("file_name"), F.col("__parts")))
-    return (
-        spread.groupBy("commit_id", part.alias("part"))
-        .agg(F.array_sort(F.collect_list("file_name")).alias("__names"))
-        .select("commit_id", "part", F.array_join("__names", SEPARATOR).alias("changed_files"))
-    )
+    # Partition by commit and part: by commit alone, all parts of a huge commit would meet in one task again.
+    return joined.withColumn("part", part).repartition("commit_id", "part")
 
 
 def commit_facts(changes: DataFrame, files_per_part: int = FILES_PER_PART) -> DataFrame:
-    """Totals with the list of changed files; one row per commit, and one per list part for huge commits."""
-    lists = changed_file_lists(changes.select("commit_id", "file_name"), files_per_part)
-    return lists.join(commit_totals(changes), "commit_id")
+    """Totals of each commit with its changed files as comma-joined text, sorted by name.
+
+    A commit of up to ``files_per_part`` files gives one row. A larger one is spread by a hash of the file
+    name over as many rows as it needs, each with the commit's totals; together they list every file once.
+    No task ever holds all files of a huge commit. ``changes`` has one row per changed file of a commit.
+    """
+    grouped = _spread(changes, files_per_part).groupBy("commit_id", "part").agg(
+        F.any_value("__totals").alias("__totals"),
+        F.sum("insertions").alias("insertions"),
+        F.sum("deletions").alias("deletions"),
+        F.count(F.lit(1)).alias("number_of_changed_files"),
+        F.array_join(F.array_sort(F.collect_list("file_name")), SEPARATOR).alias("changed_files"),
+    )
+    own = {
+        "insertions": F.col("insertions"),
+        "deletions": F.col("deletions"),
+        "number_of_changed_lines": F.col("insertions") + F.col("deletions"),
+        "number_of_changed_files": F.col("number_of_changed_files"),
+    }
+    totals = [F.coalesce(F.col("__totals")[name], value).alias(name) for name, value in own.items()]
+    return grouped.select("commit_id", "part", *totals, "changed_files")
+
+
+def changed_file_lists(files: DataFrame, files_per_part: int = FILES_PER_PART) -> DataFrame:
+    """``(commit_id, part, changed_files)`` alone, from one row per changed file; parts as in ``commit_facts``."""
+    nothing = F.lit(0).cast("bigint")
+    changes = files.select("commit_id", "file_name", nothing.alias("insertions"), nothing.alias("deletions"))
+    return commit_facts(changes, files_per_part).select("commit_id", "part", "changed_files")
 
 
 def explode_files(commits: DataFrame) -> DataFrame:

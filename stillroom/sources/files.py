@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stillroom.functions.expressions import quote_column
+from stillroom.functions.expressions import epoch_to_utc, quote_column
 from stillroom.schema import align, convert, enforce_not_null, schema_from_header
 
 # Order of the fields in a date, by style name.
@@ -82,7 +82,9 @@ def _typed(text, target, date_style, date_format, timestamp_format, locale) -> C
         return _date(text, date_style, date_format, locale)
     if isinstance(target, (T.TimestampNTZType, T.TimestampType)) and timestamp_format:
         if locale:
-            return _localised(text, target, "timestampNTZFormat" if isinstance(target, T.TimestampNTZType) else "timestampFormat", timestamp_format, locale)
+            # Only the zoned parser takes a locale: read the text as UTC, then drop the zone where none is declared.
+            zoned = _localised(text, T.TimestampType(), "timestampFormat", timestamp_format, locale)
+            return zoned if isinstance(target, T.TimestampType) else epoch_to_utc(F.unix_micros(zoned).cast("decimal(20,0)") / 1_000_000)
         name = "to_timestamp_ntz" if isinstance(target, T.TimestampNTZType) else "to_timestamp_ltz"
         return F.call_function(name, text, F.lit(timestamp_format))
     return convert(text, T.StringType(), target)
@@ -108,7 +110,7 @@ def _localised(text: Column, target: T.DataType, option: str, pattern: str, loca
     parsed = F.from_csv(
         text,
         f"v {target.simpleString()}",
-        {option: pattern, "locale": locale.replace("_", "-"), "sep": "\u0001", "mode": "FAILFAST"},
+        {option: pattern, "locale": locale.replace("_", "-"), "timeZone": "UTC", "sep": "\u0001", "mode": "FAILFAST"},
     )
     return F.when(text.isNotNull(), parsed["v"])
 

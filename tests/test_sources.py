@@ -1,0 +1,301 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stillroom import files
+from stillroom.schema import TypeMappingError, align, data_type, describe, enforce_not_null, schema_from_header, struct_from_types, with_overrides
+from stillroom.sources.files import attach, detach, external_table, load_csv, load_csv_with_header_file, load_parquet, object_store_options
+from stillroom.sources.limits import QueryTooLargeError, guard_size, sample
+from stillroom.sources.rows import fetch_rows, insert_rows, load_result, map_columns, pandas_to_df, rows_to_df
+
+
+def put(path, name, text, encoding="utf-8"):
+    target = path(name)
+    import os
+
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with open(target, "w", encoding=encoding, newline="") as f:
+        f.write(text)
+    return target
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+# --- declared types -------------------------------------------------------------------------------------
+
+
+def test_type_names():
+    assert data_type("TEXT") == T.StringType()
+    assert data_type("varchar") == T.StringType()
+    assert data_type("small_int") == T.ShortType()
+    assert data_type("int64") == T.LongType()
+    assert data_type("oid") == T.LongType()
+    assert data_type("numeric(8,2)") == T.DecimalType(8, 2)
+    assert data_type("numeric(8)") == T.DecimalType(8, 0)
+    assert data_type("numeric") == T.DecimalType(18, 9)
+    assert data_type("double precision") == T.DoubleType()
+    assert data_type("timestamp") == T.TimestampNTZType()
+    assert data_type("timestamp_tz") == T.TimestampType()
+    assert data_type("TEXT en_US").simpleString() == "string collate en_USA"
+    with pytest.raises(TypeMappingError):
+        data_type("array")
+
+
+def test_overrides_leave_their_argument_alone():
+    schema = struct_from_types([("a", "double"), ("b", "text", False)])
+    wanted = {"a": {"sqltype": "numeric", "precision": 18, "scale": 3}}
+    for _ in range(2):
+        changed = with_overrides(schema, wanted)
+        assert describe(changed) == [("a", "decimal(18,3)", True), ("b", "string", False)]
+    assert wanted == {"a": {"sqltype": "numeric", "precision": 18, "scale": 3}}
+    with pytest.raises(TypeMappingError):
+        with_overrides(schema, {"missing": {"sqltype": "int"}})
+    with pytest.raises(TypeMappingError):
+        with_overrides(schema, {"a": {"sqltype": "int", "precision": 3}})
+    with pytest.raises(TypeMappingError):
+        with_overrides(schema, {"a": {"size": 3}})
+
+
+def test_not_null_is_enforced(spark):
+    schema = struct_from_types([("a", "int", False), ("b", "text")])
+    df = spark.createDataFrame([(1, None), (None, "x")], "a int, b string")
+    assert rows(enforce_not_null(df.filter("a is not null"), schema)) == [(1, None)]
+    with pytest.raises(Exception, match="NULL in column a"):
+        enforce_not_null(df, schema).collect()
+
+
+def test_align_by_name(spark):
+    schema = struct_from_types([("a", "big_int"), ("b", "text"), ("c c", "double")])
+    df = spark.createDataFrame([("x", 1)], "b string, a int")
+    assert rows(align(df, schema)) == [(1, "x", None)]
+    with pytest.raises(ValueError, match="does not have"):
+        align(df.withColumn("zz", F.lit(1)), schema)
+    with pytest.raises(ValueError, match="missing"):
+        align(df, schema, allow_missing=False)
+
+
+# --- CSV ------------------------------------------------------------------------------------------------
+
+
+def test_csv_with_mark_spaces_and_null_token(spark, path):
+    source = put(path, "customers.csv", "\ufeffCustomer ID,Customer Name,Loyalty Reward Points,Segment\nDK-13375,Dennis Kane,518,Consumer\nXX-1,,NULL,NULL\n")
+    schema = struct_from_types([("Customer ID", "text", False), ("Customer Name", "text", False), ("Loyalty Reward Points", "big_int"), ("Segment", "text")])
+    assert rows(load_csv(spark, source, schema)) == [("DK-13375", "Dennis Kane", 518, "Consumer"), ("XX-1", "", None, None)]
+
+
+def test_csv_null_in_declared_not_null_raises(spark, path):
+    source = put(path, "a.csv", "1,NULL\n")
+    with pytest.raises(Exception, match="NOT NULL"):
+        load_csv(spark, source, struct_from_types([("a", "int"), ("b", "text", False)]), header=False).collect()
+
+
+def test_csv_malformed_value_and_line_raise(spark, path):
+    schema = struct_from_types([("a", "int"), ("b", "text")])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        load_csv(spark, put(path, "x.csv", "one,b\n"), schema, header=False).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_csv(spark, put(path, "y.csv", "1,b,c\n"), schema, header=False).collect()
+
+
+def test_csv_mixed_types_with_empty_fields(spark, path):
+    text = 'key00,12.3,,"a, ""quoted"" text",5,0,2004-04-15,,2004-07-09 10:17:35\nkey01,-12.3,NULL,,,1,,21:07:32,NULL\n'
+    schema = struct_from_types(
+        [("key", "text", False), ("num0", "double"), ("num1", "double"), ("str0", "text"), ("int0", "int"), ("bool0", "bool"), ("date0", "date"), ("time0", "time"), ("datetime0", "timestamp")]
+    )
+    assert rows(load_csv(spark, put(path, "calcs.csv", text), schema, header=False)) == [
+        ("key00", 12.3, None, 'a, "quoted" text', 5, False, dt.date(2004, 4, 15), None, dt.datetime(2004, 7, 9, 10, 17, 35)),
+        ("key01", -12.3, None, "", None, True, None, dt.time(21, 7, 32), None),
+    ]
+
+
+def test_csv_special_types(spark, path):
+    text = "point(1 2);1 year 2 days;{\"k\": 69};\\x4142;7;2020-01-01T10:00:00+02:00\n"
+    schema = struct_from_types([("g", "geography"), ("i", "interval"), ("j", "json"), ("b", "bytes"), ("o", "oid"), ("t", "timestamp_tz")])
+    df = load_csv(spark, put(path, "s.csv", text), schema, header=False, sep=";")
+    df.write.parquet(path("special"))
+    back = spark.read.parquet(path("special")).selectExpr(
+        "g.kind", "g.shapes[0][0][0].lat", "extract(year from i.months)", "extract(day from i.time)", "variant_get(j, '$.k', 'int')", "b", "o", "cast(t as string)"
+    )
+    assert rows(back) == [("point", 2.0, 1, 2, 69, bytearray(b"AB"), 7, "2020-01-01 08:00:00")]
+
+
+@pytest.mark.parametrize("style,text", [("MDY", "3/31/2024"), ("DMY", "31-03-2024"), ("YMD", "2024.3.31"), ("YDM", "2024/31/03"), ("DMY", "2024-03-31")])
+def test_csv_date_styles(spark, path, style, text):
+    df = load_csv(spark, put(path, "d.csv", f"{text}\nNULL\n"), struct_from_types([("d", "date")]), header=False, date_style=style)
+    assert rows(df) == [(dt.date(2024, 3, 31),), (None,)]
+
+
+def test_csv_wrong_date_raises(spark, path):
+    source = put(path, "d.csv", "31/03/2024\n")
+    with pytest.raises(Exception):
+        load_csv(spark, source, struct_from_types([("d", "date")]), header=False, date_style="MDY").collect()
+    with pytest.raises(ValueError):
+        load_csv(spark, source, struct_from_types([("d", "date")]), header=False, date_style="XYZ")
+
+
+def test_csv_locale_dates(spark, path):
+    source = put(path, "l.csv", "13 septembre 2012;13 septembre 2012 10:00\nNULL;NULL\n")
+    schema = struct_from_types([("d", "date"), ("t", "timestamp")])
+    df = load_csv(spark, source, schema, header=False, sep=";", date_format="d MMMM yyyy", timestamp_format="d MMMM yyyy HH:mm", locale="fr_FR")
+    assert rows(df) == [(dt.date(2012, 9, 13), dt.datetime(2012, 9, 13, 10, 0)), (None, None)]
+
+
+def test_csv_files_listed_twice_and_paths(spark, path):
+    a, b = put(path, "in/sales1.csv", "1,x\n2,y"), put(path, "in/sales2.csv", "3,z\n")
+    put(path, "in/other.csv", "9,q\n")
+    schema = struct_from_types([("id", "int"), ("name", "text")])
+    assert sorted(rows(load_csv(spark, [a, a, b], schema, header=False))) == [(1, "x"), (1, "x"), (2, "y"), (2, "y"), (3, "z")]
+    tagged = load_csv(spark, path("in"), schema, header=False, path_column="File Path", name_filter="sales*.csv")
+    assert sorted((r[0], r[2].rsplit("/", 1)[1]) for r in rows(tagged)) == [(1, "sales1.csv"), (2, "sales1.csv"), (3, "sales2.csv")]
+
+
+def test_header_file(spark, path):
+    put(path, "h/header.csv", "id,Amount Due,when\r\nINTEGER,double,date\r\n")
+    put(path, "h/sales1.csv", "1,2.5,2024-01-01\n")
+    put(path, "h/sales2.csv", "2,NULL,NULL\n")
+    assert schema_from_header(spark, path("h/header.csv")) == struct_from_types([("id", "int"), ("Amount Due", "double"), ("when", "date")])
+    df = load_csv_with_header_file(spark, path("h/sales*.csv"), path("h/header.csv"))
+    assert df.columns == ["id", "Amount Due", "when", "File Path"]
+    assert sorted(rows(df.drop("File Path"))) == [(1, 2.5, dt.date(2024, 1, 1)), (2, None, None)]
+    put(path, "h/bad.csv", "id,name\nint\n")
+    with pytest.raises(ValueError):
+        schema_from_header(spark, path("h/bad.csv"))
+
+
+# --- Parquet, external tables, locations ------------------------------------------------------------------
+
+
+def test_parquet_declared_and_inferred(spark, path):
+    spark.createDataFrame([(1, "7.25", None)], "a int, b string, c int").write.parquet(path("p"))
+    assert load_parquet(spark, path("p")).columns == ["a", "b", "c"]
+    assert rows(load_parquet(spark, path("p"), struct_from_types([("b", "numeric(8,2)"), ("a", "big_int", False)]))) == [(Decimal("7.25"), 1)]
+    with pytest.raises(ValueError, match="do not have"):
+        load_parquet(spark, path("p"), struct_from_types([("zz", "int")]))
+    with pytest.raises(Exception, match="NOT NULL"):
+        load_parquet(spark, path("p"), struct_from_types([("c", "int", False)])).collect()
+
+
+def test_external_tables_join(spark, path):
+    spark.createDataFrame([(1, 10, 2), (1, 5, 1), (3, 7, 1)], "customer_key int, price int, quantity int").write.parquet(path("orders"))
+    put(path, "customers.csv", "1,Germany,Street,5\n2,France,Rue,6")
+    external_table(spark, "ext_orders", path("orders"))
+    schema = struct_from_types([("customer_key", "int"), ("country", "text"), ("street", "text"), ("nr", "int")])
+    external_table(spark, "ext_customers", path("customers.csv"), format="csv", schema=schema, header=False)
+    result = spark.sql(
+        "SELECT country, SUM(quantity * price) AS total FROM ext_orders o JOIN ext_customers c ON o.customer_key = c.customer_key GROUP BY country ORDER BY country"
+    )
+    assert rows(result) == [("Germany", 25)]
+    with pytest.raises(ValueError):
+        external_table(spark, "x", "y", format="csv")
+    with pytest.raises(ValueError):
+        external_table(spark, "x", "y", format="orc")
+
+
+def test_attach_and_detach(spark, path):
+    spark.range(3).write.parquet(path("db/one"))
+    spark.range(4).write.parquet(path("db/two"))
+    views = attach(spark, path("db"), "db1")
+    assert views == ["db1_one", "db1_two"]
+    assert spark.table("db1_two").count() == 4
+    detach(spark, views)
+    assert not spark.catalog.tableExists("db1_one")
+
+
+def test_object_store_options():
+    path, options = object_store_options("s3://bucket/dir/f.parquet", access_key="a", secret_key="b", region="eu-central-1", endpoint="storage.example.com")
+    assert path == "s3a://bucket/dir/f.parquet"
+    assert options["fs.s3a.bucket.bucket.access.key"] == "a"
+    assert options["fs.s3a.bucket.bucket.endpoint.region"] == "eu-central-1"
+    assert options["fs.s3a.bucket.bucket.endpoint"] == "storage.example.com"
+    _, anonymous = object_store_options("s3a://bucket/x")
+    assert "Anonymous" in anonymous["fs.s3a.bucket.bucket.aws.credentials.provider"]
+    with pytest.raises(ValueError):
+        object_store_options("/local/x")
+    with pytest.raises(ValueError):
+        object_store_options("s3://b/x", access_key="only one")
+
+
+# --- rows in memory ---------------------------------------------------------------------------------------
+
+ORDERS = struct_from_types([("Address ID", "small_int", False), ("Order ID", "text", False), ("Order Date", "date", False), ("Discount", "double")])
+
+
+def test_rows(spark):
+    data = [(399, "CA-2011-100006", dt.date(2012, 9, 7), None), (530, "CA-2011-100090", dt.date(2012, 7, 8), 0.2)]
+    df = rows_to_df(spark, iter(data), ORDERS)
+    assert df.count() == 2 and rows(df) == data
+    with pytest.raises(Exception):
+        rows_to_df(spark, [(1, None, dt.date(2012, 9, 7), None)], ORDERS)
+
+
+def test_pandas(spark):
+    import pandas as pd
+
+    frame = pd.DataFrame({"Customer ID": ["DK-13375", "EB-13705"], "Points": [518, 815]})
+    schema = struct_from_types([("Customer ID", "text", False), ("Points", "big_int", False)])
+    assert rows(pandas_to_df(spark, frame, schema)) == [("DK-13375", 518), ("EB-13705", 815)]
+    with pytest.raises(Exception, match="NOT NULL"):
+        pandas_to_df(spark, pd.DataFrame({"Customer ID": ["a", None], "Points": [1, 2]}), schema).collect()
+
+
+INPUT = struct_from_types([("Order ID", "int", False), ("Ship Timestamp Text", "text", False), ("Ship Mode", "text", False), ("Ship Priority Text", "text", False)])
+TARGET = struct_from_types([("Order ID", "int", False), ("Ship Timestamp", "timestamp", False), ("Ship Mode", "text", False), ("Ship Priority", "int", False)])
+MAPPINGS = [
+    "Order ID",
+    ("Ship Timestamp", "to_timestamp_ntz(`Ship Timestamp Text`, 'yyyy-MM-dd HH:mm:ss')"),
+    "Ship Mode",
+    ("Ship Priority", "CASE `Ship Priority Text` WHEN 'Urgent' THEN 1 WHEN 'Medium' THEN 2 WHEN 'Low' THEN 3 END"),
+]
+
+
+def test_insert_with_expressions(spark):
+    data = [(399, "2012-09-13 10:00:00", "Express Class", "Urgent"), (530, "2012-07-12 14:00:00", "Standard Class", "Low")]
+    assert rows(insert_rows(spark, data, INPUT, MAPPINGS, TARGET)) == [
+        (399, dt.datetime(2012, 9, 13, 10), "Express Class", 1),
+        (530, dt.datetime(2012, 7, 12, 14), "Standard Class", 3),
+    ]
+    unmatched = [(1, "2012-07-12 14:00:00", "x", "Later")]
+    with pytest.raises(Exception, match="NULL in column Ship Priority"):
+        insert_rows(spark, unmatched, INPUT, MAPPINGS, TARGET).collect()
+    with pytest.raises(ValueError, match="twice"):
+        map_columns(spark.range(1), ["id", ("id", "1")], struct_from_types([("id", "int")]))
+
+
+def test_feed_runs_in_tasks(spark):
+    schema = struct_from_types([("page", "int", False), ("item", "text")])
+
+    def fetch(page):
+        for i in range(page):
+            yield page, f"item{i}"
+
+    df = fetch_rows(spark, [1, 2, 3], fetch, schema)
+    assert df.rdd.getNumPartitions() == 3
+    assert sorted(rows(df)) == [(1, "item0"), (2, "item0"), (2, "item1"), (3, "item0"), (3, "item1"), (3, "item2")]
+
+
+def test_load_result_takes_exactly_one_source(spark):
+    schema = struct_from_types([("a", "int")])
+    assert rows(load_result(spark, rows=[(1,)], schema=schema)) == [(1,)]
+    for wrong in ({}, {"rows": [(1,)], "source": {"dialect": "mysql"}}, {"rows": [(1,)]}):
+        with pytest.raises(ValueError):
+            load_result(spark, **wrong)
+
+
+# --- guards -------------------------------------------------------------------------------------------------
+
+
+def test_size_guard_and_sample(spark, path):
+    spark.range(5000).write.parquet(path("n"))
+    df = spark.read.parquet(path("n"))
+    assert guard_size(df.groupBy().count()).first()[0] == 5000
+    with pytest.raises(QueryTooLargeError):
+        guard_size(df.groupBy().count(), files.total_bytes(spark, path("n")) // 4)
+    assert sample(df).count() == 1000
+    assert sample(df.limit(3), 10).count() == 3
+    with pytest.raises(ValueError):
+        sample(df, -1)
