@@ -189,6 +189,11 @@ def parse_interval(text: Column) -> Column:
     return F.when(text.isNotNull(), F.struct(months.alias("months"), time.alias("time")))
 
 
+def ddl_name(target: T.DataType) -> str:
+    """Type name that means the same under every session setting: plain ``timestamp`` does not."""
+    return "timestamp_ltz" if isinstance(target, T.TimestampType) else target.simpleString()
+
+
 def describe(schema: T.StructType) -> list[tuple[str, str, bool]]:
     """``(name, type, nullable)`` for each column, in order."""
     return [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields]

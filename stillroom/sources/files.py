@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stillroom.functions.expressions import epoch_to_utc, quote_column
-from stillroom.schema import align, convert, enforce_not_null, schema_from_header
+from stillroom.schema import align, convert, ddl_name, enforce_not_null, schema_from_header
 
 # Order of the fields in a date, by style name.
 DATE_STYLES = {"MDY": "M/d/y", "DMY": "d/M/y", "YMD": "y/M/d", "YDM": "y/d/M"}
@@ -109,7 +109,7 @@ def _localised(text: Column, target: T.DataType, option: str, pattern: str, loca
     """Dates with month or day names of a language: the one built-in parser that takes a locale is the CSV one."""
     parsed = F.from_csv(
         text,
-        f"v {target.simpleString()}",
+        f"v {ddl_name(target)}",
         {option: pattern, "locale": locale.replace("_", "-"), "timeZone": "UTC", "sep": "\u0001", "mode": "FAILFAST"},
     )
     return F.when(text.isNotNull(), parsed["v"])

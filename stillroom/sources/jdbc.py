@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stillroom.functions.expressions import checked_identifier, quote_name
-from stillroom.schema import DEFAULT_NUMERIC, TypeMappingError, with_overrides
+from stillroom.schema import DEFAULT_NUMERIC, TypeMappingError, ddl_name, with_overrides
 
 FETCH_SIZE = 10_000
 
@@ -201,7 +201,7 @@ def hash_predicates(dialect: str, partitions: HashPartitions) -> list[str]:
 
 
 def custom_schema(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return ", ".join(f"`{f.name}` {ddl_name(f.dataType)}" for f in schema.fields)
 
 
 def jdbc_options(
