@@ -1,9 +1,12 @@
 """Row maintenance: delete, update, insert, upsert and ordered batches of them.
 
 Each function takes the current state of a table and returns the new one; a write follows once, at the end.
-Keys match by SQL equality, so NULL keys match nothing. The changeset is always reduced to one row per key
-before it meets the target, and the target is always the left side of the join: a hot key of the target
-then splits over tasks (adaptive skew join), and no join fans out.
+Keys match by SQL equality, so NULL keys match nothing.
+
+A changeset is stored in the shared folder when the function is called, and its keys are tested there. That
+gives the planner its exact size (it broadcasts only what is small), computes it once, and lets adaptive
+execution split a hot key: the target is always the left side of the join, and the rule that splits it needs
+both sides to come straight from a shuffle, without an aggregate in between. No join fans out.
 
 Where an ``impact`` observation is given, its ``rows`` metric is the number of rows hit. It is taken in the
 last stage of the plan, the one that writes.
@@ -22,6 +25,7 @@ from pyspark.sql import types as T
 from stillroom.functions.expressions import quote_column
 from stillroom.operators.conditions import SOURCE_PREFIX, Match, match_on, parse_condition
 from stillroom.schema import align, convert, enforce_not_null
+from stillroom.session import scratch_path
 
 FLAG = "__hit"
 
@@ -29,7 +33,7 @@ Pairs = Sequence[Sequence[str]]
 
 
 class DuplicateKeyError(ValueError):
-    """Raised by name in the error text when a changeset holds a key twice."""
+    """A changeset holds a key more than once."""
 
 
 def _c(name: str) -> Column:
@@ -65,7 +69,7 @@ def delete_matching(df: DataFrame, keys: DataFrame, match: Match | Pairs, impact
         surplus = sorted(set(keys.columns) - match.source_columns)
         if surplus:
             raise ValueError(f"changeset columns the condition does not use: {surplus}")
-    source = _prefixed(keys, sorted(match.source_columns), match).distinct()
+    source = settled(prefixed(keys, sorted(match.source_columns), match).distinct(), "delete-keys")
     if match.predicate is None and impact is not None:
         marked = df.join(source.withColumn(FLAG, F.lit(True)), _on(match), "left")
         marked = marked.observe(impact, F.count_if(_c(FLAG)).alias("rows"))
@@ -95,13 +99,19 @@ def update_where(df: DataFrame, assignments: Mapping[str, Column], condition: Co
 def update_from(df: DataFrame, changes: DataFrame, match: Match | Pairs, impact: Observation | None = None) -> DataFrame:
     """Overwrite the shared non-key columns of every matching row with the changeset's values."""
     match = _as_match(match)
-    assigned = _assigned_columns(df, changes, match)
-    wanted = sorted(set(assigned) | match.source_columns)
-    source = _single_rows(_prefixed(changes, wanted, match), match).withColumn(FLAG, F.lit(True))
-    joined = df.join(source, _on(match), "left")
+    wanted = sorted(set(_assigned_columns(df, changes, match)) | match.source_columns)
+    source = _stored_once(changes, wanted, match)
+    return updated_by(df, source, changes.schema, match, impact)
+
+
+def updated_by(df: DataFrame, source: DataFrame, changes_schema: T.StructType, match: Match, impact: Observation | None = None) -> DataFrame:
+    """The target with the values of ``source``, prefixed rows that hold each key once."""
+    target_keys = {t for _, t in match.pairs}
+    assigned = [c for c in df.columns if SOURCE_PREFIX + c in source.columns and c not in target_keys and c not in match.source_columns]
+    joined = df.join(source.withColumn(FLAG, F.lit(True)), _on(match), "left")
     if impact is not None:
         joined = joined.observe(impact, F.count_if(_c(FLAG)).alias("rows"))
-    source_types = {f.name: f.dataType for f in changes.schema.fields}
+    source_types = {f.name: f.dataType for f in changes_schema.fields}
     columns = []
     for field in df.schema.fields:
         value = _c(field.name)
@@ -121,7 +131,6 @@ def insert_from(df: DataFrame, changes: DataFrame, schema: T.StructType | None =
 def upsert(df: DataFrame, changes: DataFrame, match: Match | Pairs, unique_target: bool = False) -> DataFrame:
     """Update the rows that match, insert the changes that match none.
 
-    ``changes`` is read more than once: hand in a stored or checkpointed frame when it is costly to compute.
     With ``unique_target`` (the target's key is known to be unique) and a changeset of complete rows, matched
     rows are simply replaced, which reads the target once.
     """
@@ -129,19 +138,28 @@ def upsert(df: DataFrame, changes: DataFrame, match: Match | Pairs, unique_targe
     if match.predicate is not None:
         raise ValueError("upsert matches by key equality only")
     renames = {source: target for source, target in match.pairs}
-    named = changes.select([_c(c).alias(renames.get(c, c)) for c in changes.columns])
-    inserts = align(named, df.schema)
-    keys = _prefixed(changes, sorted(match.source_columns), match)
-    if unique_target and set(named.columns) == set(df.columns):
-        return df.join(_unique_keys(keys), _on(match), "left_anti").unionByName(inserts)
+    complete = {renames.get(c, c) for c in changes.columns} == set(df.columns)
+    _assigned_columns(df, changes, match)
+    source = _stored_once(changes, changes.columns, match)
+    keyless = changes.filter(reduce(operator.or_, [_c(s).isNull() for s, _ in match.pairs]))
+
+    def as_target(rows: DataFrame, prefix: str) -> DataFrame:
+        return align(rows.select([_c(prefix + c).alias(renames.get(c, c)) for c in changes.columns]), df.schema)
+
+    inserted_anyway = as_target(keyless, "")
+    if unique_target and complete:
+        keys = source.select([_c(SOURCE_PREFIX + s) for s, _ in match.pairs])
+        kept = df.join(keys, _on(match), "left_anti")
+        return kept.unionByName(as_target(source, SOURCE_PREFIX)).unionByName(inserted_anyway)
 
-    updated = update_from(df, changes, match)
     # Keys both sides have: only the target's key columns are read, copies of a key collapse on the map side, and
     # the result is no larger than the changeset. A changeset small enough to broadcast filters before that.
     target_keys = df.select([_c(t) for _, t in match.pairs]).distinct()
-    known = target_keys.join(keys.distinct(), _on(match), "left_semi")
-    known = known.select([_c(t).alias(SOURCE_PREFIX + s) for s, t in match.pairs])
-    return updated.unionByName(inserts.join(known, _on(match), "left_anti"))
+    known = target_keys.join(source, _on(match), "left_semi")
+    known = known.select([_c(t).alias("__known_" + s) for s, t in match.pairs])
+    absent = source.join(known, [_c(SOURCE_PREFIX + s) == _c("__known_" + s) for s, _ in match.pairs], "left_anti")
+    updated = updated_by(df, source, changes.schema, match)
+    return updated.unionByName(as_target(absent, SOURCE_PREFIX)).unionByName(inserted_anyway)
 
 
 def rolling_window(df: DataFrame, window_rows: DataFrame, date_column: str, cutoff: Column, impact: Observation | None = None) -> DataFrame:
@@ -189,7 +207,7 @@ def apply_change(
 
 
 def apply_actions(df: DataFrame, actions: Sequence[Mapping], changes: Mapping[str, DataFrame] | DataFrame | None = None, unique_target: bool = False) -> DataFrame:
-    """Apply an ordered list of actions; each names its changeset by ``source-table``. Nothing runs until a write."""
+    """Apply an ordered list of actions; each names its changeset by ``source-table``. The target is written once, by the caller."""
     if isinstance(changes, DataFrame):
         named = None
     else:
@@ -208,6 +226,13 @@ def apply_actions(df: DataFrame, actions: Sequence[Mapping], changes: Mapping[st
     return df
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """Store a small intermediate table in the shared folder and read it from there."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def count_where(df: DataFrame, condition: Column) -> DataFrame:
     """Rows a condition would hit, as a one-row frame."""
     return df.agg(F.count_if(condition).alias("n"))
@@ -222,11 +247,11 @@ def count_matching(df: DataFrame, keys: DataFrame, match: Match | Pairs) -> Data
     if match.predicate is not None:
         raise ValueError("counts need a match by key pairs only")
     counted = df.groupBy([_c(t) for _, t in match.pairs]).agg(F.count(F.lit(1)).alias("__n"))
-    source = _prefixed(keys, sorted(match.source_columns), match).distinct()
+    source = prefixed(keys, sorted(match.source_columns), match).distinct()
     return counted.join(source, _on(match), "left_semi").agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n"))
 
 
-def _prefixed(changes: DataFrame, columns: Sequence[str], match: Match) -> DataFrame:
+def prefixed(changes: DataFrame, columns: Sequence[str], match: Match) -> DataFrame:
     """Changeset rows that can match at all, columns renamed so that they never clash with the target's."""
     missing = sorted(set(columns) - set(changes.columns))
     if missing:
@@ -240,24 +265,14 @@ def _on(match: Match) -> Column:
     return reduce(operator.and_, keys if match.predicate is None else keys + [match.predicate])
 
 
-def _raise_when_repeated(count: str) -> Column:
-    message = F.raise_error(F.lit("DuplicateKeyError: the changeset holds a key more than once")).cast("boolean")
-    return F.when(_c(count) == 1, F.lit(True)).otherwise(message)
-
-
-def _unique_keys(keys: DataFrame) -> DataFrame:
-    counted = keys.groupBy([_c(c) for c in keys.columns]).agg(F.count(F.lit(1)).alias("__n"))
-    return counted.filter(_raise_when_repeated("__n")).drop("__n")
-
-
-def _single_rows(source: DataFrame, match: Match) -> DataFrame:
-    """One row per key, or an error. Copies of a key collapse on the map side, before the shuffle."""
-    keys = [SOURCE_PREFIX + s for s, _ in match.pairs]
-    values = [c for c in source.columns if c not in keys]
-    grouped = source.groupBy([_c(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("__n"), *[F.any_value(_c(v)).alias(v) for v in values]
-    )
-    return grouped.filter(_raise_when_repeated("__n")).drop("__n")
+def _stored_once(changes: DataFrame, columns: Sequence[str], match: Match) -> DataFrame:
+    """The changeset's matchable rows, stored; raises when a key occurs twice. The test reads key columns only."""
+    stored = settled(prefixed(changes, columns, match), "changes")
+    keys = [_c(SOURCE_PREFIX + s) for s, _ in match.pairs]
+    repeated = stored.groupBy(keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+    if not repeated.isEmpty():
+        raise DuplicateKeyError("the changeset holds a key more than once")
+    return stored
 
 
 def _assigned_columns(df: DataFrame, changes: DataFrame, match: Match) -> list[str]:

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 
+_LOCAL_DIRS: dict[str, str] = {}
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -41,9 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR_KEY} to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="stillroom-")
-    spark.conf.set(SHARED_DIR_KEY, fallback)
-    return fallback
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="stillroom-")
+    return _LOCAL_DIRS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from stillroom import files
 from stillroom.functions.expressions import quote_column
-from stillroom.operators.changes import delete_matching, update_from
+from stillroom.operators.changes import prefixed, updated_by
 from stillroom.operators.conditions import SOURCE_PREFIX, Match
 
 BUCKETS = 512
@@ -136,14 +136,13 @@ class BucketedTable:
             return latest(current.select(names).unionByName(changes.select(names)), self.keys, self.order_by)
         pairs = [(k, k) for k in self.keys]
         if action == "delete":
-            return delete_matching(current, changes, Match(pairs, None, frozenset(self.keys)), strict=False)
+            return current.join(changes.select(self.keys), self.keys, "left_anti").select(names)
         newer = None
         if self.order_by and all(c in changes.columns for c in self.order_by):
             incoming = F.struct([F.col(quote_column(SOURCE_PREFIX + c)).alias(c) for c in self.order_by])
             newer = incoming >= F.struct([F.col(quote_column(c)).alias(c) for c in self.order_by])
-        used = frozenset([*self.keys, *(self.order_by if newer is not None else [])])
-        match = Match(pairs, newer, used)
-        return update_from(current, changes, match)
+        match = Match([(k, k) for k in self.keys], newer, frozenset(self.keys))
+        return updated_by(current, prefixed(changes, changes.columns, match), changes.schema, match)
 
     def _write(self, df: DataFrame, path: str) -> None:
         bucketed = self._with_bucket(df)

@@ -108,12 +108,12 @@ def test_update_key_names_may_differ(spark, target):
 
 def test_duplicate_changeset_key_raises(spark, target):
     changed = spark.createDataFrame([(2, "x"), (2, "y")], "k int, name string")
-    with pytest.raises(Exception, match="DuplicateKeyError"):
-        ch.update_from(target, changed, [["k", "k"]]).collect()
+    with pytest.raises(ch.DuplicateKeyError):
+        ch.update_from(target, changed, [["k", "k"]])
     unmatched = spark.createDataFrame([(77, "x", 1.0), (77, "y", 1.0)], TARGET)
     for unique in (False, True):
-        with pytest.raises(Exception, match="DuplicateKeyError"):
-            ch.upsert(target, unmatched, [["k", "k"]], unique).collect()
+        with pytest.raises(ch.DuplicateKeyError):
+            ch.upsert(target, unmatched, [["k", "k"]], unique)
 
 
 def test_update_with_unknown_column_raises(spark, target):
