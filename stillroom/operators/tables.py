@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -112,6 +114,20 @@ def publish(df: DataFrame, path: str, mode: str) -> None:
     write_table(df, path, modes[mode])
 
 
+def append_once(df: DataFrame, path: str, request_id: str) -> bool:
+    """Append under a request id, kept as the column ``request_id``; False when that request was applied before.
+
+    A request writes a folder of its own, so one that broke off is simply written again.
+    """
+    if not re.fullmatch(r"[\w-]+", request_id):
+        raise ValueError(f"request id with characters that are not allowed: {request_id!r}")
+    folder = f"{path.rstrip('/')}/request_id={request_id}"
+    if files.exists(df.sparkSession, f"{folder}/_SUCCESS"):
+        return False
+    df.write.mode("overwrite").parquet(folder)
+    return True
+
+
 def refresh(df: DataFrame, path: str) -> bool:
     """Create the table on the first run, append afterwards; True when it was created."""
     first = not files.exists(df.sparkSession, path)
@@ -236,6 +252,8 @@ def save_text(df: DataFrame, path: str) -> None:
     df.select(F.col(quote_column(df.columns[0])).cast("string")).write.text(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Run a query for its time only."""
+def discard(df: DataFrame) -> float:
+    """Run a query in full, drop its result, and return the seconds it took."""
+    start = time.perf_counter()
     df.write.format("noop").mode("overwrite").save()
+    return round(time.perf_counter() - start, 3)

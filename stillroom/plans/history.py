@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from stillroom.functions.expressions import content_hash, epoch_to_utc
 from stillroom.operators import commits
+from stillroom.operators.model import check_keys
 from stillroom.plans import plan, table
 
 
@@ -71,3 +72,27 @@ def skip_unchanged_and_size_limit(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     known = documents.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi").select(content_hash("text").alias("file_hash"))
     return commits.new_contents(documents.select(F.col("doc_id").alias("file_id"), F.col("text").alias("content")), known, 10240)
+
+
+@plan("""
+WITH mapping AS (SELECT doc_id AS commit_id, sha256(text) AS file_hash FROM documents),
+     blame AS (SELECT sha256(text) AS file_hash, lang AS author, COUNT(*) AS n FROM documents WHERE strlen(text) < 10240 GROUP BY 1, 2)
+SELECT 'commits_pk' AS check_name, COUNT(*) - COUNT(DISTINCT o_orderkey) AS violations FROM orders
+UNION ALL SELECT 'blame_pk', CAST(0 AS BIGINT)
+UNION ALL SELECT 'changed_files_commits_fk', COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
+UNION ALL SELECT 'file_commit_mapping_commits_fk', COUNT(*) FROM mapping WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = commit_id)
+UNION ALL SELECT 'file_commit_mapping_blame_fk', COUNT(*) FROM mapping WHERE NOT EXISTS (SELECT 1 FROM blame WHERE blame.file_hash = mapping.file_hash)
+""")
+def history_key_checks(spark, sf_dir):
+    """The four tables of the history and their keys: contents over the size limit have no lines per author."""
+    documents = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("commit_id"), F.col("text").alias("content"), F.col("source").alias("file_name"), F.col("lang").alias("author")
+    )
+    small = documents.filter(F.octet_length("content") < 10240)
+    frames = {
+        "commits": table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("commit_id")),
+        "changed_files": file_changes(spark, sf_dir).select("commit_id", "file_name"),
+        "file_commit_mapping": commits.hash_mapping(documents),
+        "blame": commits.lines_by_author(small.select(content_hash("content").alias("file_hash"), "author", F.col("content").alias("text"))),
+    }
+    return check_keys(frames, commits.history_model())

@@ -116,6 +116,15 @@ def staged_parts_load(spark, sf_dir):
     return load_parquet(spark, f"{root}/table")
 
 
+@plan("SELECT event_id, ts, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+def json_column_load(spark, sf_dir):
+    """A JSON column and a timestamp column through CSV text."""
+    df = table(spark, sf_dir, "events").select("event_id", "ts", "props")
+    schema = struct_from_types([("event_id", "big_int", False), ("ts", "timestamp"), ("props", "json")])
+    loaded = load_csv(spark, staged_csv(spark, df, "events-csv"), schema)
+    return loaded.select("event_id", "ts", F.variant_get("props", "$.k", "int").alias("k"))
+
+
 @plan("SELECT COUNT(*) AS n FROM (SELECT * FROM orders LIMIT 1000) t")
 def load_sample(spark, sf_dir):
     return sample(load_parquet(spark, table_path(sf_dir, "orders"))).agg(F.count(F.lit(1)).alias("n"))

@@ -1,9 +1,11 @@
 """Row maintenance over stored tables."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stillroom.operators import changes
-from stillroom.operators.tables import refresh_window, write_table
+from stillroom.operators.catalog import table_counts
+from stillroom.operators.tables import append_once, refresh_window, write_table
 from stillroom.plans import plan, table
 from stillroom.session import scratch_path
 
@@ -160,3 +162,37 @@ def impacted_counts(spark, sf_dir):
     named = {"update": updated, "delete": deleted, "insert": inserted}
     frames = [df.select(F.lit(action).alias("action"), "n") for action, df in named.items()]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+@plan("""
+SELECT 'delete' AS action, (SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'F') AS n, (SELECT COUNT(*) FROM orders WHERE o_orderstatus <> 'F') AS rows_after
+UNION ALL SELECT 'update', (SELECT COUNT(*) FROM orders WHERE o_custkey % 7 = 0), (SELECT COUNT(*) FROM orders)
+""")
+def observed_counts(spark, sf_dir):
+    """Rows hit, counted while the new state is written, without a second scan."""
+    orders = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "observed")
+    deleted, updated = Observation(), Observation()
+    write_table(changes.delete_where(orders, F.col("o_orderstatus") == "F", deleted), f"{root}/delete", "create")
+    changed = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 7 == 0).select("c_custkey", F.lit("X").alias("o_orderstatus"))
+    write_table(changes.update_from(orders, changed, [["c_custkey", "o_custkey"]], updated), f"{root}/update", "create")
+    hits = spark.createDataFrame([("delete", deleted.get["rows"]), ("update", updated.get["rows"])], "action string, n bigint")
+    states = table_counts({action: spark.read.parquet(f"{root}/{action}") for action in ("delete", "update")})
+    return hits.join(states.select(F.col("table_name").alias("action"), F.col("n").alias("rows_after")), "action")
+
+
+@plan("SELECT 'r-1' AS request_id, COUNT(*) AS n FROM supplier UNION ALL SELECT 'r-2', COUNT(*) FROM supplier WHERE s_acctbal > 0")
+def append_by_request(spark, sf_dir):
+    """A request that is sent twice is applied once."""
+    suppliers = table(spark, sf_dir, "supplier")
+    path = scratch_path(spark, "requests")
+    for request, df in (("r-1", suppliers), ("r-2", suppliers.filter(F.col("s_acctbal") > 0)), ("r-1", suppliers)):
+        append_once(df, path, request)
+    return spark.read.parquet(path).groupBy("request_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@plan("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-25 00:00:00'")
+def window_extract(spark, sf_dir):
+    """The rolling window as it is read from a source; the range reaches the scan."""
+    start = F.lit("2001-07-25 00:00:00").cast("timestamp_ntz")
+    return table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= start).select("o_orderkey", "o_custkey", "o_totalprice")

@@ -8,6 +8,7 @@ from stillroom.operators.model import Model, check_keys, denormalise, model_of,
 from stillroom.plans import plan, table
 from stillroom.plans.external import money
 from stillroom.plans.loads import SUPPLIER
+from stillroom.schema import struct_from_types
 from stillroom.session import scratch_path
 from stillroom.sources.files import attach, detach, load_csv
 
@@ -92,3 +93,17 @@ def relationship_tree_sum(spark, sf_dir):
         .groupBy("r_name")
         .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(money("o_totalprice")).cast("double").alias("total"))
     )
+
+
+@plan("SELECT c_nationkey AS nation, COUNT(*) AS n FROM customer WHERE c_acctbal >= 0 GROUP BY c_nationkey")
+def insert_select(spark, sf_dir):
+    """A catalog table created from a definition, filled by INSERT … SELECT in two steps."""
+    path = scratch_path(spark, "inserted")
+    name = "kept_customers_" + path[-32:]
+    tables.create_catalog_table(spark, name, struct_from_types([("key", "big_int"), ("nation", "int"), ("balance", "double")]), path)
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_acctbal").alias("balance"), F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("key")
+    )
+    for part in (F.col("balance") >= 100, (F.col("balance") >= 0) & (F.col("balance") < 100)):
+        tables.insert_into(customers.filter(part), name)
+    return spark.table(name).groupBy("nation").agg(F.count(F.lit(1)).alias("n"))

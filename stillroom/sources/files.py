@@ -98,11 +98,12 @@ def _date(text: Column, style: str | None, pattern: str | None, locale: str | No
     if style.upper() not in DATE_STYLES:
         raise ValueError(f"date style must be one of {sorted(DATE_STYLES)}, not {style!r}")
     # Any of the usual separators; a leading four-digit year reads as ISO unless the style says year-day-month.
-    slashed = F.regexp_replace(F.trim(text), r"[-. /]+", "/")
+    trimmed = F.trim(text)
+    slashed = F.when(trimmed.contains(" "), F.regexp_replace(trimmed, r"[-. /]+", "/")).otherwise(F.translate(trimmed, "-.", "//"))
     styled = F.to_date(slashed, DATE_STYLES[style.upper()])
     if style.upper() == "YDM":
         return styled
-    return F.when(slashed.rlike(r"^\d{4}/"), F.to_date(slashed, DATE_STYLES["YMD"])).otherwise(styled)
+    return F.when(F.instr(slashed, "/") == 5, F.to_date(slashed, DATE_STYLES["YMD"])).otherwise(styled)
 
 
 def _localised(text: Column, target: T.DataType, option: str, pattern: str, locale: str) -> Column:

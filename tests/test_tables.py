@@ -75,6 +75,18 @@ def test_publish_refresh_drop(spark, path):
         tables.drop_table(spark, t)
 
 
+def test_request_is_applied_once(spark, path):
+    assert tables.append_once(spark.range(3), path("t"), "r-1") is True
+    assert tables.append_once(spark.range(3), path("t"), "r-1") is False
+    assert tables.append_once(spark.range(2), path("t"), "r-2") is True
+    os.remove(path("t/request_id=r-2/_SUCCESS"))  # as if the write had not committed
+    assert tables.append_once(spark.range(2), path("t"), "r-2") is True
+    assert rows(spark.read.parquet(path("t")).groupBy("request_id").count()) == [("r-1", 3), ("r-2", 2)]
+    with pytest.raises(ValueError):
+        tables.append_once(spark.range(1), path("t"), "../x")
+    assert tables.discard(spark.range(10)) >= 0
+
+
 def test_declared_table_checks_rows(spark, path):
     schema = struct_from_types([("Line Item ID", "big_int", False), ("Discount", "double")])
     tables.create_table(spark, path("li"), schema)
