@@ -101,7 +101,7 @@ def check_keys(frames: Mapping[str, DataFrame], model: Model) -> DataFrame:
     for key in model.foreign:
         child = frames[key.table].select([F.col(quote_column(c)).alias(f"__k{i}") for i, c in enumerate(key.columns)])
         child = child.dropna().groupBy(child.columns).agg(F.count(F.lit(1)).alias("__n"))
-        parent = frames[key.parent].select([F.col(quote_column(c)).alias(f"__k{i}") for i, c in enumerate(key.parent_columns)])
+        parent = frames[key.parent].select([F.col(quote_column(c)).alias(f"__k{i}") for i, c in enumerate(key.parent_columns)]).distinct()
         orphans = child.join(parent, [f"__k{i}" for i in range(len(key.columns))], "left_anti")
         total = orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("violations"))
         checks.append(total.select(F.lit(f"{key.table}_{key.parent}_fk").alias("check_name"), "violations"))

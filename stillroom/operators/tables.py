@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from stillroom import files
 from stillroom.functions.expressions import quote_column, quote_name
+from stillroom.functions.geo import geo_to_wkt, is_geography
 from stillroom.schema import align, enforce_not_null
 
 FILE_BYTES = 128 * 1024**2
@@ -138,27 +139,53 @@ def refresh(df: DataFrame, path: str) -> bool:
 def refresh_window(df: DataFrame, path: str, date_column: str, cutoff: str) -> None:
     """Rolling-window refresh of a table partitioned by date: only partitions of the window are touched.
 
-    The window is written beside the table once, then its partitions change places; those that receive no
-    rows are dropped. The rows come from the source, so a run that broke off is repaired by running it again.
+    The window's partitions are replaced by the frame's rows from ``cutoff`` on; those that receive no rows
+    are dropped.
     """
-    spark = df.sparkSession
-    prefix = f"{date_column}="
-    staged = _beside(path, "window")
     window = df.filter(F.col(quote_column(date_column)) >= F.lit(cutoff).cast("date"))
-    _writer(window, [date_column]).parquet(staged)
+    _replace_partitions(window, path, date_column, lambda value: value >= cutoff and not value.startswith("__"))
+
+
+def rewrite_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str], change: Callable[[DataFrame], DataFrame]) -> None:
+    """Apply a change to some partitions of a table and leave the files of all others alone.
+
+    ``change`` gets the rows of those partitions, for instance to upsert into them. A row it returns for any
+    other partition is an error, and nothing is replaced.
+    """
+    wanted = {str(v) for v in values}
+    folders = [f"{path}/{column}={v}" for v in sorted(wanted) if files.exists(spark, f"{path}/{column}={v}")]
+    schema = spark.read.parquet(path).schema
+    reader = spark.read.schema(schema).option("basePath", path)
+    current = reader.parquet(*folders) if folders else spark.createDataFrame([], schema)
+    _replace_partitions(change(current), path, column, lambda value: value in wanted)
+
 
-    def days(root: str) -> set[str]:
+def _replace_partitions(df: DataFrame, path: str, column: str, covered: Callable[[str], bool]) -> None:
+    """Write a frame beside a partitioned table, then let its partitions take the place of all covered ones.
+
+    Each partition changes by two renames; the old ones are removed only when all have changed, so a run that
+    breaks off loses nothing.
+    """
+    spark, prefix, staged = df.sparkSession, f"{column}=", _beside(path, "partitions")
+    _writer(df, [column]).parquet(staged)
+
+    def partitions(root: str) -> set[str]:
         return {e.name for e in files.entries(spark, root) if e.is_dir and e.name.startswith(prefix)}
 
-    fresh = days(staged)
-    for name in sorted(days(path) | fresh):
-        value = name[len(prefix) :]
-        if value < cutoff or value.startswith("__"):
+    fresh = partitions(staged)
+    outside = sorted(name for name in fresh if not covered(name[len(prefix) :]))
+    if outside:
+        files.remove(spark, staged)
+        raise ValueError(f"rows for partitions that are not to change: {outside[:5]}")
+    old = _beside(path, "old")
+    for name in sorted(partitions(path) | fresh):
+        if not covered(name[len(prefix) :]):
             continue
         if files.exists(spark, f"{path}/{name}"):
-            files.remove(spark, f"{path}/{name}")
+            files.rename(spark, f"{path}/{name}", f"{old}/{name}")
         if name in fresh:
             files.rename(spark, f"{staged}/{name}", f"{path}/{name}")
+    files.remove(spark, old)
     files.remove(spark, staged)
     spark.catalog.refreshByPath(path)
 
@@ -232,14 +259,26 @@ def convert_tables(spark: SparkSession, listing: DataFrame, target: str) -> list
     return names
 
 
+def as_text(column: Column, data_type: T.DataType) -> Column:
+    """A value in the text form that a CSV load understands."""
+    if isinstance(data_type, T.StringType):
+        return column
+    if isinstance(data_type, T.BinaryType):
+        return F.concat(F.lit("\\x"), F.lower(F.hex(column)))
+    if isinstance(data_type, T.VariantType):
+        return F.to_json(column)
+    if is_geography(data_type):
+        return geo_to_wkt(column)
+    if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType)):
+        raise ValueError(f"a column of type {data_type.simpleString()} has no text form")
+    return column.cast("string")
+
+
 def export_csv(df: DataFrame, path: str, *, sep: str = ",", header: bool = True, null_token: str = "NULL", compression: str | None = None) -> None:
     """Export as CSV text, so that ``load_csv`` reads the same table back."""
     columns = []
     for field in df.schema.fields:
-        column = F.col(quote_column(field.name))
-        if not isinstance(field.dataType, T.StringType):
-            column = column.cast("string")
-        columns.append(F.coalesce(column, F.lit(null_token)).alias(field.name))
+        columns.append(F.coalesce(as_text(F.col(quote_column(field.name)), field.dataType), F.lit(null_token)).alias(field.name))
     writer = df.select(columns).write.option("header", header).option("sep", sep).option("escape", '"').option("emptyValue", "")
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if compression:

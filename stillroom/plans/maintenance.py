@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stillroom.operators import changes
 from stillroom.operators.catalog import table_counts
-from stillroom.operators.tables import append_once, refresh_window, write_table
+from stillroom.operators.tables import append_once, refresh_window, rewrite_partitions, write_table
 from stillroom.plans import plan, table
 from stillroom.session import scratch_path
 
@@ -36,10 +36,11 @@ def delete_all(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     path = scratch_path(spark, "cleared")
     write_table(changes.delete_all(customers), path, "create")
-    after = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_after"))
-    # Two one-row frames side by side, paired by an equality on their single row.
-    before = customers.agg(F.count(F.lit(1)).alias("rows_before"))
-    return before.withColumn("k", F.lit(1)).join(after.withColumn("k", F.lit(1)), "k").drop("k")
+    counts = table_counts({"before": customers, "after": spark.read.parquet(path)})
+    return counts.agg(
+        F.sum(F.when(F.col("table_name") == "before", F.col("n")).otherwise(0)).alias("rows_before"),
+        F.sum(F.when(F.col("table_name") == "after", F.col("n")).otherwise(0)).alias("rows_after"),
+    )
 
 
 @plan("""
@@ -196,3 +197,19 @@ def window_extract(spark, sf_dir):
     """The rolling window as it is read from a source; the range reaches the scan."""
     start = F.lit("2001-07-25 00:00:00").cast("timestamp_ntz")
     return table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= start).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@plan("""
+SELECT event_id, user_id, CASE WHEN event_type = 'error' AND CAST(ts AS DATE) IN (DATE '2024-01-05', DATE '2024-01-06') THEN 0.0 ELSE value END AS value,
+       event_type, CAST(ts AS DATE) AS day FROM events
+""")
+def partitioned_update(spark, sf_dir):
+    """An update by changeset that is known to fall into two days: the files of all other days stay."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type", F.to_date("ts").alias("day"))
+    path = scratch_path(spark, "events-by-day")
+    write_table(events, path, "create", partition_by=["day"])
+    days = ["2024-01-05", "2024-01-06"]
+    errors = events.filter((F.col("event_type") == "error") & F.col("day").isin([F.lit(d).cast("date") for d in days]))
+    fixes = errors.select("event_id", F.lit(0.0).alias("value"))
+    rewrite_partitions(spark, path, "day", days, lambda df: changes.update_from(df, fixes, [["event_id", "event_id"]]))
+    return spark.read.parquet(path)

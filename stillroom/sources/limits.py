@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 SAMPLE_ROWS = 1_000
+FETCHED_SAMPLE = 10_000
 MAX_BYTES = 1024**3
 
 
@@ -32,7 +33,13 @@ def guard_size(df: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
 
 
 def sample(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Any ``rows`` rows, to try a load out."""
+    """Any ``rows`` rows, to try a load out.
+
+    A small sample is fetched, which scans only as many partitions as it takes to fill it; the same limit
+    inside a plan would run a task for every partition of the table.
+    """
     if rows < 0:
         raise ValueError("a sample cannot have a negative size")
-    return df.limit(rows)
+    if rows > FETCHED_SAMPLE:
+        return df.limit(rows)
+    return df.sparkSession.createDataFrame(df.take(rows), df.schema)

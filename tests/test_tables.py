@@ -127,6 +127,26 @@ def test_window_refresh(spark, path):
     assert data_files(f"{t}/day=2024-01-02") == untouched
 
 
+def test_rewriting_some_partitions(spark, path):
+    from stillroom.operators.changes import upsert
+
+    t = path("days")
+    data = [(i, f"v{i}", dt.date(2024, 1, 1 + i % 4)) for i in range(12)]
+    tables.write_table(spark.createDataFrame(data, "k int, v string, day date"), t, partition_by=["day"])
+    untouched = data_files(f"{t}/day=2024-01-03")
+    changes = spark.createDataFrame([(0, "new", dt.date(2024, 1, 1)), (50, "added", dt.date(2024, 1, 9))], "k int, v string, day date")
+    tables.rewrite_partitions(spark, t, "day", ["2024-01-01", "2024-01-09"], lambda df: upsert(df, changes, [["k", "k"], ["day", "day"]]))
+    expected = [(0, "new", dt.date(2024, 1, 1))] + data[1:] + [(50, "added", dt.date(2024, 1, 9))]
+    assert rows(spark.read.parquet(t)) == sorted(expected, key=repr)
+    assert data_files(f"{t}/day=2024-01-03") == untouched
+    with pytest.raises(ValueError, match="not to change"):
+        tables.rewrite_partitions(spark, t, "day", ["2024-01-01"], lambda df: df.withColumn("day", F.lit("2024-01-02").cast("date")))
+    assert rows(spark.read.parquet(t)) == sorted(expected, key=repr)
+    tables.rewrite_partitions(spark, t, "day", ["2024-01-09"], lambda df: df.limit(0))
+    assert rows(spark.read.parquet(t)) == sorted(expected[:-1], key=repr)
+    assert sorted(os.listdir(path("."))) == ["days"]
+
+
 # --- copies and exports -------------------------------------------------------------------------------------
 
 
@@ -165,6 +185,17 @@ def test_export_round_trip(spark, path):
     assert rows(spark.read.text(path("text"))) == [("1",), ("2",)]
 
 
+def test_export_of_special_types(spark, path):
+    schema = struct_from_types([("g", "geography"), ("j", "json"), ("b", "bytes")])
+    df = spark.createDataFrame([("point(1 2)", '{"a": [1, 2]}'), (None, None)], "w string, j string")
+    df = df.select(geo.wkt_to_geo("w").alias("g"), F.parse_json("j").alias("j"), F.when(F.col("w").isNotNull(), F.unhex(F.lit("00FF"))).alias("b"))
+    tables.export_csv(df, path("x"), sep=";")
+    back = load_csv(spark, path("x"), schema, sep=";")
+    assert rows(back.select(geo.latitude("g"), F.variant_get("j", "$.a[1]", "int"), "b")) == [(2.0, 2, bytearray(b"\x00\xff")), (None, None, None)]
+    with pytest.raises(ValueError):
+        tables.export_csv(spark.range(1).select(F.array(F.lit(1)).alias("a")), path("y"))
+
+
 def test_many_tables_and_batches(spark, path):
     frames = {"sales": spark.createDataFrame([(1, 5)], "pk int, n int"), "products": spark.createDataFrame([(1, "x")], "pk int, name string")}
     tables.write_tables(frames, path("star"), schemas={"sales": struct_from_types([("pk", "int", False), ("n", "int")])})
