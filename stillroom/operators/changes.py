@@ -8,8 +8,9 @@ gives the planner its exact size (it broadcasts only what is small), computes it
 execution split a hot key: the target is always the left side of the join, and the rule that splits it needs
 both sides to come straight from a shuffle, without an aggregate in between. No join fans out.
 
-Where an ``impact`` observation is given, its ``rows`` metric is the number of rows hit. It is taken in the
-last stage of the plan, the one that writes.
+Where an ``impact`` observation is given, its ``rows`` metric is the number of rows hit. In a plain write it
+is taken in the last stage, whose tasks count once each. A write that shuffles afterwards (by partition) may
+repeat an earlier stage after a lost executor and count twice: use ``count_where`` or ``count_matching`` there.
 """
 
 from __future__ import annotations

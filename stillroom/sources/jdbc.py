@@ -254,11 +254,13 @@ def read_jdbc(spark: SparkSession, dialect: str, connection: Mapping[str, str],
 
 
 def bounds(spark: SparkSession, dialect: str, connection: Mapping[str, str], table: str, column: str, count: int) -> RangePartitions:
-    """Range partitions from the column's own extremes; the database computes both in one query."""
-    from pyspark.sql import functions as F
-
-    source = read_jdbc(spark, dialect, connection, table=table)
-    low, high = source.agg(F.min(column), F.max(column)).first()
+    """Range partitions from the column's own extremes; the database computes both, one row comes back."""
+    spec = DIALECTS[_dialect_name(dialect)]
+    name = quote_name(column, spec.quote, spec.end_quote)
+    query = f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {quote_name(table, spec.quote, spec.end_quote)}"
+    low, high = read_jdbc(spark, dialect, connection, query=query).first()
+    if low is None:
+        raise ValueError(f"{table} holds no value of {column} to partition by")
     return RangePartitions(column, low, high, count)
 
 

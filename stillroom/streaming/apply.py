@@ -25,6 +25,7 @@ from stillroom import files
 from stillroom.functions.expressions import quote_column
 from stillroom.operators.changes import prefixed, updated_by
 from stillroom.operators.conditions import SOURCE_PREFIX, Match
+from stillroom.operators.tables import refresh_window
 
 BUCKETS = 512
 ACTIONS = ("upsert", "update", "delete")
@@ -47,6 +48,22 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def window_stream(stream: DataFrame, path: str, date_column: str, checkpoint: str) -> None:
+    """Rolling-window refresh from a stream of snapshots, each the full re-read of a window of days.
+
+    A batch replaces everything from its own first day on, in a table partitioned by that day. Read the
+    snapshots one per batch. A batch that is delivered twice gives the same table.
+    """
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        first = df.agg(F.min(date_column)).first()[0]
+        if first is not None:
+            refresh_window(df, path, date_column, first.isoformat())
+
+    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The last row of each key by ``order_by``. An aggregate, not a window: a hot key collapses before the shuffle."""
     rest = [c for c in df.columns if c not in keys and c not in order_by]

@@ -1,7 +1,9 @@
+from unittest.mock import MagicMock
+
 import pytest
 
 from stillroom.schema import TypeMappingError, describe
-from stillroom.sources.jdbc import HashPartitions, RangePartitions, SourceColumn, columns_from_description, connection_options, hash_predicates, jdbc_options, source_schema, window_predicate
+from stillroom.sources.jdbc import HashPartitions, RangePartitions, SourceColumn, bounds, columns_from_description, connection_options, hash_predicates, jdbc_options, read_jdbc, source_schema, window_predicate
 
 CONNECTION = {"host": "db", "database": "shop", "user": "u", "password": "p"}
 
@@ -89,3 +91,33 @@ def test_window_predicate():
     assert window_predicate("LOAD_DATE", "2024-01-24", "azuresql") == "[LOAD_DATE] >= '2024-01-24'"
     with pytest.raises(ValueError):
         window_predicate("LOAD_DATE", "2024' OR 1=1 --", "mysql")
+
+
+def test_reader_gets_the_options():
+    spark = MagicMock()
+    result = read_jdbc(spark, "postgres", CONNECTION, table="public.orders", partition=RangePartitions("id", 1, 9, 4))
+    spark.read.format.assert_called_once_with("jdbc")
+    options = spark.read.format.return_value.options.call_args.kwargs
+    assert options["dbtable"] == '"public"."orders"' and options["numPartitions"] == "4"
+    assert result is spark.read.format.return_value.options.return_value.load.return_value
+
+
+def test_hash_partitions_become_one_predicate_per_task():
+    spark = MagicMock()
+    read_jdbc(spark, "azuresql", CONNECTION, query="SELECT * FROM t", partition=HashPartitions("id", 2))
+    (url, source), kwargs = spark.read.jdbc.call_args
+    assert url.startswith("jdbc:sqlserver:") and source == "(SELECT * FROM t) q"
+    assert kwargs["predicates"] == ["ABS(([id] % 2)) = 0 OR [id] IS NULL", "ABS(([id] % 2)) = 1"]
+    assert "url" not in kwargs["properties"] and kwargs["properties"]["fetchsize"] == "10000"
+
+
+def test_bounds_are_computed_by_the_database():
+    spark = MagicMock()
+    loaded = spark.read.format.return_value.options.return_value.load.return_value
+    loaded.first.return_value = (3, 99)
+    assert bounds(spark, "mysql", CONNECTION, "orders", "id", 8) == RangePartitions("id", 3, 99, 8)
+    query = spark.read.format.return_value.options.call_args.kwargs["query"]
+    assert query == "SELECT MIN(`id`) AS low, MAX(`id`) AS high FROM `orders`"
+    loaded.first.return_value = (None, None)
+    with pytest.raises(ValueError):
+        bounds(spark, "mysql", CONNECTION, "orders", "id", 8)

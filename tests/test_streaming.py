@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stillroom.streaming.apply import BucketedTable, append_stream, apply_stream, latest, read_stream
+from stillroom.streaming.apply import BucketedTable, append_stream, apply_stream, latest, read_stream, window_stream
 
 SCHEMA = T.StructType([T.StructField("k", T.LongType()), T.StructField("at", T.LongType()), T.StructField("v", T.StringType())])
 
@@ -131,3 +131,19 @@ def test_bounding_box_feed(spark, path):
     stream = read_stream(spark, path("in"), schema).filter(in_box("lon", "lat", 5.9962, 10.5226, 45.8389, 47.8229))
     append_stream(stream, path("out"), path("cp"))
     assert [r.callsign for r in spark.read.parquet(path("out")).collect()] == ["in"]
+
+
+def test_snapshots_refresh_a_window(spark, path):
+    import datetime as dt
+
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("day", T.DateType())])
+
+    def snapshot(days, factor):
+        rows = [(d * factor, dt.date(2024, 1, d)) for d in days]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path("in"))
+
+    for days, factor in ((range(1, 8), 1), ((5, 6, 8), 10)):
+        snapshot(days, factor)
+        window_stream(read_stream(spark, path("in"), schema, files_per_batch=1), path("t"), "day", path("cp"))
+    found = {r.day.day: r.n for r in spark.read.parquet(path("t")).collect()}
+    assert found == {1: 1, 2: 2, 3: 3, 4: 4, 5: 50, 6: 60, 8: 80}
