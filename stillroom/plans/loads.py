@@ -76,7 +76,7 @@ def wildcard_union_file_path(spark, sf_dir):
     root = scratch_path(spark, "wildcard")
     df = table(spark, sf_dir, "supplier")
     folder = F.concat(F.lit("src_"), F.col("s_nationkey").cast("string"))
-    df.withColumn("dir", folder).write.partitionBy("dir").option("header", False).csv(root)
+    df.withColumn("dir", folder).hint("rebalance", "dir").write.partitionBy("dir").option("header", False).csv(root)
     loaded = load_csv(spark, f"{root}/dir=src_*/*.csv", SUPPLIER, header=False, path_column="File Path", name_filter="part-*")
     return loaded.withColumn("source_dir", F.regexp_extract("File Path", r"dir=(src_\d+)/", 1)).drop("File Path")
 

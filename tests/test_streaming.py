@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stillroom.streaming.apply import BucketedTable, append_stream, apply_stream, latest, read_stream, window_stream
