@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from stillroom import files
+
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 
 _LOCAL_DIRS: dict[str, str] = {}
@@ -49,6 +51,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[application]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/stillroom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/stillroom/{name}-{uuid.uuid4().hex}"
+    """A fresh, unused path below the shared folder, in a part that belongs to this application."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application stored on the way. Call it when its results have been written."""
+    files.remove(spark, _scratch_root(spark))

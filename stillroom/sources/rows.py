@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from stillroom import files
 from stillroom.functions.expressions import quote_column
+from stillroom.operators.tables import packed
 from stillroom.schema import align, enforce_not_null
+from stillroom.session import scratch_path
+
+BATCH_ROWS = 100_000
 
 
 def rows_to_df(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
@@ -18,6 +25,24 @@ def rows_to_df(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructTy
     return spark.createDataFrame(list(rows), schema, verifySchema=True)
 
 
+def write_rows(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType, path: str, batch_rows: int = BATCH_ROWS) -> int:
+    """Store an iterator of any length as a table and return the number of rows.
+
+    Only one batch is in memory at a time, and the table appears when all batches are stored. For feeds that
+    can be fetched in pieces use ``fetch_rows``, which runs on executors.
+    """
+    staged, total, source = scratch_path(spark, "rows"), 0, iter(rows)
+    while True:
+        batch = list(itertools.islice(source, batch_rows))
+        if batch or not total:
+            rows_to_df(spark, batch, schema).write.mode("append").parquet(staged)
+            total += len(batch)
+        if len(batch) < batch_rows:
+            break
+    packed(spark.read.schema(schema).parquet(staged), files.total_bytes(spark, staged)).write.parquet(path)
+    return total
+
+
 def pandas_to_df(spark: SparkSession, frame, schema: T.StructType | None = None) -> DataFrame:
     """A pandas frame as a Spark frame, moved as Arrow batches."""
     df = spark.createDataFrame(frame)
@@ -52,6 +77,8 @@ def fetch_rows(spark: SparkSession, slots: Sequence, fetch: Callable[[object], I
     ``fetch`` runs on executors and must give the same rows when a lost task runs again.
     """
 
+    feed_name = f"stillroom_feed_{uuid.uuid4().hex}"
+
     class Reader(DataSourceReader):
         def partitions(self):
             return [_Slot(slot) for slot in slots]
@@ -63,7 +90,7 @@ def fetch_rows(spark: SparkSession, slots: Sequence, fetch: Callable[[object], I
     class Feed(DataSource):
         @classmethod
         def name(cls):
-            return "stillroom_feed"
+            return feed_name
 
         def schema(self):
             return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
@@ -72,7 +99,7 @@ def fetch_rows(spark: SparkSession, slots: Sequence, fetch: Callable[[object], I
             return Reader()
 
     spark.dataSource.register(Feed)
-    return enforce_not_null(spark.read.format("stillroom_feed").load(), schema)
+    return enforce_not_null(spark.read.format(feed_name).load(), schema)
 
 
 def load_result(spark: SparkSession, *, rows: Iterable[Sequence] | None = None, source: Mapping | None = None, schema: T.StructType | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from stillroom import files
 from stillroom.schema import TypeMappingError, align, data_type, describe, enforce_not_null, schema_from_header, struct_from_types, with_overrides
 from stillroom.sources.files import attach, detach, external_table, load_csv, load_csv_with_header_file, load_parquet, object_store_options
 from stillroom.sources.limits import QueryTooLargeError, guard_size, sample
-from stillroom.sources.rows import fetch_rows, insert_rows, load_result, map_columns, pandas_to_df, rows_to_df
+from stillroom.sources.rows import fetch_rows, insert_rows, load_result, map_columns, pandas_to_df, rows_to_df, write_rows
 
 
 def put(path, name, text, encoding="utf-8"):
@@ -278,6 +278,22 @@ def test_feed_runs_in_tasks(spark):
     assert sorted(rows(df)) == [(1, "item0"), (2, "item0"), (2, "item1"), (3, "item0"), (3, "item1"), (3, "item2")]
 
 
+def test_feeds_do_not_mix(spark):
+    schema = struct_from_types([("v", "int")])
+    one = fetch_rows(spark, [1], lambda slot: [(slot,)], schema)
+    two = fetch_rows(spark, [2], lambda slot: [(slot,)], schema)
+    assert (rows(one), rows(two)) == ([(1,)], [(2,)])
+
+
+def test_iterator_is_stored_in_batches(spark, path):
+    schema = struct_from_types([("k", "int", False), ("v", "text")])
+    assert write_rows(spark, ((i, f"v{i}") for i in range(25)), schema, path("it"), batch_rows=10) == 25
+    assert sorted(rows(spark.read.parquet(path("it")))) == [(i, f"v{i}") for i in range(25)]
+    assert write_rows(spark, iter([]), schema, path("none")) == 0
+    assert spark.read.parquet(path("none")).count() == 0
+    assert write_rows(spark, [(1, None)] * 10, schema, path("even"), batch_rows=5) == 10
+
+
 def test_load_result_takes_exactly_one_source(spark):
     schema = struct_from_types([("a", "int")])
     assert rows(load_result(spark, rows=[(1,)], schema=schema)) == [(1,)]
