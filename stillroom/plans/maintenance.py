@@ -53,20 +53,20 @@ def update_expression(spark, sf_dir):
 
 
 @plan("""
-SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal, CASE WHEN c_custkey % 3 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment FROM customer
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal, CASE WHEN c_acctbal < 0 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment FROM customer
 """)
 def update_changeset(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
-    changed = customers.filter(F.col("c_custkey") % 3 == 0).select(
+    changed = customers.filter(F.col("c_acctbal") < 0).select(
         "c_custkey", F.lit(0.0).alias("c_acctbal"), F.lit("CHANGED").alias("c_mktsegment")
     )
     return changes.apply_change(customers, "update", changed, match_columns=[["c_custkey", "c_custkey"]])
 
 
-@plan("SELECT * FROM orders WHERE o_orderkey % 5 <> 0")
+@plan("SELECT * FROM orders WHERE o_orderstatus <> 'F'")
 def delete_changeset(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    gone = orders.filter(F.col("o_orderkey") % 5 == 0).select(F.col("o_orderkey").alias("gone_key"))
+    gone = orders.filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("gone_key"))
     return changes.apply_change(orders, "delete", gone, match_columns=[["gone_key", "o_orderkey"]])
 
 
@@ -151,13 +151,13 @@ def partitioned_window_refresh(spark, sf_dir):
 
 @plan("""
 SELECT 'update' AS action, COUNT(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING'
-UNION ALL SELECT 'delete', COUNT(*) FROM orders WHERE o_custkey % 5 = 0
+UNION ALL SELECT 'delete', COUNT(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'MACHINERY'
 UNION ALL SELECT 'insert', COUNT(*) FROM supplier
 """)
 def impacted_counts(spark, sf_dir):
     customers, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
     updated = changes.count_where(customers, F.col("c_mktsegment") == "BUILDING")
-    gone = customers.filter(F.col("c_custkey") % 5 == 0).select("c_custkey")
+    gone = customers.filter(F.col("c_mktsegment") == "MACHINERY").select("c_custkey")
     deleted = changes.count_matching(orders, gone, [["c_custkey", "o_custkey"]])
     inserted = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n"))
     named = {"update": updated, "delete": deleted, "insert": inserted}
@@ -167,7 +167,7 @@ def impacted_counts(spark, sf_dir):
 
 @plan("""
 SELECT 'delete' AS action, (SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'F') AS n, (SELECT COUNT(*) FROM orders WHERE o_orderstatus <> 'F') AS rows_after
-UNION ALL SELECT 'update', (SELECT COUNT(*) FROM orders WHERE o_custkey % 7 = 0), (SELECT COUNT(*) FROM orders)
+UNION ALL SELECT 'update', (SELECT COUNT(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < 0), (SELECT COUNT(*) FROM orders)
 """)
 def observed_counts(spark, sf_dir):
     """Rows hit, counted while the new state is written, without a second scan."""
@@ -175,7 +175,7 @@ def observed_counts(spark, sf_dir):
     root = scratch_path(spark, "observed")
     deleted, updated = Observation(), Observation()
     write_table(changes.delete_where(orders, F.col("o_orderstatus") == "F", deleted), f"{root}/delete", "create")
-    changed = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 7 == 0).select("c_custkey", F.lit("X").alias("o_orderstatus"))
+    changed = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0).select("c_custkey", F.lit("X").alias("o_orderstatus"))
     write_table(changes.update_from(orders, changed, [["c_custkey", "o_custkey"]], updated), f"{root}/update", "create")
     hits = spark.createDataFrame([("delete", deleted.get["rows"]), ("update", updated.get["rows"])], "action string, n bigint")
     states = table_counts({action: spark.read.parquet(f"{root}/{action}") for action in ("delete", "update")})

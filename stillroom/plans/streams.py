@@ -32,7 +32,7 @@ def stream_upsert(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     schema = T.StructType([events.schema[c] for c in ("user_id", "event_id", "ts", "value")])
     root = scratch_path(spark, "last-events")
-    kept = BucketedTable(spark, f"{root}/table", schema, ["user_id"], ["ts", "event_id"], buckets=16)
+    kept = BucketedTable(spark, f"{root}/table", schema, ["user_id"], ["ts", "event_id"], buckets=64)
     apply_stream(event_stream(spark, sf_dir).select(schema.fieldNames()), kept, "upsert", f"{root}/checkpoint")
     return kept.read()
 
@@ -42,7 +42,7 @@ def stream_delete(spark, sf_dir):
     """Users by a stream of inserts, then those with an error removed by a stream of deletes."""
     schema = T.StructType([table(spark, sf_dir, "events").schema["user_id"]])
     root = scratch_path(spark, "clean-users")
-    users = BucketedTable(spark, f"{root}/table", schema, ["user_id"], [], buckets=16)
+    users = BucketedTable(spark, f"{root}/table", schema, ["user_id"], [], buckets=64)
     events = event_stream(spark, sf_dir)
     apply_stream(events.select("user_id"), users, "upsert", f"{root}/inserts")
     apply_stream(events.filter("event_type = 'error'").select("user_id"), users, "delete", f"{root}/deletes")
