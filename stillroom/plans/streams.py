@@ -2,9 +2,10 @@
 
 from pyspark.sql import types as T
 
+from stillroom import files
 from stillroom.plans import plan, table, table_path
 from stillroom.session import scratch_path
-from stillroom.streaming.apply import BucketedTable, append_stream, apply_stream, read_stream
+from stillroom.streaming.apply import BucketedTable, append_stream, apply_stream, buckets_for, read_stream
 
 COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
 
@@ -32,7 +33,7 @@ def stream_upsert(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     schema = T.StructType([events.schema[c] for c in ("user_id", "event_id", "ts", "value")])
     root = scratch_path(spark, "last-events")
-    kept = BucketedTable(spark, f"{root}/table", schema, ["user_id"], ["ts", "event_id"], buckets=64)
+    kept = BucketedTable(spark, f"{root}/table", schema, ["user_id"], ["ts", "event_id"], buckets_for(files.total_bytes(spark, table_path(sf_dir, "events"))))
     apply_stream(event_stream(spark, sf_dir).select(schema.fieldNames()), kept, "upsert", f"{root}/checkpoint")
     return kept.read()
 
@@ -42,7 +43,7 @@ def stream_delete(spark, sf_dir):
     """Users by a stream of inserts, then those with an error removed by a stream of deletes."""
     schema = T.StructType([table(spark, sf_dir, "events").schema["user_id"]])
     root = scratch_path(spark, "clean-users")
-    users = BucketedTable(spark, f"{root}/table", schema, ["user_id"], [], buckets=64)
+    users = BucketedTable(spark, f"{root}/table", schema, ["user_id"], [], buckets_for(files.total_bytes(spark, table_path(sf_dir, "events"))))
     events = event_stream(spark, sf_dir)
     apply_stream(events.select("user_id"), users, "upsert", f"{root}/inserts")
     apply_stream(events.filter("event_type = 'error'").select("user_id"), users, "delete", f"{root}/deletes")

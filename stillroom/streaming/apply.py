@@ -15,6 +15,8 @@ commit is recognised by its name and skipped; one that broke off is written anew
 from __future__ import annotations
 
 import hashlib
+import json
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,8 @@ from stillroom.operators.changes import prefixed, updated_by
 from stillroom.operators.conditions import SOURCE_PREFIX, Match
 from stillroom.operators.tables import refresh_window
 
-BUCKETS = 512
+BUCKET_BYTES = 512 * 1024**2
+MIN_BUCKETS, MAX_BUCKETS = 8, 16384
 ACTIONS = ("upsert", "update", "delete")
 
 
@@ -75,15 +78,33 @@ def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataF
     return grouped.select(columns)
 
 
+def buckets_for(table_bytes: int) -> int:
+    """Bucket count for a table of an expected size: the unit of rewriting stays near half a gigabyte."""
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, math.ceil(table_bytes / BUCKET_BYTES)))
+
+
 class BucketedTable:
-    """A table of unique keys that takes changesets."""
+    """A table of unique keys that takes changesets.
+
+    Keys and bucket count are fixed when the table is first opened and kept in ``_layout``; opening it with
+    others is an error, since rows would be looked for in the wrong buckets.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], order_by: Sequence[str], buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], order_by: Sequence[str], buckets: int | None = None):
         missing = [c for c in [*keys, *order_by] if c not in schema.fieldNames()]
         if missing:
             raise ValueError(f"columns that the table does not have: {missing}")
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.keys, self.order_by, self.buckets = list(keys), list(order_by), buckets
+        self.keys, self.order_by = list(keys), list(order_by)
+        layout = f"{self.root}/_layout"
+        if files.exists(spark, layout):
+            stored = json.loads(files.read_text(spark, layout))
+            if stored["keys"] != self.keys or buckets not in (None, stored["buckets"]):
+                raise ValueError(f"{root} is laid out for {stored}")
+            self.buckets = stored["buckets"]
+        else:
+            self.buckets = buckets or MIN_BUCKETS
+            files.write_text(spark, layout, json.dumps({"keys": self.keys, "buckets": self.buckets}))
 
     def _with_bucket(self, df: DataFrame) -> DataFrame:
         bucket = F.pmod(F.xxhash64(*[F.col(quote_column(k)) for k in self.keys]), F.lit(self.buckets))
@@ -94,15 +115,19 @@ class BucketedTable:
         found = [e.name for e in files.entries(self.spark, f"{self.root}/rows") if e.is_dir]
         return sorted(v for v in found if files.exists(self.spark, f"{self.root}/rows/{v}/_SUCCESS"))
 
-    def _touched(self, version: str) -> list[str]:
-        listed = files.entries(self.spark, f"{self.root}/changes/{version}")
+    def _buckets_in(self, part: str, version: str) -> list[str]:
+        listed = files.entries(self.spark, f"{self.root}/{part}/{version}")
         return [e.name for e in listed if e.is_dir and e.name.startswith("bucket=")]
 
+    def _touched(self, version: str) -> list[str]:
+        return self._buckets_in("changes", version)
+
     def current_folders(self, only: set[str] | None = None) -> list[str]:
         """For each bucket the folder of the last version that touched it; a bucket emptied by it has none."""
         last = {bucket: version for version in self.versions() for bucket in self._touched(version)}
-        wanted = [f"{self.root}/rows/{v}/{b}" for b, v in sorted(last.items()) if only is None or b in only]
-        return [path for path in wanted if files.exists(self.spark, path)]
+        wanted = {(v, b) for b, v in last.items() if only is None or b in only}
+        stored = {(v, b) for v in {v for v, _ in wanted} for b in self._buckets_in("rows", v)}
+        return [f"{self.root}/rows/{v}/{b}" for v, b in sorted(wanted & stored)]
 
     def read(self, only: set[str] | None = None) -> DataFrame:
         """The current rows, of all buckets or of some."""

@@ -132,6 +132,18 @@ def test_bounding_box_feed(spark, path):
     assert [r.callsign for r in spark.read.parquet(path("out")).collect()] == ["in"]
 
 
+def test_layout_is_fixed(spark, path):
+    from stillroom.streaming.apply import MAX_BUCKETS, MIN_BUCKETS, buckets_for
+
+    BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"], buckets=4)
+    assert BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"]).buckets == 4
+    for keys, buckets in ((["k"], 8), (["v"], None)):
+        with pytest.raises(ValueError, match="laid out"):
+            BucketedTable(spark, path("t"), SCHEMA, keys, ["at"], buckets)
+    assert buckets_for(0) == MIN_BUCKETS and buckets_for(10**20) == MAX_BUCKETS
+    assert buckets_for(100 * 1024**3) == 200
+
+
 def test_snapshots_refresh_a_window(spark, path):
     import datetime as dt
 
