@@ -58,9 +58,10 @@ def small_partitions(spark):
         spark.conf.set(key, value)
 
 
-def test_hot_target_key_is_split(spark, path, small_partitions):
-    """A third of the target under one key: its partition is divided over several tasks in every key join."""
-    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+@pytest.mark.parametrize("hot_key", [7, None])
+def test_hot_target_key_is_split(spark, path, small_partitions, hot_key):
+    """A third of the target under one key, or without one: its partition is divided over several tasks in every key join."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit(hot_key).cast("long")).otherwise(F.col("id"))
     rows = spark.range(0, 30000, numPartitions=8).select(hot.alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
     rows.write.parquet(path("t"))
     target = load_parquet(spark, path("t"))
