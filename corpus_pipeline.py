@@ -2,29 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
-from stillroom.llm.common import stored
+from stillroom.llm.common import ship, stored
+from stillroom.llm.decontaminate import keep_uncontaminated
+from stillroom.llm.language import keep_identified
+from stillroom.llm.packing import pack
+from stillroom.llm.simhash import keep_representatives
 from stillroom.plans import table
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def shipped(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
 
+    return run_stage
+
+
+@shipped
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; texts without letters and doubtful ones go."""
-    from stillroom.llm.language import keep_identified
-
     return keep_identified(docs)
 
 
+@shipped
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    from stillroom.llm.simhash import keep_representatives
-
     return keep_representatives(docs)
 
 
-STAGES = [
+@shipped
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return keep_uncontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+@shipped
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
 ]
 
 #: Trained models, fingerprints and tokenizers have no SQL form.

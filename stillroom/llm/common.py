@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +38,22 @@ def ascii_lower(text: Column) -> Column:
 
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application, however the driver came to import it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="stillroom-code-")  # the driver serves the file from here until it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = f"{folder}/{root.name}-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(name, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(name)
+    _SHIPPED.add(context.applicationId)

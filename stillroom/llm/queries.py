@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stillroom.llm.common import ship
 from stillroom.plans import table
+from stillroom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,7 +20,12 @@ SQL: dict[str, str] = {}
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        @wraps(function)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[function.__name__] = shipped
         if sql is not None:
             SQL[function.__name__] = sql.strip()
         return function
@@ -36,3 +45,51 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stillroom.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH doc AS (SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+    item AS (SELECT item_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+    window_of AS (
+      SELECT DISTINCT item_id, m, array_to_string(list_slice(w, pos, pos + m - 1), ' ') AS passage
+      FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS pos FROM (SELECT *, least(len(w), 10) AS m FROM item WHERE len(w) > 0))),
+    start_of AS (
+      SELECT doc_id, pos, m, array_to_string(list_slice(w, pos, pos + m - 1), ' ') AS passage
+      FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS pos FROM doc, (SELECT DISTINCT m FROM window_of) WHERE len(w) >= m)),
+    hit AS (SELECT doc_id, pos, m, item_id FROM start_of JOIN window_of USING (passage, m)),
+    covered AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT DISTINCT doc_id, unnest(range(pos, pos + m)) AS k FROM (SELECT DISTINCT doc_id, pos, m FROM hit)) GROUP BY 1),
+    named AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS items FROM hit GROUP BY 1)
+    SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+      sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+    FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+    """
+)
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.decontaminate import find_passages
+
+    found = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), end_id=1)
+
+
+@query()
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.idstore import read_store, write_store
+
+    folder = scratch_path(spark, "id-store")
+    write_store(table(spark, sf_dir, "documents"), folder, end_id=2)
+    return read_store(spark, folder)
