@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stillroom.llm.common import ship
+from stillroom.llm.common import ship, stored
 from stillroom.plans import table
 from stillroom.session import scratch_path
 
@@ -93,3 +93,57 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "id-store")
     write_store(table(spark, sf_dir, "documents"), folder, end_id=2)
     return read_store(spark, folder)
+
+
+#: The rules of op9_url_rules, in their order, and the patterns that judge other URLs.
+URL_PREFIXES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+URL_PATTERNS = [r"://([^/?#]*\.)?(casino|pills)[^/?#]*", r"\bspam-farm\b", r"\bcheap-pills\b", r"/wp-login\b", r"\bcalendar/[0-9]{4}/[0-9]{2}/[0-9]{2}\b"]
+
+
+@query(
+    r"""
+    WITH address AS (
+      SELECT page_id, url,
+        coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path,
+        translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS small
+      FROM pages),
+    judged AS (
+      SELECT *, CASE
+        WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/' END AS rule,
+        coalesce(regexp_matches(small, '://([^/?#]*\.)?(casino|pills)[^/?#]*|\bspam-farm\b|\bcheap-pills\b|/wp-login\b|\bcalendar/[0-9]{4}/[0-9]{2}/[0-9]{2}\b'), false) AS found
+      FROM address)
+    SELECT page_id, host, path, rule,
+      CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL OR found THEN 'block' ELSE 'allow' END AS verdict
+    FROM judged
+    """
+)
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.urls import Pattern, Prefix, judge
+
+    judged = judge(table(spark, sf_dir, "pages"), [Prefix(*p) for p in URL_PREFIXES], [Pattern(p) for p in URL_PATTERNS])
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.warc import assemble, captures, read_records, write_archives
+
+    folder = scratch_path(spark, "archives")
+    files = write_archives(table(spark, sf_dir, "pages"), folder, revisit_from=0)
+    records = stored(read_records(spark, folder, files), "records")
+    return captures(stored(assemble(records), "captures"))
+
+
+@query()
+def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.chat import digests, format_windows
+
+    said = "</s>[INST] ok [/INST]"
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(format_windows(given.unionByName(own)))
