@@ -147,3 +147,11 @@ def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return digests(format_windows(given.unionByName(own)))
+
+
+@query()
+def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.lines import judge
+
+    judged = judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.size("removed_lines").cast("long").alias("n_removed_lines"), "left_words")
