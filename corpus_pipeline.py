@@ -11,6 +11,7 @@ from stillroom.llm.common import ship, stored
 from stillroom.llm.decontaminate import keep_uncontaminated
 from stillroom.llm.language import keep_identified
 from stillroom.llm.packing import pack
+from stillroom.llm.secrets import find_secrets, redact
 from stillroom.llm.simhash import keep_representatives
 from stillroom.plans import table
 
@@ -44,6 +45,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return keep_uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@shipped
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts replaced."""
+    return redact(docs, stored(find_secrets(docs), "findings"))
+
+
 @shipped
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
@@ -54,6 +61,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
     ("simhash_near_dedup", simhash_near_dedup),
     ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
     ("packing", packing),
 ]
 

@@ -155,3 +155,10 @@ def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     judged = judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.size("removed_lines").cast("long").alias("n_removed_lines"), "left_words")
+
+
+@query()
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents")).select("doc_id", "start", "length", "value_sha256", "score", "is_secret")
