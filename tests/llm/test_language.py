@@ -1,0 +1,100 @@
+import numpy as np
+import pytest
+
+from stillroom.llm.language import BUCKETS, codes_of, counts_of, fit_temperature, grams_of, identify, keep_identified, predictor, softmax, train
+
+WORDS = {
+    "en": "the of and that with this from which have there their would about when where been other after".split(),
+    "de": "der die und nicht eine werden auch nach über können müssen für zwischen während größer schön".split(),
+    "fr": "le de les une dans pour qui pas avec être était même très où déjà français après".split(),
+}
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rnd = np.random.default_rng(3)
+    out = []
+    for i in range(240):
+        lang = ["en", "de", "fr"][i % 3]
+        out.append((i, " ".join(rnd.choice(WORDS[lang], size=int(rnd.integers(5, 60)))), lang if i % 11 else None, "s", 1.0))
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, score double")
+
+
+@pytest.fixture(scope="module")
+def model(docs):
+    return train(docs, train_rows=150)
+
+
+def test_held_out_accuracy_and_folds(docs, rows, model):
+    import zlib
+
+    found = {r["doc_id"]: r for r in identify(docs, model).collect()}
+    truth = {i: ["en", "de", "fr"][i % 3] for i, *_ in rows}
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in found.items())
+    out = [i for i, r in found.items() if r["held_out"]]
+    assert len(out) > 20 and np.mean([found[i]["lang_pred"] == truth[i] for i in out]) > 0.95
+    assert all(0 <= r["score"] <= 1 for r in found.values())
+
+
+def test_model_is_sparse_and_learns_from_the_training_fold_alone(docs, model):
+    from pyspark.sql import functions as F
+
+    assert 0 < np.count_nonzero(model.weights) < 0.2 * model.weights.size
+    from stillroom.llm.language import held_out
+
+    lied = docs.withColumn("lang", F.when(held_out(F.col("doc_id")), "xx").otherwise(F.col("lang"))).withColumn("text", F.when(held_out(F.col("doc_id")), "zzz").otherwise(F.col("text")))
+    other = train(lied, train_rows=150)
+    assert other.languages == model.languages and np.array_equal(other.weights, model.weights) and np.array_equal(other.idf, model.idf)
+
+
+def test_hard_rows(hard, hard_rows, model):
+    found = identify(hard, model).collect()
+    assert len(found) == len(hard_rows) and [f for f in hard.columns if f in identify(hard, model).columns] == ["doc_id", "score", "lang_pred"]
+    by_text = dict(zip([t for _, t, *_ in hard_rows], found, strict=True))
+    for text in (None, "", " \t\n ", "0123 !!! ### $$$"):
+        assert (by_text[text]["lang_pred"], by_text[text]["score"]) == ("und", 0.0)
+    assert all(r["held_out"] for r in found if r["doc_id"] is None)
+    kept = keep_identified(hard, model)
+    assert kept.columns == hard.columns and {r["doc_id"] for r in kept.collect()} >= {1, 2, 3}
+    assert not {5, 6, 7, 11} & {r["doc_id"] for r in kept.collect()}
+
+
+def test_without_labels_and_with_one_language(spark, hard, empty):
+    from pyspark.sql import functions as F
+
+    assert {r["lang_pred"] for r in identify(hard.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    assert {r["lang_pred"] for r in identify(hard.withColumn("lang", F.lit("en"))).collect()} == {"und", "en"}
+    assert identify(empty).count() == 0 and keep_identified(empty).count() == 0
+
+
+def test_long_texts_are_counted_whole(monkeypatch):
+    from stillroom.llm import language
+
+    text = "Über den Wolken " * 300
+    whole = counts_of(text)
+    monkeypatch.setattr(language, "BLOCK", 100)
+    parts = counts_of(text)
+    assert np.array_equal(whole[0], parts[0]) and np.array_equal(whole[1], parts[1])
+    assert sum(len(g) for g in grams_of(codes_of("ab"))) == 4 + 3 + 2 and whole[0].max() < BUCKETS
+
+
+def test_temperature_has_the_least_loss():
+    rnd = np.random.default_rng(1)
+    margins, truth = rnd.normal(size=(3, 500)) * 4, rnd.integers(0, 3, 500)
+    truth[:300] = margins[:, :300].argmax(axis=0)
+    t = fit_temperature(margins, truth)
+
+    def loss(x):
+        return -np.log(softmax(margins / x)[truth, np.arange(500)]).mean()
+
+    assert loss(t) <= min(loss(x) for x in np.linspace(0.5, 20, 200)) + 1e-6
+    assert fit_temperature(np.zeros((2, 0)), np.zeros(0, dtype=int)) == 1.0
+
+
+def test_predictor_without_a_model(hard):
+    assert {r[0]["lang_pred"] for r in hard.select(predictor(None)(hard["text"])).collect()} == {"und"}
