@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import json
 from functools import cache
+from struct import pack
 
 import numpy as np
 
-#: Chunks kept per task process, and the longest that is kept.
-KEPT, LONGEST = 300_000, 48
+#: Chunks of a generation kept per task process, and the longest that is kept.
+KEPT, LONGEST = 600_000, 48
 ID = np.dtype("<u4")
 
 
@@ -34,12 +35,14 @@ def byte_letters() -> dict[int, str]:
 
 
 class Encoder(dict):
-    """``encode(text)`` gives the ids as little-endian unsigned 32-bit numbers. The mapping itself holds chunks."""
+    """``encode(text)`` gives the ids as little-endian unsigned 32-bit numbers. The mapping itself holds chunks; when it
+    is full it becomes the older generation, from which chunks that are met again move on."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         made = json.loads(self.whole.to_str())
@@ -53,16 +56,21 @@ class Encoder(dict):
     def word(self, letters: str) -> bytes:
         if not letters.isascii():
             letters = "".join(map(byte_letters().__getitem__, letters.encode()))
-        return np.array([t.id for t in self.model.tokenize(letters)], dtype=ID).tobytes()
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, chunk: str) -> bytes:
-        core = chunk.lower()
-        end = core[-1:] if core[-1:] in (".", ",") else ""
-        core = core.removesuffix(end)
-        if core.isalpha() and (core.isascii() or max(core) < "Ā"):
-            ids = self.word(core) + (self.word(end) if end else b"")
-        else:
-            ids = self.full(chunk) if chunk else b""
+        ids = self.older.get(chunk)
+        if ids is None:
+            core = chunk.lower()
+            end = core[-1:] if core[-1:] in (".", ",") else ""
+            core = core.removesuffix(end)
+            if core.isalpha() and (core.isascii() or max(core) < "Ā"):
+                ids = self.word(core) if core == chunk else self[core] + (self[end] if end else b"")
+            elif chunk == end:
+                ids = self.word(end) if end else b""
+            else:
+                ids = self.full(chunk)
         if len(chunk) <= LONGEST:
             self[chunk] = ids
         return ids
@@ -73,6 +81,7 @@ class Encoder(dict):
         if not self.by_chunk:
             return self.full(text)
         if len(self) > KEPT:
+            self.older = dict(self)
             self.clear()
         chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.__getitem__, chunks))
