@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from stillroom.llm.common import stored
+
 
 UNKNOWN = "und"
 BUCKET_BITS = 16
@@ -141,14 +143,20 @@ def document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
 
 def choose(training: DataFrame, train_rows: int) -> DataFrame:
     """At most ``train_rows`` rows (lang, text, order), equally many different texts for each language."""
-    keyed = training.select("lang", F.xxhash64("text").alias("h"))
-    distinct = keyed.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n"))
-    languages = training.select("lang").distinct().count()
-    each = max(1, train_rows // max(1, languages))
-    ranked = distinct.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= each)
-    bounds = ranked.groupBy("lang").agg(F.max("h").alias("bound")).collect()  # a row for each language
-    among = reduce(Column.__or__, ((F.col("lang") == b["lang"]) & (F.xxhash64("text") <= b["bound"]) for b in bounds), F.lit(False))
-    return training.filter(among).groupBy("lang", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"))
+    distinct = stored(training.select("lang", F.xxhash64("text").alias("h")).distinct(), "labelled-texts")
+    counts = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each language
+    each = max(1, train_rows // max(1, len(counts)))
+
+    def below(bounds: list[tuple[str, int]]) -> Column:
+        return reduce(Column.__or__, ((F.col("lang") == x) & (F.col("h") <= b) for x, b in bounds), F.lit(False))
+
+    # Hashes are spread evenly: the least of a language's lie below twice their share of the range, which leaves the
+    # ranking few rows however many there are.
+    wide = [(r["lang"], -(1 << 63) + min((1 << 64) - 1, (2 * each + 100) * (1 << 64) // r["n"])) for r in counts]
+    ranked = distinct.filter(below(wide)).withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= each)
+    bounds = [(r["lang"], r["bound"]) for r in ranked.groupBy("lang").agg(F.max("h").alias("bound")).collect()]
+    chosen = training.select("lang", "text", F.xxhash64("text").alias("h")).filter(below(bounds))
+    return chosen.groupBy("lang", "h").agg(F.min("text").alias("text"))
 
 
 def fit_rows(rows: list[tuple[np.ndarray, np.ndarray, int]], n_languages: int, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> tuple[np.ndarray, np.ndarray]:
