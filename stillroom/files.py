@@ -64,6 +64,12 @@ def remove(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).delete(_path(spark, path), True)
 
 
+def make_transient(spark: SparkSession, path: str) -> None:
+    """Create a folder that the file system removes when the application ends."""
+    _fs(spark, path).mkdirs(_path(spark, path))
+    _fs(spark, path).deleteOnExit(_path(spark, path))
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     stream = _fs(spark, path).open(_path(spark, path))
     try:

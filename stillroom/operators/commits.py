@@ -10,11 +10,8 @@ from pyspark.sql import functions as F
 
 from stillroom.functions.expressions import content_hash, epoch_to_utc
 from stillroom.operators.model import Model
-from stillroom.session import scratch_path
 
 FILE_SIZE_LIMIT = 10 * 1024**2
-FILES_PER_PART = 10_000
-SEPARATOR = ", "
 
 
 def history_model() -> Model:
@@ -51,66 +48,21 @@ def commit_totals(changes: DataFrame) -> DataFrame:
     )
 
 
-def list_part(file_name: Column, parts: Column) -> Column:
-    """Part of a long list that a file belongs to, from the first 32 bits of its MD5."""
-    return F.pmod(F.conv(F.substring(F.md5(file_name.cast("binary")), 1, 8), 16, 10).cast("bigint"), parts)
+def commit_facts(commits: DataFrame, changes: DataFrame) -> DataFrame:
+    """The commits table: one row for every commit of ``commits``, with the totals of its changed files.
 
-
-def _spread(changes: DataFrame, files_per_part: int) -> DataFrame:
-    """Changes with the list part each belongs to, and the totals of commits too large for one part.
-
-    The large commits are stored first: the planner then knows their exact size, so it broadcasts them only
-    when they are few and otherwise joins by key with the changes on the side whose hot keys can split.
+    A commit without changed files has totals of 0. Names of changed files are rows of ``changed_files``.
     """
-    totals = commit_totals(changes)
-    large = totals.filter(F.col("number_of_changed_files") > files_per_part).select(
-        "commit_id",
-        F.ceil(F.col("number_of_changed_files") / files_per_part).cast("bigint").alias("__parts"),
-        F.struct([c for c in totals.columns if c != "commit_id"]).alias("__totals"),
+    numbers = ["insertions", "deletions", "number_of_changed_lines", "number_of_changed_files"]
+    joined = commit_heads(commits).join(commit_totals(changes), "commit_id", "left")
+    return joined.select(
+        "commit_id", "authored_date", "committed_date", "author_mail", "committer_mail", *(F.coalesce(n, F.lit(0).cast("bigint")).alias(n) for n in numbers), "message"
     )
-    path = scratch_path(changes.sparkSession, "large-commits")
-    large.write.parquet(path)
-    joined = changes.join(changes.sparkSession.read.parquet(path), "commit_id", "left")
-    part = F.when(F.col("__parts").isNull(), F.lit(0).cast("bigint")).otherwise(list_part(F.col("file_name"), F.col("__parts")))
-    # Partition by commit and part: by commit alone, all parts of a huge commit would meet in one task again.
-    return joined.withColumn("part", part).repartition("commit_id", "part")
-
-
-def commit_facts(changes: DataFrame, files_per_part: int = FILES_PER_PART) -> DataFrame:
-    """Totals of each commit with its changed files as comma-joined text, sorted by name.
-
-    A commit of up to ``files_per_part`` files gives one row. A larger one is spread by a hash of the file
-    name over as many rows as it needs, each with the commit's totals; together they list every file once.
-    No task ever holds all files of a huge commit. ``changes`` has one row per changed file of a commit.
-    """
-    grouped = _spread(changes, files_per_part).groupBy("commit_id", "part").agg(
-        F.any_value("__totals").alias("__totals"),
-        F.sum("insertions").alias("insertions"),
-        F.sum("deletions").alias("deletions"),
-        F.count(F.lit(1)).alias("number_of_changed_files"),
-        F.array_join(F.array_sort(F.collect_list("file_name")), SEPARATOR).alias("changed_files"),
-    )
-    own = {
-        "insertions": F.col("insertions"),
-        "deletions": F.col("deletions"),
-        "number_of_changed_lines": F.col("insertions") + F.col("deletions"),
-        "number_of_changed_files": F.col("number_of_changed_files"),
-    }
-    totals = [F.coalesce(F.col("__totals")[name], value).alias(name) for name, value in own.items()]
-    return grouped.select("commit_id", "part", *totals, "changed_files")
-
-
-def changed_file_lists(files: DataFrame, files_per_part: int = FILES_PER_PART) -> DataFrame:
-    """``(commit_id, part, changed_files)`` alone, from one row per changed file; parts as in ``commit_facts``."""
-    nothing = F.lit(0).cast("bigint")
-    changes = files.select("commit_id", "file_name", nothing.alias("insertions"), nothing.alias("deletions"))
-    return commit_facts(changes, files_per_part).select("commit_id", "part", "changed_files")
 
 
-def explode_files(commits: DataFrame) -> DataFrame:
-    """One row per commit and changed file from the joined text; an empty text yields no row."""
-    names = F.explode(F.split("changed_files", SEPARATOR)).alias("file_name")
-    return commits.select("commit_id", names).filter(F.col("file_name") != "")
+def changed_files(changes: DataFrame) -> DataFrame:
+    """``(commit_id, file_name)``: one row per changed file, from the change table itself, so that any name is kept."""
+    return changes.select("commit_id", "file_name")
 
 
 def hash_mapping(files: DataFrame) -> DataFrame:
@@ -124,8 +76,9 @@ def lines_per_author(lines: DataFrame) -> DataFrame:
 
 
 def line_count(text: Column) -> Column:
-    """Lines of a text: one more than its line breaks. No row per line is made."""
-    return (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("bigint")
+    """Lines of a text: its line breaks, and one more where text follows the last. No row per line is made."""
+    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    return (breaks + F.when((text != "") & ~F.endswith(text, F.lit("\n")), 1).otherwise(0)).cast("bigint")
 
 
 def lines_by_author(contributions: DataFrame) -> DataFrame:

@@ -5,9 +5,7 @@ from pyspark.sql import functions as F
 from stillroom.functions.expressions import content_hash, epoch_to_utc
 from stillroom.operators import commits
 from stillroom.operators.model import check_keys
-from stillroom.operators.tables import write_table
 from stillroom.plans import plan, table
-from stillroom.session import scratch_path
 
 
 def file_changes(spark, sf_dir):
@@ -20,33 +18,35 @@ def file_changes(spark, sf_dir):
     )
 
 
-def stored_changes(spark, sf_dir):
-    """The change table as it is kept, since the lists read it twice."""
-    path = scratch_path(spark, "file-changes")
-    write_table(file_changes(spark, sf_dir), path, "create")
-    return spark.read.parquet(path)
-
-
 @plan("""
-WITH ch AS (SELECT l_orderkey AS commit_id, CAST(l_partkey AS VARCHAR) AS file_name, SUM(CAST(l_quantity AS BIGINT)) AS ins, SUM(l_linenumber) AS del
-            FROM lineitem GROUP BY 1, 2),
-     tot AS (SELECT commit_id, CAST(SUM(ins) AS BIGINT) AS insertions, CAST(SUM(del) AS BIGINT) AS deletions, COUNT(*) AS files FROM ch GROUP BY 1),
-     part AS (SELECT ch.commit_id, file_name, insertions, deletions, files,
-                     CASE WHEN files > 10000 THEN CAST('0x' || substring(md5(file_name), 1, 8) AS BIGINT) % CAST(ceil(files / 10000.0) AS BIGINT) ELSE 0 END AS part
-              FROM ch JOIN tot ON ch.commit_id = tot.commit_id)
-SELECT commit_id, CAST(part AS BIGINT) AS part, insertions, deletions, insertions + deletions AS number_of_changed_lines,
-       files AS number_of_changed_files, string_agg(file_name, ', ' ORDER BY file_name) AS changed_files
-FROM part GROUP BY commit_id, part, insertions, deletions, files
+WITH ch AS (SELECT l_orderkey AS commit_id, l_partkey, SUM(CAST(l_quantity AS BIGINT)) AS ins, SUM(l_linenumber) AS del FROM lineitem GROUP BY 1, 2),
+     tot AS (SELECT commit_id, CAST(SUM(ins) AS BIGINT) AS ins, CAST(SUM(del) AS BIGINT) AS del, COUNT(*) AS files FROM ch GROUP BY 1)
+SELECT o_orderkey AS commit_id, o_orderdate AS authored_date, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 DAY AS committed_date,
+       concat('c', o_custkey, '@mail') AS author_mail, CASE o_orderstatus WHEN 'O' THEN NULL ELSE concat(o_orderstatus, '@mail') END AS committer_mail,
+       coalesce(ins, 0) AS insertions, coalesce(del, 0) AS deletions, coalesce(ins + del, 0) AS number_of_changed_lines,
+       coalesce(files, 0) AS number_of_changed_files, concat(o_orderpriority, chr(10), 'order ', o_orderkey) AS message
+FROM orders LEFT JOIN tot ON commit_id = o_orderkey
 """)
 def commit_facts(spark, sf_dir):
-    return commits.commit_facts(stored_changes(spark, sf_dir))
+    """Orders as commits, with their dates, people and message; orders without lines are commits without files."""
+    since = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
+    key = F.col("o_orderkey").cast("string")
+    heads = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("commit_id"),
+        since.alias("authored_seconds"),
+        (since + 86400).alias("committed_seconds"),
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@mail")).alias("author_mail"),
+        F.when(F.col("o_orderstatus") != "O", F.concat("o_orderstatus", F.lit("@mail"))).alias("committer_mail"),
+        F.concat("o_orderpriority", F.lit("\norder "), key).alias("message"),
+    )
+    return commits.commit_facts(heads, file_changes(spark, sf_dir))
 
 
-@plan("SELECT DISTINCT l_orderkey AS commit_id, CAST(l_partkey AS VARCHAR(20)) AS file_name FROM lineitem")
+@plan("SELECT DISTINCT l_orderkey AS commit_id, concat('dir, ', CAST(l_partkey AS VARCHAR), ', v.txt') AS file_name FROM lineitem")
 def changed_files_explode(spark, sf_dir):
-    """The joined lists taken apart again."""
-    lists = commits.changed_file_lists(stored_changes(spark, sf_dir).select("commit_id", "file_name"))
-    return commits.explode_files(lists)
+    """One row per commit and file, with names that hold the usual separators of lists."""
+    named = F.concat(F.lit("dir, "), "file_name", F.lit(", v.txt"))
+    return commits.changed_files(file_changes(spark, sf_dir).withColumn("file_name", named))
 
 
 @plan("SELECT event_id, date_trunc('second', ts) AS authored_date FROM events")
@@ -63,12 +63,15 @@ def content_hash_mapping(spark, sf_dir):
 
 
 @plan("""
-SELECT conv_id AS file_hash, role AS author, CAST(SUM(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS number_of_lines
-FROM conversations GROUP BY 1, 2
+SELECT conv_id AS file_hash, role AS author, CAST(SUM(length(text) - length(replace(text, chr(10), '')) + CASE WHEN text = '' OR text LIKE concat('%', chr(10)) THEN 0 ELSE 1 END) AS BIGINT) AS number_of_lines
+FROM (SELECT conv_id, role, text FROM conversations UNION ALL SELECT conv_id, role, concat(text, chr(10)) FROM conversations WHERE turn = 1 UNION ALL SELECT conv_id, role, '' FROM conversations WHERE turn = 2) t GROUP BY 1, 2
 """)
 def lines_per_author(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("file_hash"), F.col("role").alias("author"), "text")
-    return commits.lines_by_author(turns)
+    """Turns as texts, some with a final line break and some empty."""
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("file_hash"), F.col("role").alias("author"), "turn", "text")
+    ended = turns.filter("turn = 1").withColumn("text", F.concat("text", F.lit("\n")))
+    empty = turns.filter("turn = 2").withColumn("text", F.lit(""))
+    return commits.lines_by_author(turns.unionByName(ended).unionByName(empty))
 
 
 @plan("""

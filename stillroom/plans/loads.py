@@ -12,7 +12,7 @@ from stillroom.schema import struct_from_types
 from stillroom.session import scratch_path
 from stillroom.sources.files import load_csv, load_csv_with_header_file, load_parquet
 from stillroom.sources.jdbc import SourceColumn, source_schema, staged_parts
-from stillroom.sources.limits import guard_size, sample
+from stillroom.sources.limits import QueryTooLargeError, guard_size, sample
 from stillroom.sources.rows import map_columns, pandas_to_df, rows_to_df
 
 CUSTOMER = struct_from_types(
@@ -130,12 +130,17 @@ def load_sample(spark, sf_dir):
     return sample(load_parquet(spark, table_path(sf_dir, "orders"))).agg(F.count(F.lit(1)).alias("n"))
 
 
-@plan("SELECT l_returnflag, COUNT(*) AS n FROM lineitem GROUP BY l_returnflag")
+@plan("SELECT l_returnflag, COUNT(*) AS n, TRUE AS refused FROM lineitem GROUP BY l_returnflag")
 def size_guard(spark, sf_dir):
-    """Runs because the estimate stays within four times the table's own size."""
-    allowed = 4 * files.total_bytes(spark, table_path(sf_dir, "lineitem"))
+    """Runs within the table's own size, and is refused one byte below it."""
+    size = files.total_bytes(spark, table_path(sf_dir, "lineitem"))
     counts = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
-    return guard_size(counts, allowed)
+    try:
+        guard_size(counts, size - 1)
+        refused = False
+    except QueryTooLargeError:
+        refused = True
+    return guard_size(counts, size).withColumn("refused", F.lit(refused))
 
 
 @plan("""

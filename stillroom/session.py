@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,7 +10,7 @@ from stillroom import files
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 
-_LOCAL_DIRS: dict[str, str] = {}
+_ROOTS: set[str] = set()
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -38,21 +37,19 @@ def get_session(app_name: str = "stillroom", master: str | None = None, **extra:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: there, driver and executors share one disk.
+    Where that is not set, a folder in the warehouse, which all executors share as well.
     """
     configured = spark.conf.get(SHARED_DIR_KEY, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SHARED_DIR_KEY} to a folder shared by all executors")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_DIRS:
-        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="stillroom-")
-    return _LOCAL_DIRS[application]
+    return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def _scratch_root(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/stillroom/{spark.sparkContext.applicationId}"
+    """The application's part of the shared folder; it goes when the application ends, at the latest."""
+    root = f"{shared_dir(spark)}/stillroom/{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        files.make_transient(spark, root)
+        _ROOTS.add(root)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,4 +59,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this application stored on the way. Call it when its results have been written."""
-    files.remove(spark, _scratch_root(spark))
+    root = _scratch_root(spark)
+    files.remove(spark, root)
+    _ROOTS.discard(root)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 SAMPLE_ROWS = 1_000
-FETCHED_SAMPLE = 10_000
 MAX_BYTES = 1024**3
 
 
@@ -18,28 +17,42 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def scanned_bytes(df: DataFrame) -> int:
-    """Estimated size of the data the query reads, over all its scans."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
+def scanned_bytes(df: DataFrame) -> int | None:
+    """Bytes the query reads, over all its scans; None where a scan cannot tell.
 
-
-def guard_size(df: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Return the frame unless it would read more than ``max_bytes``."""
+    A scan of files counts the files it selects, after partition pruning. Any other source counts by its
+    statistics; sources without any report the session's default size, which says nothing.
+    """
+    spark, execution = df.sparkSession, df._jdf.queryExecution()
+    default = int(spark._jsparkSession.sessionState().conf().defaultSizeInBytes())
+    total, plan = 0, execution.sparkPlan().collectLeaves()
+    for i in range(plan.length()):
+        leaf = plan.apply(i)
+        if leaf.getClass().getSimpleName() == "FileSourceScanExec":
+            total += int(leaf.selectedPartitions().totalFileSize())
+        elif leaf.logicalLink().isDefined():
+            size = int(str(leaf.logicalLink().get().stats().sizeInBytes()))
+            if size >= default:
+                return None
+            total += size
+        elif leaf.getClass().getSimpleName() not in ("RangeExec", "LocalTableScanExec", "OneRowRelationExec"):
+            return None
+    return total
+
+
+def guard_size(df: DataFrame, max_bytes: int = MAX_BYTES, allow_unknown: bool = False) -> DataFrame:
+    """Return the frame unless it would read more than ``max_bytes``. A size that no source tells is refused too,
+    unless the caller says otherwise."""
     size = scanned_bytes(df)
-    if size > max_bytes:
+    if size is None and not allow_unknown:
+        raise QueryTooLargeError("no source of the query tells how much it would read; allow_unknown admits it")
+    if size is not None and size > max_bytes:
         raise QueryTooLargeError(f"the query would read about {size} bytes, allowed are {max_bytes}")
     return df
 
 
 def sample(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Any ``rows`` rows, to try a load out.
-
-    A small sample is fetched, which scans only as many partitions as it takes to fill it; the same limit
-    inside a plan would run a task for every partition of the table.
-    """
+    """Any ``rows`` rows, to try a load out. Nothing is read until the result is."""
     if rows < 0:
         raise ValueError("a sample cannot have a negative size")
-    if rows > FETCHED_SAMPLE:
-        return df.limit(rows)
-    return df.sparkSession.createDataFrame(df.take(rows), df.schema)
+    return df.limit(rows)

@@ -1,6 +1,5 @@
 import hashlib
 import random
-from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,40 +20,25 @@ def some_changes():
 
 
 @pytest.mark.parametrize("threshold", ["10485760", "-1"])
-def test_commit_facts_of_a_huge_commit(spark, threshold):
+def test_one_row_for_each_commit(spark, threshold):
     rows = some_changes()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    heads = [(c, 0, 1, "a@x", None, "it's") for c in sorted({r[0] for r in rows})] + [("no files", 5, 6, None, None, "")]
+    columns = "commit_id string, authored_seconds bigint, committed_seconds bigint, author_mail string, committer_mail string, message string"
     try:
-        facts = commits.commit_facts(spark.createDataFrame(rows, CHANGES), files_per_part=20).collect()
+        facts = commits.commit_facts(spark.createDataFrame(heads, columns), spark.createDataFrame(rows, CHANGES)).collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    by_commit = defaultdict(list)
-    for row in rows:
-        by_commit[row[0]].append(row)
-    listed = defaultdict(list)
+    assert sorted(f.commit_id for f in facts) == sorted(h[0] for h in heads)
     for fact in facts:
-        mine = by_commit[fact.commit_id]
+        mine = [r for r in rows if r[0] == fact.commit_id]
         ins, dels = sum(r[2] for r in mine), sum(r[3] for r in mine)
         assert (fact.insertions, fact.deletions, fact.number_of_changed_lines, fact.number_of_changed_files) == (ins, dels, ins + dels, len(mine))
-        names = fact.changed_files.split(", ")
-        assert names == sorted(names)
-        listed[fact.commit_id] += names
-        if fact.commit_id != "huge":
-            assert fact.part == 0
-        else:
-            assert fact.part == 0 or 0 < fact.part < 8
-            digits = [int(hashlib.md5(n.encode()).hexdigest()[:8], 16) % 8 for n in names]
-            assert set(digits) == {fact.part}
-    assert {c: sorted(n) for c, n in listed.items()} == {c: sorted(r[1] for r in mine) for c, mine in by_commit.items()}
-    assert sum(f.commit_id == "huge" for f in facts) == 8
-
-
-def test_lists_and_their_parts_agree(spark):
-    rows = some_changes()
-    df = spark.createDataFrame(rows, CHANGES)
-    exploded = commits.explode_files(commits.changed_file_lists(df, 20))
-    assert Counter(map(tuple, exploded.collect())) == Counter((r[0], r[1]) for r in rows)
-    assert commits.explode_files(spark.createDataFrame([("c", "")], "commit_id string, changed_files string")).count() == 0
+
+
+def test_names_of_changed_files_are_kept(spark):
+    rows = [("c", "a, b.txt", 1, 1), ("c", "", 1, 1), ("d", "x\ny", 1, 1)]
+    assert sorted(map(tuple, commits.changed_files(spark.createDataFrame(rows, CHANGES)).collect())) == sorted(r[:2] for r in rows)
 
 
 def test_commit_heads(spark):
@@ -68,7 +52,7 @@ def test_lines(spark):
     lines = spark.createDataFrame([("h", "a"), ("h", "a"), ("h", "b"), ("g", "author-mail a")], "file_hash string, author string")
     assert sorted(map(tuple, commits.lines_per_author(lines).collect())) == [("g", "author-mail a", 1), ("h", "a", 2), ("h", "b", 1)]
     texts = spark.createDataFrame([("h", "a", "x\ny\n"), ("h", "a", ""), ("h", "b", "one")], "file_hash string, author string, text string")
-    assert sorted(map(tuple, commits.lines_by_author(texts).collect())) == [("h", "a", 4), ("h", "b", 1)]
+    assert sorted(map(tuple, commits.lines_by_author(texts).collect())) == [("h", "a", 2), ("h", "b", 1)]
 
 
 def test_new_contents(spark):

@@ -1,7 +1,5 @@
 from unittest.mock import MagicMock
 
-import pytest
-
 from stillroom import files
 from stillroom.session import SHARED_DIR_KEY, clear_scratch, scratch_path, shared_dir
 
@@ -20,14 +18,10 @@ def test_the_cluster_names_the_shared_folder():
     assert first != second and first.startswith("hdfs://shared/work/stillroom/app-yarn-")
 
 
-def test_a_cluster_without_shared_folder_is_an_error():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(session("yarn", None))
-
-
-def test_only_a_local_master_falls_back():
-    spark = session("local[2]", None)
-    assert shared_dir(spark) == shared_dir(spark)
+def test_without_a_setting_the_warehouse_is_the_shared_folder():
+    spark = session("yarn", None)
+    spark.conf.get.side_effect = lambda key, default=None: "hdfs://warehouse/" if key == "spark.sql.warehouse.dir" else default
+    assert shared_dir(spark) == "hdfs://warehouse/_shared"
 
 
 def test_scratch_is_found_and_cleared(spark, monkeypatch):

@@ -311,7 +311,20 @@ def test_size_guard_and_sample(spark, path):
     assert guard_size(df.groupBy().count()).first()[0] == 5000
     with pytest.raises(QueryTooLargeError):
         guard_size(df.groupBy().count(), files.total_bytes(spark, path("n")) // 4)
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")
+    with pytest.raises(QueryTooLargeError, match="tells"):
+        guard_size(unknown)
+    assert guard_size(unknown, allow_unknown=True).count() == 1
     assert sample(df).count() == 1000
     assert sample(df.limit(3), 10).count() == 3
     with pytest.raises(ValueError):
         sample(df, -1)
+
+
+def test_size_guard_counts_the_selected_partitions(spark, path):
+    days = spark.range(20_000).selectExpr("id", "id % 10 AS day")
+    days.write.partitionBy("day").parquet(path("days"))
+    df, whole = spark.read.parquet(path("days")), files.total_bytes(spark, path("days"))
+    with pytest.raises(QueryTooLargeError):
+        guard_size(df, whole // 4)
+    assert guard_size(df.filter("day = 3"), whole // 4).count() == 2000
