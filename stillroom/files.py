@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -41,6 +42,14 @@ def entries(spark: SparkSession, path: str) -> list[Entry]:
     return sorted(found, key=lambda e: e.name)
 
 
+def walk(spark: SparkSession, path: str) -> list[Entry]:
+    """All files below a directory, at any depth."""
+    found = []
+    for entry in entries(spark, path):
+        found += walk(spark, entry.path) if entry.is_dir else [entry]
+    return found
+
+
 def glob(spark: SparkSession, pattern: str) -> list[Entry]:
     found = _fs(spark, pattern).globStatus(_path(spark, pattern)) or []
     return sorted(
@@ -84,3 +93,18 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+
+
+def claim(spark: SparkSession, path: str, owner: str) -> bool:
+    """Create a file that names its owner; False when it is another's."""
+    try:
+        stream = _fs(spark, path).create(_path(spark, path), False)
+    except Py4JJavaError:
+        if not exists(spark, path):
+            raise
+        return read_text(spark, path) == owner
+    try:
+        stream.write(bytearray(owner, "utf-8"))
+    finally:
+        stream.close()
+    return True

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from stillroom.functions.expressions import quote_name
 from stillroom.functions.geo import is_geography
-from stillroom.operators.tables import table_names
+from stillroom.operators.tables import tables_below
 
 LISTING = T.StructType(
     [
@@ -53,8 +53,9 @@ def list_catalog(spark: SparkSession, database: str | None = None, pattern: str
 def list_root(spark: SparkSession, root: str) -> DataFrame:
     """Every column of every table below a directory root; only file footers are read."""
     rows = []
-    for name in table_names(spark, root):
-        rows += _rows(None, name, spark.read.parquet(f"{root.rstrip('/')}/{name}").schema)
+    for name, path in sorted(tables_below(spark, root).items()):
+        database, _, table = name.rpartition(".")
+        rows += _rows(database or None, table, spark.read.parquet(path).schema)
     return spark.createDataFrame(rows, LISTING)
 
 

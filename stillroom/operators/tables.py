@@ -2,76 +2,180 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stillroom import files
 from stillroom.functions.expressions import quote_column, quote_name
 from stillroom.functions.geo import geo_to_wkt, is_geography
-from stillroom.schema import align, enforce_not_null
+from stillroom.schema import align, enforce_not_null, escaped_token
 
 FILE_BYTES = 128 * 1024**2
 PARTS_PER_OUTPUT = 5
+TABLES_AT_A_TIME = 4
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 MODES = ("create", "create_if_missing", "replace", "append")
 
 
-def write_table(df: DataFrame, path: str, mode: str = "create", *, schema: T.StructType | None = None, partition_by: Sequence[str] = ()) -> None:
-    """Write a frame as the table at ``path``.
+def write_table(df: DataFrame, path: str, mode: str = "create", *, schema: T.StructType | None = None, partition_by: Sequence[str] | None = None) -> int:
+    """Write a frame as the table at ``path`` and return the number of rows written.
 
     create: error when it exists. create_if_missing: leave an existing one alone. replace: stage beside it,
     then swap, so the frame may read the very table it replaces. append: align by name to what is there.
+    An existing table keeps its partition columns; other ones given for it are an error.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     spark = df.sparkSession
+    recover(spark, path)
     if schema is not None:
         df = enforce_not_null(align(df, schema), schema)
+    if mode in ("replace", "append"):
+        partition_by = _layout(spark, path, partition_by)
     if mode == "replace":
         staged = _beside(path, "staged")
-        _writer(df, partition_by).mode("errorifexists").parquet(staged)
+        rows = _write(df, staged, partition_by)
         swap_in(spark, staged, path)
-    elif mode == "append":
-        current = spark.read.parquet(path).schema
-        _writer(align(df, current), partition_by).mode("append").parquet(path)
-    else:
-        _writer(df, partition_by).mode("errorifexists" if mode == "create" else "ignore").parquet(path)
-
-
-def _writer(df: DataFrame, partition_by: Sequence[str]):
-    if not partition_by:
-        return df.write
-    # Few files per partition value, and a value that holds much data still spreads over several tasks.
-    return df.hint("rebalance", *[F.col(quote_column(c)) for c in partition_by]).write.partitionBy(*partition_by)
+        return rows
+    if mode == "append":
+        return _write(align(df, spark.read.parquet(path).schema), path, partition_by, "append")
+    if mode == "create_if_missing" and files.exists(spark, path):
+        return 0
+    return _write(df, path, partition_by)
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str] | None, mode: str = "errorifexists") -> int:
+    """The rows are counted in the stage that writes them."""
+    counted = Observation()
+    if partition_by:
+        # Few files per partition value, and a value that holds much data still spreads over several tasks.
+        df = df.hint("rebalance", *[F.col(quote_column(c)) for c in partition_by])
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return counted.get["rows"]
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns whose values name the folders of a table, outermost first."""
+    columns, folder = [], path
+    while inner := [e for e in files.entries(spark, folder) if e.is_dir and "=" in e.name and not e.name.startswith((".", "_"))]:
+        columns.append(unquote(inner[0].name.partition("=")[0]))
+        folder = inner[0].path
+    return columns
+
+
+def _layout(spark: SparkSession, path: str, partition_by: Sequence[str] | None) -> Sequence[str] | None:
+    """Partition columns for a write to ``path``: those the table has, else the given ones."""
+    if not any(not e.name.startswith(("_", ".")) for e in files.entries(spark, path)):
+        return partition_by
+    present = partition_columns(spark, path)
+    if partition_by is not None and list(partition_by) != present:
+        raise ValueError(f"{path} is partitioned by {present}, not by {list(partition_by)}")
+    return present
+
+
+def _parts(path: str) -> tuple[str, str]:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return parent, name
 
 
 def _beside(path: str, label: str) -> str:
-    parent, _, name = path.rstrip("/").rpartition("/")
+    parent, name = _parts(path)
     return f"{parent}/.{name}.{label}-{uuid.uuid4().hex}"
 
 
+def _journal(path: str) -> str:
+    parent, name = _parts(path)
+    return f"{parent}/.{name}.journal"
+
+
+def _replace(spark: SparkSession, path: str, moves: Sequence[Mapping[str, str | None]], leftovers: Sequence[str]) -> None:
+    """Let staged folders take the place of live ones. The journal is the point of no return: it is written under its
+    name by one rename, and whatever breaks off afterwards is finished by the next call of ``recover``."""
+    draft = f"{_journal(path)}-{uuid.uuid4().hex}"
+    files.write_text(spark, draft, json.dumps({"moves": list(moves), "leftovers": list(leftovers)}))
+    files.rename(spark, draft, _journal(path))
+    recover(spark, path)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a replacement of the table or of its partitions that broke off; True when there was one.
+
+    Every function here that changes a table calls it first. A move: ``staged`` (None to remove only) becomes ``live``,
+    what was there becomes ``old``. One that was made already has no staged folder left.
+    """
+    journal = _journal(path)
+    if not files.exists(spark, journal):
+        return False
+    plan = json.loads(files.read_text(spark, journal))
+    for move in plan["moves"]:
+        staged, live, old = move["staged"], move["live"], move["old"]
+        if staged is not None and not files.exists(spark, staged):
+            continue
+        if files.exists(spark, live):
+            files.rename(spark, live, old)
+        if staged is not None:
+            files.rename(spark, staged, live)
+    for leftover in plan["leftovers"]:
+        files.remove(spark, leftover)
+    files.remove(spark, journal)
+    spark.catalog.refreshByPath(path)
+    return True
+
+
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a finished staging folder in the place of a table. A failed swap puts the old table back."""
-    old = None
-    if files.exists(spark, path):
-        old = _beside(path, "old")
-        files.rename(spark, path, old)
-    try:
-        files.rename(spark, staged, path)
-    except Exception:
-        if old is not None:
-            files.rename(spark, old, path)
-        raise
-    if old is not None:
-        files.remove(spark, old)
+    """Put a finished staging folder in the place of a table."""
+    old = _beside(path, "old")
+    _replace(spark, path, [{"staged": staged, "live": path, "old": old}], [old])
+
+
+def _ledger(path: str, token: str) -> str:
+    """The mark of an applied request or batch; beside the table, so that replacing the table forgets none."""
+    if not re.fullmatch(r"[\w-]+", token):
+        raise ValueError(f"request id with characters that are not allowed: {token!r}")
+    parent, name = _parts(path)
+    return f"{parent}/.{name}.applied/{token}"
+
+
+def append_batch(df: DataFrame, path: str, token: str) -> bool:
+    """Append rows under a token that names them; False when they were applied before.
+
+    The table may be new, and may have been written and appended to by any other function here. The rows are staged
+    beside the table; then their files move in under names that begin with the token, and a mark is left. A call that
+    broke off is repeated from the start: files it left under the token are removed before the new ones move in.
+    """
+    spark, mark = df.sparkSession, _ledger(path, token)
+    recover(spark, path)
+    if files.exists(spark, mark):
+        return False
+    there = any(not e.name.startswith(("_", ".")) for e in files.entries(spark, path))
+    partition_by = partition_columns(spark, path) if there else None
+    rows = align(df, spark.read.parquet(path).schema) if there else df
+    staged = _beside(path, "batch")
+    _write(rows, staged, partition_by)
+    found = {e.path: e.path[e.path.index(_parts(staged)[1]) + len(_parts(staged)[1]) :].strip("/") for e in files.walk(spark, staged) if not e.name.startswith(("_", "."))}
+    for folder in sorted({name.rpartition("/")[0] for name in found.values()}):
+        for e in files.entries(spark, f"{path}/{folder}".rstrip("/")):
+            if e.name.startswith(f"{token}."):
+                files.remove(spark, e.path)
+    for k, (source, name) in enumerate(sorted(found.items())):
+        folder = name.rpartition("/")[0]
+        files.rename(spark, source, f"{path}/{folder}/{token}.{k:06d}.parquet" if folder else f"{path}/{token}.{k:06d}.parquet")
+    files.write_text(spark, mark, "")
+    files.remove(spark, staged)
     spark.catalog.refreshByPath(path)
+    return True
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType, mode: str = "create") -> None:
@@ -80,11 +184,14 @@ def create_table(spark: SparkSession, path: str, schema: T.StructType, mode: str
 
 
 def drop_table(spark: SparkSession, path: str, if_exists: bool = False) -> None:
+    recover(spark, path)
     if not files.exists(spark, path):
         if if_exists:
             return
         raise FileNotFoundError(path)
     files.remove(spark, path)
+    parent, name = _parts(path)
+    files.remove(spark, f"{parent}/.{name}.applied")
 
 
 def create_catalog_table(spark: SparkSession, name: str, schema: T.StructType, path: str) -> None:
@@ -118,76 +225,82 @@ def publish(df: DataFrame, path: str, mode: str) -> None:
 def append_once(df: DataFrame, path: str, request_id: str) -> bool:
     """Append under a request id, kept as the column ``request_id``; False when that request was applied before.
 
-    A request writes a folder of its own, so one that broke off is simply written again.
+    A request writes a folder of its own, so one that broke off is simply written again. Its rows are aligned by name
+    to those of earlier requests.
     """
-    if not re.fullmatch(r"[\w-]+", request_id):
-        raise ValueError(f"request id with characters that are not allowed: {request_id!r}")
-    folder = f"{path.rstrip('/')}/request_id={request_id}"
-    if files.exists(df.sparkSession, f"{folder}/_SUCCESS"):
+    spark, mark = df.sparkSession, _ledger(path, request_id)
+    if files.exists(spark, mark):
         return False
-    df.write.mode("overwrite").parquet(folder)
+    if any(e.is_dir and e.name.startswith("request_id=") and e.name != f"request_id={request_id}" for e in files.entries(spark, path)):
+        present = spark.read.parquet(path).schema
+        df = align(df, T.StructType([f for f in present.fields if f.name != "request_id"]))
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/request_id={request_id}")
+    files.write_text(spark, mark, "")
     return True
 
 
 def refresh(df: DataFrame, path: str) -> bool:
     """Create the table on the first run, append afterwards; True when it was created."""
+    recover(df.sparkSession, path)
     first = not files.exists(df.sparkSession, path)
     write_table(df, path, "create" if first else "append")
     return first
 
 
-def refresh_window(df: DataFrame, path: str, date_column: str, cutoff: str) -> None:
+def refresh_window(df: DataFrame, path: str, date_column: str, cutoff: str, until: str | None = None) -> None:
     """Rolling-window refresh of a table partitioned by date: only partitions of the window are touched.
 
-    The window's partitions are replaced by the frame's rows from ``cutoff`` on; those that receive no rows
-    are dropped.
+    The window's partitions, from ``cutoff`` up to but without ``until``, are replaced by the frame's rows of these
+    days; those that receive no rows are dropped.
     """
-    window = df.filter(F.col(quote_column(date_column)) >= F.lit(cutoff).cast("date"))
-    _replace_partitions(window, path, date_column, lambda value: value >= cutoff and not value.startswith("__"))
+    day = F.col(quote_column(date_column))
+    window = df.filter(day >= F.lit(cutoff).cast("date"))
+    if until is not None:
+        window = window.filter(day < F.lit(until).cast("date"))
+    _replace_partitions(window, path, date_column, lambda value: value is not None and value >= cutoff and (until is None or value < until))
 
 
-def rewrite_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str], change: Callable[[DataFrame], DataFrame]) -> None:
+def rewrite_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str | None], change: Callable[[DataFrame], DataFrame]) -> None:
     """Apply a change to some partitions of a table and leave the files of all others alone.
 
     ``change`` gets the rows of those partitions, for instance to upsert into them. A row it returns for any
-    other partition is an error, and nothing is replaced.
+    other partition is an error, and nothing is replaced. None names the partition of NULL.
     """
-    wanted = {str(v) for v in values}
-    folders = [f"{path}/{column}={v}" for v in sorted(wanted) if files.exists(spark, f"{path}/{column}={v}")]
+    recover(spark, path)
+    wanted = {None if v is None else str(v) for v in values}
+    folders = [e.path for e in files.entries(spark, path) if e.is_dir and _value_of(e.name, column) in wanted and e.name.startswith(f"{column}=")]
     schema = spark.read.parquet(path).schema
-    reader = spark.read.schema(schema).option("basePath", path)
-    current = reader.parquet(*folders) if folders else spark.createDataFrame([], schema)
+    current = spark.read.schema(schema).option("basePath", path).parquet(*folders) if folders else spark.createDataFrame([], schema)
     _replace_partitions(change(current), path, column, lambda value: value in wanted)
 
 
-def _replace_partitions(df: DataFrame, path: str, column: str, covered: Callable[[str], bool]) -> None:
-    """Write a frame beside a partitioned table, then let its partitions take the place of all covered ones.
+def _value_of(folder: str, column: str) -> str | None:
+    """The partition value that a folder's name stands for."""
+    value = folder[len(column) + 1 :]
+    return None if value == NULL_PARTITION else unquote(value)
 
-    Each partition changes by two renames; the old ones are removed only when all have changed, so a run that
-    breaks off loses nothing.
-    """
+
+def _replace_partitions(df: DataFrame, path: str, column: str, covered: Callable[[str | None], bool]) -> None:
+    """Write a frame beside a partitioned table, then let its partitions take the place of all covered ones."""
     spark, prefix, staged = df.sparkSession, f"{column}=", _beside(path, "partitions")
-    _writer(df, [column]).parquet(staged)
+    recover(spark, path)
+    _write(df, staged, [column])
 
     def partitions(root: str) -> set[str]:
         return {e.name for e in files.entries(spark, root) if e.is_dir and e.name.startswith(prefix)}
 
     fresh = partitions(staged)
-    outside = sorted(name for name in fresh if not covered(name[len(prefix) :]))
+    outside = sorted(name for name in fresh if not covered(_value_of(name, column)))
     if outside:
         files.remove(spark, staged)
         raise ValueError(f"rows for partitions that are not to change: {outside[:5]}")
     old = _beside(path, "old")
-    for name in sorted(partitions(path) | fresh):
-        if not covered(name[len(prefix) :]):
-            continue
-        if files.exists(spark, f"{path}/{name}"):
-            files.rename(spark, f"{path}/{name}", f"{old}/{name}")
-        if name in fresh:
-            files.rename(spark, f"{staged}/{name}", f"{path}/{name}")
-    files.remove(spark, old)
-    files.remove(spark, staged)
-    spark.catalog.refreshByPath(path)
+    moves = [
+        {"staged": f"{staged}/{name}" if name in fresh else None, "live": f"{path}/{name}", "old": f"{old}/{name}"}
+        for name in sorted(partitions(path) | fresh)
+        if covered(_value_of(name, column))
+    ]
+    _replace(spark, path, moves, [old, staged])
 
 
 def write_tables(frames: Mapping[str, DataFrame], root: str, mode: str = "create", schemas: Mapping[str, T.StructType] | None = None) -> None:
@@ -200,9 +313,38 @@ def write_tables(frames: Mapping[str, DataFrame], root: str, mode: str = "create
         write_table(df, f"{root.rstrip('/')}/{name}", mode, schema=schemas.get(name))
 
 
+def tables_below(spark: SparkSession, root: str) -> dict[str, str]:
+    """Tables below a directory root, by name, with their paths.
+
+    A Parquet file is a table, and so is a folder that is named like one, holds files or has partitions. Any other
+    folder is a schema: its own tables are named after it. ``.parquet`` is no part of a name.
+    """
+
+    def is_table(entry: files.Entry) -> bool:
+        inside = _visible(spark, entry.path) if entry.is_dir else []
+        return entry.name.endswith(".parquet") or any("=" in e.name if e.is_dir else e.name.startswith("part-") for e in inside)
+
+    def name_of(entry: files.Entry) -> str:
+        return entry.name.removesuffix(".parquet")
+
+    found = {}
+    for entry in _visible(spark, root):
+        if is_table(entry):
+            found[name_of(entry)] = entry.path
+        elif entry.is_dir:
+            found |= {f"{entry.name}.{name_of(e)}": e.path for e in _visible(spark, entry.path) if is_table(e)}
+    if not found:
+        raise FileNotFoundError(f"no tables below {root}")
+    return found
+
+
+def _visible(spark: SparkSession, path: str) -> list[files.Entry]:
+    return [e for e in files.entries(spark, path) if not e.name.startswith((".", "_"))]
+
+
 def table_names(spark: SparkSession, root: str) -> list[str]:
-    """Tables below a directory root: its visible sub-folders."""
-    return [e.name for e in files.entries(spark, root) if e.is_dir and not e.name.startswith((".", "_"))]
+    """Names of the tables below a directory root."""
+    return sorted(tables_below(spark, root))
 
 
 def copy_tables(
@@ -215,21 +357,26 @@ def copy_tables(
     file_bytes: int = FILE_BYTES,
     mode: str = "create",
 ) -> list[str]:
-    """Copy the tables of one root to another, densely written.
+    """Copy the tables of one root to another, densely written; schemas and partition columns are kept.
 
     ``transform_by_type`` is a test on column types and a function for the columns that pass it; all others
     go through unchanged. The number of files follows from the input's bytes. Files are packed without a
-    shuffle.
+    shuffle, except where they are dealt to partitions. Some tables are copied at a time.
     """
-    copied = []
-    for name in tables if tables is not None else table_names(spark, source):
-        path = f"{source.rstrip('/')}/{name}"
+    below = tables_below(spark, source)
+
+    def copy(name: str) -> str:
+        path = below[name]
         df = spark.read.parquet(path)
         if transform_by_type is not None:
             df = map_columns_by_type(df, *transform_by_type)
-        write_table(packed(df, files.total_bytes(spark, path), file_bytes), f"{target.rstrip('/')}/{name}", mode)
-        copied.append(name)
-    return copied
+        partition_by = partition_columns(spark, path)
+        rows = df if partition_by else packed(df, files.total_bytes(spark, path), file_bytes)
+        write_table(rows, f"{target.rstrip('/')}/{name.replace('.', '/')}", mode, partition_by=partition_by or None)
+        return name
+
+    with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
+        return list(pool.map(copy, tables if tables is not None else sorted(below)))
 
 
 def packed(df: DataFrame, input_bytes: int, file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -252,11 +399,16 @@ def map_columns_by_type(df: DataFrame, test: Callable[[T.DataType], bool], chang
 
 
 def convert_tables(spark: SparkSession, listing: DataFrame, target: str) -> list[str]:
-    """Copy every table a metadata query selects (one column ``table_name``) to a root. Names only pass the driver."""
+    """Copy every table a metadata query selects (one column ``table_name``) to a root, its database as a folder
+    of its own. Names only pass the driver."""
     names = [row["table_name"] for row in listing.select("table_name").toLocalIterator()]
-    for name in names:
-        write_table(spark.table(quote_name(name)), f"{target.rstrip('/')}/{name.rpartition('.')[2]}", "create")
-    return names
+
+    def convert(name: str) -> str:
+        write_table(spark.table(quote_name(name)), f"{target.rstrip('/')}/{name.replace('.', '/')}", "create")
+        return name
+
+    with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
+        return list(pool.map(convert, names))
 
 
 def as_text(column: Column, data_type: T.DataType) -> Column:
@@ -274,16 +426,26 @@ def as_text(column: Column, data_type: T.DataType) -> Column:
     return column.cast("string")
 
 
-def export_csv(df: DataFrame, path: str, *, sep: str = ",", header: bool = True, null_token: str = "NULL", compression: str | None = None) -> None:
-    """Export as CSV text, so that ``load_csv`` reads the same table back."""
+def export_csv(df: DataFrame, path: str, *, sep: str = ",", header: bool = True, null_token: str = "NULL", compression: str | None = None) -> int:
+    """Export as CSV text, so that ``load_csv`` reads the same table back; returns the number of rows.
+
+    A text that is the null token itself gets a backslash before it, and one more where it begins with such. Texts with
+    line breaks are quoted; ``load_csv`` reads them with ``multi_line``.
+    """
     columns = []
     for field in df.schema.fields:
-        columns.append(F.coalesce(as_text(F.col(quote_column(field.name)), field.dataType), F.lit(null_token)).alias(field.name))
-    writer = df.select(columns).write.option("header", header).option("sep", sep).option("escape", '"').option("emptyValue", "")
+        text = as_text(F.col(quote_column(field.name)), field.dataType)
+        if isinstance(field.dataType, T.StringType):
+            text = F.when(F.rlike(text, F.lit(escaped_token(null_token))), F.concat(F.lit("\\"), text)).otherwise(text)
+        columns.append(F.coalesce(text, F.lit(null_token)).alias(field.name))
+    counted = Observation()
+    rows = df.select(columns).observe(counted, F.count(F.lit(1)).alias("rows"))
+    writer = rows.write.option("header", header).option("sep", sep).option("escape", '"').option("emptyValue", "")
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)
+    return counted.get["rows"]
 
 
 def save_text(df: DataFrame, path: str) -> None:

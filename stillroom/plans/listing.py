@@ -4,8 +4,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from stillroom.operators.catalog import list_catalog, table_counts
-from stillroom.operators.tables import convert_tables, table_names
+from stillroom.operators.catalog import list_catalog, list_root, table_counts
+from stillroom.operators.tables import convert_tables, copy_tables, tables_below, write_table
 from stillroom.plans import plan, table
 from stillroom.session import scratch_path
 
@@ -40,15 +40,23 @@ def catalog_columns(spark, sf_dir):
     return listed.join(counts, "table_name")
 
 
-@plan("SELECT r_name AS schema_name, n_name AS table_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA' AND n_nationkey > 3")
+@plan("""
+SELECT 'star' AS schema_name, 'orders' AS table_name, 'o_orderkey' AS column_name, 'bigint' AS data_type, COUNT(*) AS n FROM orders
+UNION ALL SELECT 'star', 'nation', 'n_nationkey', 'int', COUNT(*) FROM nation
+""")
 def catalog_join_filter(spark, sf_dir):
-    tables = table(spark, sf_dir, "nation").withColumn("active", F.col("n_nationkey") > 3)
-    schemas = table(spark, sf_dir, "region").filter(F.col("r_name") != "ASIA")
-    return (
-        tables.filter(F.col("active"))
-        .join(schemas, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("r_name").alias("schema_name"), F.col("n_name").alias("table_name"))
-    )
+    """A query over metadata: the first columns of the tables of one schema, of two roots joined, with row counts."""
+    root = scratch_path(spark, "schemas")
+    for name in ("star/orders", "star/nation", "other/region"):
+        write_table(table(spark, sf_dir, name.rpartition("/")[2]), f"{root}/{name}", "create")
+    copied = scratch_path(spark, "schemas-copy")
+    copy_tables(spark, root, copied)
+    left, right = list_root(spark, root), list_root(spark, copied)
+    same = ["schema_name", "table_name", "column_name", "data_type"]
+    chosen = left.filter((F.col("position") == 1) & (F.col("schema_name") != "other")).join(right.select(same), same)
+    counts = table_counts({name: spark.read.parquet(path) for name, path in tables_below(spark, copied).items()})
+    counts = counts.select(F.substring_index("table_name", ".", -1).alias("table_name"), "n")
+    return chosen.join(counts, "table_name").select(*same, "n")
 
 
 @plan("""
@@ -67,4 +75,4 @@ def catalog_driven_copy(spark, sf_dir):
     )
     root = scratch_path(spark, "converted")
     convert_tables(spark, wanted, root)
-    return table_counts({name.removeprefix(prefix): spark.read.parquet(f"{root}/{name}") for name in table_names(spark, root)})
+    return table_counts({name.removeprefix(prefix): spark.read.parquet(path) for name, path in tables_below(spark, root).items()})

@@ -7,7 +7,6 @@ from stillroom.operators.catalog import table_counts
 from stillroom.operators.model import Model, check_keys, denormalise, model_of, tag_keys
 from stillroom.plans import plan, table
 from stillroom.plans.external import money
-from stillroom.plans.loads import SUPPLIER
 from stillroom.schema import struct_from_types
 from stillroom.session import scratch_path
 from stillroom.sources.files import attach, detach, load_csv
@@ -31,26 +30,37 @@ def publish_modes(spark, sf_dir):
     return table_counts(steps).withColumnRenamed("table_name", "step")
 
 
-@plan("""
-SELECT 'region' AS table_name, COUNT(*) AS n FROM region UNION ALL SELECT 'nation', COUNT(*) FROM nation
-UNION ALL SELECT 'supplier', COUNT(*) FROM supplier UNION ALL SELECT 'part', COUNT(*) FROM part
-""")
+COPIED = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@plan(" UNION ALL ".join(f"SELECT '{name}' AS table_name, COUNT(*) AS n FROM {name}" for name in COPIED))
 def copy_all_tables(spark, sf_dir):
-    names = ("region", "nation", "supplier", "part")
+    """Every table of the folder, as it stands there, copied and attached; the copies must hold the same rows."""
     root = scratch_path(spark, "copies")
-    tables.write_tables({name: table(spark, sf_dir, name) for name in names}, f"{root}/old")
-    tables.copy_tables(spark, f"{root}/old", f"{root}/new")
-    views = attach(spark, f"{root}/new", "copied")
-    counts = table_counts({view.removeprefix("copied_"): spark.table(view) for view in views})
+    tables.copy_tables(spark, sf_dir, root)
+    views = attach(spark, root, "copied")
+    frames = {view.removeprefix("copied_"): spark.table(view) for view in views}
+    different = [name for name, df in frames.items() if content_sum(df) != content_sum(table(spark, sf_dir, name))]
+    if different:
+        raise AssertionError(f"copies that differ: {different}")
+    counts = table_counts(frames)
     detach(spark, views)
     return counts
 
 
-@plan("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def content_sum(df):
+    """A number that the rows of a table give in any order."""
+    return df.agg(F.count(F.lit(1)), F.sum((F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)) % 1_000_000_007).cast("decimal(38,0)"))).first()
+
+
+@plan("SELECT doc_id, text, lang, source, n_chars FROM documents UNION ALL SELECT -1, 'NULL', NULL, '', 0 UNION ALL SELECT -2, concat('\\NULL', chr(10), '\"'), '\\NULL', 'a,b', NULL")
 def csv_export_roundtrip(spark, sf_dir):
+    """Texts with line breaks and quotes, the null token as a text, empty texts and NULL, there and back."""
+    schema = struct_from_types([("doc_id", "big_int"), ("text", "text"), ("lang", "text"), ("source", "text"), ("n_chars", "big_int")])
+    odd = spark.createDataFrame([(-1, "NULL", None, "", 0), (-2, '\\NULL\n"', "\\NULL", "a,b", None)], schema)
     path = scratch_path(spark, "exported")
-    tables.export_csv(table(spark, sf_dir, "supplier"), path)
-    return load_csv(spark, path, SUPPLIER)
+    tables.export_csv(table(spark, sf_dir, "documents").select(odd.columns).unionByName(odd), path)
+    return load_csv(spark, path, schema, multi_line=True)
 
 
 def order_model():

@@ -197,3 +197,8 @@ def ddl_name(target: T.DataType) -> str:
 def describe(schema: T.StructType) -> list[tuple[str, str, bool]]:
     """``(name, type, nullable)`` for each column, in order."""
     return [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields]
+
+
+def escaped_token(null_token: str) -> str:
+    """Pattern of the texts that a CSV export marks by a backslash: the null token, with backslashes before it or not."""
+    return r"^\\*\Q" + null_token + r"\E$"

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stillroom.functions.expressions import epoch_to_utc, quote_column
-from stillroom.schema import align, convert, ddl_name, enforce_not_null, schema_from_header
+from stillroom.schema import align, convert, ddl_name, enforce_not_null, escaped_token, schema_from_header
 
 # Order of the fields in a date, by style name.
 DATE_STYLES = {"MDY": "M/d/y", "DMY": "d/M/y", "YMD": "y/M/d", "YDM": "y/d/M"}
@@ -32,13 +33,16 @@ def load_csv(
     locale: str | None = None,
     path_column: str | None = None,
     name_filter: str | None = None,
+    multi_line: bool = False,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read CSV files into a declared schema.
 
     Fields are read as text and converted by built-in expressions, because the reader's own null handling
     cannot tell an empty text from the null token. A field equal to ``null_token`` is NULL; an empty field
-    is an empty text in a text column and NULL in any other. Malformed lines and values raise.
+    is an empty text in a text column and NULL in any other. A text of the token behind backslashes loses one
+    of them, as ``export_csv`` adds it. Malformed lines and values raise. ``multi_line`` admits quoted line breaks;
+    a file is then one task's work.
 
     ``paths`` may hold globs and may name a file twice, which yields its rows twice. ``path_column`` adds the
     path of the file each row came from.
@@ -50,7 +54,7 @@ def load_csv(
         .option("mode", "FAILFAST")
         .option("nullValue", UNUSED_NULL)
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
     )
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
@@ -63,6 +67,7 @@ def load_csv(
         text = F.col(quote_column(field.name))
         if isinstance(field.dataType, T.StringType):
             value = F.nullif(F.coalesce(text, F.lit("")), F.lit(null_token))
+            value = F.when(F.rlike(value, F.lit(escaped_token(null_token))), F.substring(value, 2, 2**31 - 1)).otherwise(value)
             value = value if field.dataType == T.StringType() else value.cast(field.dataType)
         else:
             value = F.nullif(F.nullif(text, F.lit(null_token)), F.lit(""))
@@ -122,8 +127,11 @@ def load_csv_with_header_file(spark: SparkSession, data_glob: str, header_path:
 
 
 def load_parquet(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None, *, name_filter: str | None = None) -> DataFrame:
-    """Read Parquet files; with a schema, columns are taken by name, cast and checked, else the files' own is used."""
-    reader = spark.read
+    """Read Parquet files; with a schema, columns are taken by name, cast and checked, else the files' own is used.
+
+    Files may have different columns: the result has all of them, NULL where a file has none.
+    """
+    reader = spark.read.option("mergeSchema", True)
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
     df = reader.parquet(*([paths] if isinstance(paths, str) else list(paths)))
@@ -136,6 +144,12 @@ def load_parquet(spark: SparkSession, paths: str | Sequence[str], schema: T.Stru
     return typed if all(f.nullable for f in schema.fields) else enforce_not_null(typed, schema)
 
 
+def union_by_position(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Parquet files one below the other by the position of their columns, named as in the first; a file that is listed
+    twice is read twice."""
+    return reduce(DataFrame.union, (spark.read.parquet(p) for p in paths))
+
+
 def external_table(spark: SparkSession, name: str, paths: str | Sequence[str], *, format: str = "parquet", schema: T.StructType | None = None, **options) -> DataFrame:
     """Name files as a temporary table of this session."""
     if format == "csv":
@@ -152,12 +166,12 @@ def external_table(spark: SparkSession, name: str, paths: str | Sequence[str], *
 
 def attach(spark: SparkSession, root: str, alias: str) -> list[str]:
     """Make every table below a directory readable as ``<alias>_<table>``; returns the view names."""
-    from stillroom.operators.tables import table_names
+    from stillroom.operators.tables import tables_below
 
     names = []
-    for table in table_names(spark, root):
-        view = f"{alias}_{table}"
-        spark.read.parquet(f"{root.rstrip('/')}/{table}").createOrReplaceTempView(view)
+    for table, path in sorted(tables_below(spark, root).items()):
+        view = f"{alias}_{table.replace('.', '_')}"
+        spark.read.parquet(path).createOrReplaceTempView(view)
         names.append(view)
     return names
 

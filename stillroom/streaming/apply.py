@@ -1,22 +1,14 @@
-"""Incremental loads as streams: repeated appends and repeated changesets.
+"""Incremental loads as streams: repeated appends, snapshots of a window, and repeated changesets.
 
-Appends use Spark's file sink, which records each batch and so writes it exactly once.
-
-Changesets go to a table kept in hash buckets of the key. A batch rewrites only the buckets its keys fall
-into, as a new version beside the older ones::
-
-    <root>/changes/version=000003-<run>-<batch>/bucket=7/…   the batch, one row per key
-    <root>/rows/version=000003-<run>-<batch>/bucket=7/…      the buckets after it
-
-A version counts once its write has committed (``_SUCCESS``). A batch that is delivered again after its
-commit is recognised by its name and skipped; one that broke off is written anew.
+Every micro-batch is named after its run (the checkpoint) and number. What it does is repeatable until its mark is
+left, and is not done again afterwards, so a batch that is delivered twice is applied once.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +19,10 @@ from stillroom import files
 from stillroom.functions.expressions import quote_column
 from stillroom.operators.changes import prefixed, updated_by
 from stillroom.operators.conditions import SOURCE_PREFIX, Match
-from stillroom.operators.tables import refresh_window
+from stillroom.operators.tables import append_batch, refresh_window, write_table
 
-BUCKET_BYTES = 512 * 1024**2
-MIN_BUCKETS, MAX_BUCKETS = 8, 16384
 ACTIONS = ("upsert", "update", "delete")
+DELETED, VERSION = "__deleted", "__version"
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, *, files_per_batch: int = 1000) -> DataFrame:
@@ -39,106 +30,121 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, *, files_p
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def _run(stream: DataFrame, checkpoint: str, batch) -> None:
+    """Hand every new batch to a function, with its name, then stop."""
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    writer = stream.writeStream.foreachBatch(lambda df, number: batch(df, f"{run}-{number}"))
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Append everything that is new since the last run, then stop."""
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
-
-
-def window_stream(stream: DataFrame, path: str, date_column: str, checkpoint: str) -> None:
+    """Append everything that is new since the last run, then stop.
+
+    The table may be new, or written and appended to by other means before and after.
+    """
+    _run(stream, checkpoint, lambda df, token: append_batch(df, path, token))
+
+
+def window_stream(spark: SparkSession, source: str, schema: T.StructType, path: str, date_column: str, checkpoint: str, *, files_per_batch: int = 1000) -> None:
     """Rolling-window refresh from a stream of snapshots, each the full re-read of a window of days.
 
-    A batch replaces everything from its own first day on, in a table partitioned by that day. Read the
-    snapshots one per batch. A batch that is delivered twice gives the same table.
+    A snapshot is the folder ``<source>/snapshot=<id>/from=<first day>`` of files, finished by ``_SUCCESS``; ids grow.
+    The stream only tells which snapshots have new files: each of them is then read whole, however its files fell into
+    batches, and takes the place of the window's days up to the first day of any newer snapshot. A snapshot that is not
+    finished is an error, and its batch comes again.
     """
+    listed = T.StructType([*schema.fields, T.StructField("snapshot", T.StringType()), T.StructField("from", T.StringType())])
+    stream = read_stream(spark, source, listed, files_per_batch=files_per_batch).select("snapshot", "from")
+    applied = f"{path.rstrip('/')}.snapshots"
+
+    def batch(df: DataFrame, token: str) -> None:
+        for row in sorted(df.distinct().collect()):  # a row for each snapshot
+            folder = f"{source.rstrip('/')}/snapshot={row['snapshot']}/from={row['from']}"
+            if not files.exists(spark, f"{folder}/_SUCCESS"):
+                raise ValueError(f"the snapshot {folder} is not finished")
+            known = [e.name.partition("@") for e in files.entries(spark, applied)]
+            newer = [start for number, _, start in known if number > row["snapshot"]]
+            if not newer or min(newer) > row["from"]:
+                refresh_or_create(spark.read.schema(schema).parquet(folder), row["from"], min(newer, default=None))
+            files.write_text(spark, f"{applied}/{row['snapshot']}@{row['from']}", "")
+
+    def refresh_or_create(rows: DataFrame, start: str, until: str | None) -> None:
+        if not files.exists(spark, path):
+            write_table(rows.filter("false"), path, "create_if_missing", partition_by=[date_column])
+        refresh_window(rows, path, date_column, start, until)
+
+    _run(stream, checkpoint, batch)
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        first = df.agg(F.min(date_column)).first()[0]
-        if first is not None:
-            refresh_window(df, path, date_column, first.isoformat())
 
-    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+def _ordered(fields: Sequence[T.StructField]) -> list[str]:
+    """Columns of types that have an order."""
+    return [f.name for f in fields if not isinstance(f.dataType, (T.VariantType, T.MapType, T.StructType, T.ArrayType))]
 
 
 def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The last row of each key by ``order_by``. An aggregate, not a window: a hot key collapses before the shuffle."""
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    if not rest and not order_by:
+    """The last row of each key by ``order_by``, the other columns deciding where that is equal. An aggregate, not a
+    window: a hot key collapses before the shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
         return df.distinct()
-    ranked = F.struct([F.col(quote_column(c)) for c in [*order_by, *rest]])
-    grouped = df.groupBy([F.col(quote_column(k)) for k in keys]).agg(F.max(ranked).alias("__last"))
-    columns = [F.col(quote_column(c)) if c in keys else F.col("__last")[c].alias(c) for c in df.columns]
-    return grouped.select(columns)
+    ties = [c for c in _ordered(df.schema.fields) if c in rest and c not in order_by]
+    last = F.max_by(F.struct([F.col(quote_column(c)) for c in rest]), F.struct([F.col(quote_column(c)) for c in [*order_by, *ties]]))
+    grouped = df.groupBy([F.col(quote_column(k)) for k in keys]).agg(last.alias("__last"))
+    return grouped.select([F.col(quote_column(c)) if c in keys else F.col("__last")[c].alias(c) for c in df.columns])
 
 
-def buckets_for(table_bytes: int) -> int:
-    """Bucket count for a table of an expected size: the unit of rewriting stays near half a gigabyte."""
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, math.ceil(table_bytes / BUCKET_BYTES)))
+class KeyedTable:
+    """A table of keys that takes changesets, merged when it is read.
 
+    A batch only adds its rows, with a number and a mark for deletes; reading takes the last row of each key by
+    ``order_by``, then by number, so that the result does not depend on how changes fell into batches, and a late change
+    neither displaces nor revives anything newer. Rows with a NULL in their key match nothing and are kept each. When
+    the additions are large against the rest, or many, they are merged into it.
 
-class BucketedTable:
-    """A table of unique keys that takes changesets.
-
-    Keys and bucket count are fixed when the table is first opened and kept in ``_layout``; opening it with
-    others is an error, since rows would be looked for in the wrong buckets.
+    ``data/<number>-<token>`` holds a batch, ``versions/<number>`` the folders that make up the table after it. The
+    version file is the point of commit; ``applied/<token>`` remembers every batch.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], order_by: Sequence[str], buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], order_by: Sequence[str], *, merge_ratio: float = 0.5, max_additions: int = 32):
         missing = [c for c in [*keys, *order_by] if c not in schema.fieldNames()]
         if missing:
             raise ValueError(f"columns that the table does not have: {missing}")
+        if not order_by and set(schema.fieldNames()) != set(keys):
+            raise ValueError("a table of more than keys needs columns that order its changes")
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.keys, self.order_by = list(keys), list(order_by)
-        layout = f"{self.root}/_layout"
-        if files.exists(spark, layout):
-            stored = json.loads(files.read_text(spark, layout))
-            if stored["keys"] != self.keys or buckets not in (None, stored["buckets"]):
-                raise ValueError(f"{root} is laid out for {stored}")
-            self.buckets = stored["buckets"]
-        else:
-            self.buckets = buckets or MIN_BUCKETS
-            files.write_text(spark, layout, json.dumps({"keys": self.keys, "buckets": self.buckets}))
-
-    def _with_bucket(self, df: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64(*[F.col(quote_column(k)) for k in self.keys]), F.lit(self.buckets))
-        return df.withColumn("bucket", bucket.cast("int"))
-
-    def versions(self) -> list[str]:
-        """Committed versions, oldest first."""
-        found = [e.name for e in files.entries(self.spark, f"{self.root}/rows") if e.is_dir]
-        return sorted(v for v in found if files.exists(self.spark, f"{self.root}/rows/{v}/_SUCCESS"))
-
-    def _buckets_in(self, part: str, version: str) -> list[str]:
-        listed = files.entries(self.spark, f"{self.root}/{part}/{version}")
-        return [e.name for e in listed if e.is_dir and e.name.startswith("bucket=")]
-
-    def _touched(self, version: str) -> list[str]:
-        return self._buckets_in("changes", version)
-
-    def current_folders(self, only: set[str] | None = None) -> list[str]:
-        """For each bucket the folder of the last version that touched it; a bucket emptied by it has none."""
-        last = {bucket: version for version in self.versions() for bucket in self._touched(version)}
-        wanted = {(v, b) for b, v in last.items() if only is None or b in only}
-        stored = {(v, b) for v in {v for v, _ in wanted} for b in self._buckets_in("rows", v)}
-        return [f"{self.root}/rows/{v}/{b}" for v, b in sorted(wanted & stored)]
-
-    def read(self, only: set[str] | None = None) -> DataFrame:
-        """The current rows, of all buckets or of some."""
-        folders = self.current_folders(only)
+        self.merge_ratio, self.max_additions = merge_ratio, max_additions
+        self.stored = T.StructType([*(T.StructField(f.name, f.dataType) for f in schema.fields), T.StructField(DELETED, T.BooleanType()), T.StructField(VERSION, T.LongType())])
+        layout, own = f"{self.root}/layout", {"keys": self.keys, "order_by": self.order_by}
+        if not files.exists(spark, layout):
+            files.write_text(spark, layout, json.dumps(own))
+        elif (found := json.loads(files.read_text(spark, layout))) != own:
+            raise ValueError(f"{root} is laid out for {found}")
+
+    def _state(self) -> dict:
+        """The last version: number, token, base folder and folders of additions, with their bytes."""
+        names = sorted(e.name for e in files.entries(self.spark, f"{self.root}/versions") if e.name.isdigit())
+        return json.loads(files.read_text(self.spark, f"{self.root}/versions/{names[-1]}")) if names else {"number": 0, "token": None, "base": None, "added": []}
+
+    def _rows(self, folders: Sequence[str]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*folders)
+            return self.spark.createDataFrame([], self.stored)
+        return self.spark.read.schema(self.stored).parquet(*(f"{self.root}/data/{f}" for f in folders))
+
+    def _merged(self, rows: DataFrame) -> DataFrame:
+        """The last row of each key, deletes included, and all rows without a whole key."""
+        whole = " AND ".join(f"{quote_column(k)} IS NOT NULL" for k in self.keys)
+        return latest(rows.filter(whole), self.keys, [*self.order_by, VERSION]).unionByName(rows.filter(f"NOT ({whole})"))
+
+    def read(self) -> DataFrame:
+        """The current rows."""
+        state = self._state()
+        folders = [f["name"] for f in [state["base"], *state["added"]] if f]
+        return self._merged(self._rows(folders)).filter(~F.col(DELETED)).select(self.schema.fieldNames())
 
     def load(self, df: DataFrame) -> None:
         """First content of an empty table."""
-        if self.versions():
+        if self._state()["number"]:
             raise ValueError(f"{self.root} already holds rows")
         self.apply(df, "upsert", "load-0")
 
@@ -146,73 +152,82 @@ class BucketedTable:
         """Apply one changeset under a name that identifies it; False when it was applied before."""
         if action not in ACTIONS:
             raise ValueError(f"action must be one of {ACTIONS}, not {action!r}")
-        done = self.versions()
-        if any(v.partition("-")[2] == token for v in done):
+        if not re.fullmatch(r"[\w-]+", token):
+            raise ValueError(f"token with characters that are not allowed: {token!r}")
+        state, mark = self._state(), f"{self.root}/applied/{token}"
+        if files.exists(self.spark, mark) or state["token"] == token:
+            files.write_text(self.spark, mark, "")
             return False
-        number = int(done[-1].partition("=")[2].partition("-")[0]) + 1 if done else 0
-        version = f"version={number:012d}-{token}"
-        changes_path, rows_path = f"{self.root}/changes/{version}", f"{self.root}/rows/{version}"
-
-        columns = self.keys + [c for c in self.schema.fieldNames() if c not in self.keys and c in batch.columns]
-        usable = batch.select([F.col(quote_column(c)) for c in columns]).dropna(subset=self.keys)
-        ordered = [c for c in self.order_by if c in columns]
-        reduced = latest(usable, self.keys, ordered) if len(columns) > len(self.keys) else usable.distinct()
-        # Stored once: what follows reads it twice, and its folders name the touched buckets without a job.
-        self._write(reduced, changes_path)
-        touched = set(self._touched(version))
-        if touched:
-            changes_schema = T.StructType([f for f in self.schema.fields if f.name in columns])
-            changes = self.spark.read.schema(changes_schema).parquet(*[f"{changes_path}/{b}" for b in sorted(touched)])
-            merged = self._merge(self.read(touched), changes, action)
-        else:
-            merged = self.spark.createDataFrame([], self.schema)
-        self._write(merged, rows_path)
+        number = state["number"] + 1
+        columns = [c for c in self.schema.fieldNames() if c in batch.columns]
+        rows = batch.select([F.col(quote_column(c)) for c in columns])
+        rows = rows if action == "upsert" else rows.dropna(subset=self.keys)
+        changed = {"upsert": self._upserted, "update": self._updated, "delete": self._deleted}[action](rows)
+        added = self._store(changed.withColumn(VERSION, F.lit(number).cast("long")), f"{number:012d}-{token}")
+        base, additions = state["base"], [*state["added"], added]
+        if base is None or sum(f["bytes"] for f in additions) > self.merge_ratio * base["bytes"]:
+            base, additions = self._store(self._merged(self._rows([f["name"] for f in [base, *additions] if f])), f"{number:012d}-{token}-base"), []
+        elif len(additions) > self.max_additions:
+            additions = [self._store(self._merged(self._rows([f["name"] for f in additions])), f"{number:012d}-{token}-added")]
+        self._commit({"number": number, "token": token, "base": base, "added": additions})
+        files.write_text(self.spark, mark, "")
         return True
 
-    def _merge(self, current: DataFrame, changes: DataFrame, action: str) -> DataFrame:
-        names = self.schema.fieldNames()
-        if action == "upsert":
-            if set(changes.columns) != set(names):
-                raise ValueError("an upsert stream needs complete rows")
-            # A late row never displaces a newer one, so the result does not depend on how files fell into batches.
-            return latest(current.select(names).unionByName(changes.select(names)), self.keys, self.order_by)
-        pairs = [(k, k) for k in self.keys]
-        if action == "delete":
-            return current.join(changes.select(self.keys), self.keys, "left_anti").select(names)
+    def _upserted(self, rows: DataFrame) -> DataFrame:
+        if set(rows.columns) != set(self.schema.fieldNames()):
+            raise ValueError("an upsert stream needs complete rows")
+        return rows.select("*", F.lit(False).alias(DELETED))
+
+    def _updated(self, rows: DataFrame) -> DataFrame:
+        """The rows of the table that the changes hit, as they are afterwards."""
+        ordered = [c for c in self.order_by if c in rows.columns]
+        changes = latest(rows, self.keys, ordered)
         newer = None
-        if self.order_by and all(c in changes.columns for c in self.order_by):
+        if self.order_by and len(ordered) == len(self.order_by):
             incoming = F.struct([F.col(quote_column(SOURCE_PREFIX + c)).alias(c) for c in self.order_by])
             newer = incoming >= F.struct([F.col(quote_column(c)).alias(c) for c in self.order_by])
         match = Match([(k, k) for k in self.keys], newer, frozenset(self.keys))
-        return updated_by(current, prefixed(changes, changes.columns, match), changes.schema, match)
+        hit = self.read().join(changes.select(self.keys), self.keys, "left_semi").select(self.schema.fieldNames())
+        return updated_by(hit, prefixed(changes, changes.columns, match), changes.schema, match).select("*", F.lit(False).alias(DELETED))
 
-    def _write(self, df: DataFrame, path: str) -> None:
-        bucketed = self._with_bucket(df)
-        bucketed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    def _deleted(self, rows: DataFrame) -> DataFrame:
+        """Deletes stand at the order they bring; without one, at that of the row they remove."""
+        if all(c in rows.columns for c in self.order_by):
+            gone = latest(rows.select(list(dict.fromkeys([*self.keys, *self.order_by]))), self.keys, self.order_by)
+        else:
+            gone = self.read().join(rows.select(self.keys).distinct(), self.keys, "left_semi")
+        names = {*self.keys, *self.order_by}
+        columns = [F.col(quote_column(f.name)) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        return gone.select(*columns, F.lit(True).alias(DELETED))
+
+    def _store(self, rows: DataFrame, name: str) -> dict:
+        path = f"{self.root}/data/{name}"
+        rows.select(self.stored.fieldNames()).write.mode("overwrite").parquet(path)
+        return {"name": name, "bytes": files.total_bytes(self.spark, path)}
+
+    def _commit(self, state: dict) -> None:
+        """Writes the version. A number belongs to the writer that claims it first; another one raises."""
+        path = f"{self.root}/versions/{state['number']:012d}"
+        if not files.claim(self.spark, f"{path}.claim", state["token"]):
+            raise RuntimeError(f"version {state['number']} of {self.root} is being written by another run")
+        files.write_text(self.spark, f"{path}.draft", json.dumps(state))
+        files.rename(self.spark, f"{path}.draft", path)
 
     def vacuum(self) -> int:
-        """Remove versions no bucket needs any more, and broken-off ones; the latest always stays. Run it while nothing reads."""
-        done = self.versions()
-        needed = {b: v for v in done for b in self._touched(v)}
-        keep = set(needed.values()) | set(done[-1:])
-        removed = 0
-        for part in ("rows", "changes"):
-            for entry in files.entries(self.spark, f"{self.root}/{part}"):
-                if entry.is_dir and entry.name not in keep:
-                    files.remove(self.spark, entry.path)
-                    removed += 1
+        """Remove folders that the table no longer needs, and older versions. Run it while nothing reads or writes. The
+        batches that were applied stay known."""
+        state, removed = self._state(), 0
+        needed = {f["name"] for f in [state["base"], *state["added"]] if f}
+        for entry in files.entries(self.spark, f"{self.root}/data"):
+            if entry.name not in needed:
+                files.remove(self.spark, entry.path)
+                removed += 1
+        for entry in files.entries(self.spark, f"{self.root}/versions"):
+            if entry.name != f"{state['number']:012d}":
+                files.remove(self.spark, entry.path)
         return removed
 
 
-def apply_stream(stream: DataFrame, table: BucketedTable, action: str, checkpoint: str) -> None:
-    """Apply every new batch of a stream of changes, then stop.
-
-    The run's name comes from its checkpoint, so a batch that is delivered twice is applied once.
-    """
-    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        table.apply(df, action, f"{run}-{batch_id}")
-
-    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+def apply_stream(stream: DataFrame, table: KeyedTable, action: str, checkpoint: str) -> None:
+    """Apply every new batch of a stream of changes, then stop."""
+    _run(stream, checkpoint, lambda df, token: table.apply(df, action, token))

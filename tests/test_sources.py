@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from stillroom import files
 from stillroom.schema import TypeMappingError, align, data_type, describe, enforce_not_null, schema_from_header, struct_from_types, with_overrides
-from stillroom.sources.files import attach, detach, external_table, load_csv, load_csv_with_header_file, load_parquet, object_store_options
+from stillroom.sources.files import attach, detach, external_table, load_csv, load_csv_with_header_file, load_parquet, object_store_options, union_by_position
 from stillroom.sources.limits import QueryTooLargeError, guard_size, sample
 from stillroom.sources.rows import fetch_rows, insert_rows, load_result, map_columns, pandas_to_df, rows_to_df, write_rows
 
@@ -328,3 +328,13 @@ def test_size_guard_counts_the_selected_partitions(spark, path):
     with pytest.raises(QueryTooLargeError):
         guard_size(df, whole // 4)
     assert guard_size(df.filter("day = 3"), whole // 4).count() == 2000
+
+
+def test_parquet_files_with_different_columns(spark, path):
+    spark.createDataFrame([(1, "a")], "k int, x string").write.parquet(path("one"))
+    spark.createDataFrame([(2, 5)], "k int, y int").write.parquet(path("two"))
+    for names in (["one", "two"], ["two", "one"]):
+        df = load_parquet(spark, [path(n) for n in names])
+        assert set(rows(df.select("k", "x", "y"))) == {(1, "a", None), (2, None, 5)}
+    spark.createDataFrame([(3, "b")], "other int, name string").write.parquet(path("three"))
+    assert rows(union_by_position(spark, [path("one"), path("three"), path("three")])) == [(1, "a"), (3, "b"), (3, "b")]

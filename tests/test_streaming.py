@@ -1,9 +1,11 @@
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import types as T
 
-from stillroom.streaming.apply import BucketedTable, append_stream, apply_stream, latest, read_stream, window_stream
+from stillroom.operators.tables import write_table
+from stillroom.streaming.apply import KeyedTable, append_stream, apply_stream, latest, read_stream, window_stream
 
 SCHEMA = T.StructType([T.StructField("k", T.LongType()), T.StructField("at", T.LongType()), T.StructField("v", T.StringType())])
 
@@ -47,40 +49,110 @@ def test_append_runs_take_each_file_once(spark, path):
     assert rows(spark.read.parquet(path("out"))) == sorted(first + second)
 
 
+def test_appends_of_all_kinds_are_seen(spark, path):
+    """First load, stream, batch and stream again, on a table partitioned by a column."""
+    first, second, third, fourth = (some_rows(12, seed=s) for s in (1, 2, 3, 4))
+    write_table(spark.createDataFrame(first, SCHEMA), path("t"), "create", partition_by=["k"])
+    put(spark, second, path("in"), 3)
+    append_stream(read_stream(spark, path("in"), SCHEMA, files_per_batch=1), path("t"), path("cp"))
+    assert write_table(spark.createDataFrame(third, SCHEMA), path("t"), "append") == 12
+    put(spark, fourth, path("in"))
+    append_stream(read_stream(spark, path("in"), SCHEMA), path("t"), path("cp"))
+    assert rows(spark.read.parquet(path("t")).select("k", "at", "v")) == sorted(first + second + third + fourth)
+    assert write_table(spark.read.parquet(path("t")).filter("k = 0"), path("t"), "replace") == sum(r[0] == 0 for r in first + second + third + fourth)
+    from stillroom.operators.tables import partition_columns
+
+    assert partition_columns(spark, path("t")) == ["k"]
+    with pytest.raises(ValueError, match="partitioned by"):
+        write_table(spark.createDataFrame(first, SCHEMA), path("t"), "append", partition_by=["v"])
+
+
+@pytest.mark.parametrize("fails_at", range(4))
+def test_a_batch_that_breaks_off_is_repeated(spark, path, monkeypatch, fails_at):
+    from stillroom import files
+    from stillroom.operators import tables
+
+    data, calls, rename = some_rows(30), [], files.rename
+    tables.append_batch(spark.createDataFrame(data[:10], SCHEMA).repartition(3), path("t"), "a-0")
+
+    def breaking(*args):
+        calls.append(args)
+        if len(calls) == fails_at + 1:
+            raise OSError("lost")
+        rename(*args)
+
+    monkeypatch.setattr(files, "rename", breaking)
+    batch = spark.createDataFrame(data[10:], SCHEMA).repartition(3)
+    try:
+        tables.append_batch(batch, path("t"), "a-1")
+    except OSError:
+        assert tables.append_batch(batch, path("t"), "a-1") is True
+    assert rows(spark.read.parquet(path("t"))) == sorted(data)
+    assert tables.append_batch(batch, path("t"), "a-1") is False
+
+
 def test_upsert_stream_in_any_file_order(spark, path):
     data = some_rows(120)
     shuffled = data[:]
     random.Random(1).shuffle(shuffled)
     put(spark, shuffled, path("in"), 5)
-    table = BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"], buckets=4)
+    table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
     apply_stream(read_stream(spark, path("in"), SCHEMA, files_per_batch=1), table, "upsert", path("cp"))
-    assert len(table.versions()) == 5
+    assert table._state()["number"] == 5
     assert rows(table.read()) == last_per_key(data)
 
 
-def test_batch_delivered_twice_is_applied_once(spark, path):
-    table = BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"], buckets=4)
+@pytest.mark.parametrize(("ratio", "most"), [(0.01, 32), (1000, 32), (1000, 1)])
+def test_upserts_and_deletes_in_any_order(spark, path, ratio, most):
+    """A key is there unless its newest change is a delete, for every order in which the batches arrive."""
+    changes = [("upsert", 1, 1), ("delete", 1, 5), ("upsert", 1, 3), ("upsert", 2, 2), ("delete", 2, 1), ("upsert", 3, 7), ("delete", 3, 8), ("upsert", 3, 9)]
+    expected = [(2, 2, "v2"), (3, 9, "v9")]
+    for turn in range(3):
+        random.Random(turn).shuffle(changes)
+        table = KeyedTable(spark, path(f"t{turn}"), SCHEMA, ["k"], ["at"], merge_ratio=ratio, max_additions=most)
+        for i, (action, k, at) in enumerate(changes):
+            table.apply(spark.createDataFrame([(k, at, f"v{at}")], SCHEMA), action, f"b-{i}")
+        assert rows(table.read()) == expected
+
+
+def test_batch_delivered_twice_is_applied_once_even_after_vacuum(spark, path):
+    table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
     batch = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], SCHEMA)
     assert table.apply(batch, "upsert", "run-0") is True
+    assert table.apply(spark.createDataFrame([(1,)], "k long"), "delete", "other-0") is True
+    assert table.vacuum() > 0
     assert table.apply(batch, "upsert", "run-0") is False
-    assert len(table.versions()) == 1
+    assert rows(table.read()) == [(2, 1, "b")]
 
 
-def test_broken_off_batch_is_written_anew(spark, path):
-    import os
-
-    table = BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"], buckets=4)
+@pytest.mark.parametrize("step", ["_store", "_commit"])
+def test_broken_off_batch_is_written_anew(spark, path, monkeypatch, step):
+    table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
     table.apply(spark.createDataFrame([(1, 1, "a")], SCHEMA), "upsert", "run-0")
-    table.apply(spark.createDataFrame([(2, 2, "b")], SCHEMA), "upsert", "run-1")
-    version = table.versions()[-1]
-    os.remove(f"{table.root}/rows/{version}/_SUCCESS")  # as if the write had not committed
-    assert rows(table.read()) == [(1, 1, "a")]
-    assert table.apply(spark.createDataFrame([(2, 2, "b")], SCHEMA), "upsert", "run-1") is True
+    whole = getattr(KeyedTable, step)
+
+    def breaking(self, *args):
+        whole(self, *args)
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(KeyedTable, step, breaking)
+        with pytest.raises(OSError):
+            table.apply(spark.createDataFrame([(2, 2, "b")], SCHEMA), "upsert", "run-1")
+    assert table.apply(spark.createDataFrame([(2, 2, "b")], SCHEMA), "upsert", "run-1") is (step == "_store")
     assert rows(table.read()) == [(1, 1, "a"), (2, 2, "b")]
 
 
+def test_two_writers_of_one_version(spark, path):
+    table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
+    state = table._state()
+    table.apply(spark.createDataFrame([(1, 1, "a")], SCHEMA), "upsert", "one-0")
+    with pytest.raises(RuntimeError, match="another run"):
+        table._commit(state | {"number": 1, "token": "two-0"})
+
+
 def test_update_and_delete(spark, path):
-    table = BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"], buckets=4)
+    table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
     table.load(spark.createDataFrame([(i, 1, f"v{i}") for i in range(8)], SCHEMA))
     with pytest.raises(ValueError):
         table.load(spark.createDataFrame([], SCHEMA))
@@ -89,32 +161,46 @@ def test_update_and_delete(spark, path):
     assert len(rows(table.read())) == 8
     table.apply(spark.createDataFrame([(i,) for i in range(8)], "k long"), "delete", "d-0")
     assert rows(table.read()) == []
-    table.apply(spark.createDataFrame([(5, 9, "back")], SCHEMA), "upsert", "u-1")
+    table.apply(spark.createDataFrame([(5, 9, "back"), (3, 0, "too old")], SCHEMA), "upsert", "u-1")
     assert rows(table.read()) == [(5, 9, "back")]
     with pytest.raises(ValueError):
         table.apply(spark.createDataFrame([], SCHEMA), "merge", "x")
 
 
-def test_untouched_buckets_are_not_rewritten(spark, path):
-    table = BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"], buckets=16)
-    table.load(spark.createDataFrame([(i, 1, "v") for i in range(100)], SCHEMA))
-    table.apply(spark.createDataFrame([(1, 2, "w")], SCHEMA), "upsert", "u-0")
-    newest = table.versions()[-1]
-    assert sum(newest in folder for folder in table.current_folders()) == 1
-    assert rows(table.read()) == sorted([(1, 2, "w")] + [(i, 1, "v") for i in range(100) if i != 1])
+def test_rows_without_a_key_are_kept_each(spark, path):
+    table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
+    for i in range(2):
+        table.apply(spark.createDataFrame([(None, 1, "x"), (1, i, "y")], SCHEMA), "upsert", f"r-{i}")
+    assert sorted(map(str, table.read().collect())) == sorted(map(str, spark.createDataFrame([(None, 1, "x"), (None, 1, "x"), (1, 1, "y")], SCHEMA).collect()))
+
+
+def test_later_batches_win_where_the_order_is_equal(spark, path):
+    table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
+    for i, v in enumerate(("z", "a")):
+        table.apply(spark.createDataFrame([(1, 1, v)], SCHEMA), "upsert", f"r-{i}")
+    assert rows(table.read()) == [(1, 1, "a")]
+    with pytest.raises(ValueError, match="order"):
+        KeyedTable(spark, path("u"), SCHEMA, ["k"], [])
+
 
+def test_keys_alone_need_no_order(spark, path):
+    keys = T.StructType([SCHEMA["k"]])
+    table = KeyedTable(spark, path("t"), keys, ["k"], [])
+    for i, (action, k) in enumerate([("upsert", 1), ("upsert", 2), ("delete", 1), ("delete", 2), ("upsert", 2)]):
+        table.apply(spark.createDataFrame([(k,)], keys), action, f"r-{i}")
+    assert rows(table.read()) == [(2,)]
 
-def test_vacuum(spark, path):
-    table = BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"], buckets=2)
-    for i in range(4):
-        table.apply(spark.createDataFrame([(k, i, f"v{i}") for k in range(20)], SCHEMA), "upsert", f"r-{i}")
-    assert table.vacuum() == 6
-    assert rows(table.read()) == [(k, 3, "v3") for k in range(20)]
-    assert table.apply(spark.createDataFrame([(0, 3, "v3")], SCHEMA), "upsert", "r-3") is False
+
+def test_columns_without_an_order(spark, path):
+    schema = T.StructType([SCHEMA["k"], SCHEMA["at"], T.StructField("j", T.VariantType())])
+    table = KeyedTable(spark, path("t"), schema, ["k"], ["at"])
+    for i in range(3):
+        table.apply(spark.sql(f"SELECT 1L AS k, {i}L AS at, parse_json('[{i}]') AS j"), "upsert", f"r-{i}")
+    assert rows(table.read().selectExpr("k", "at", "to_json(j)")) == [(1, 2, "[2]")]
 
 
 def test_empty_batch(spark, path):
-    table = BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"], buckets=2)
+    table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
     table.apply(spark.createDataFrame([], SCHEMA), "upsert", "r-0")
     assert rows(table.read()) == []
     table.apply(spark.createDataFrame([(1, 1, "a")], SCHEMA), "upsert", "r-1")
@@ -133,28 +219,43 @@ def test_bounding_box_feed(spark, path):
 
 
 def test_layout_is_fixed(spark, path):
-    from stillroom.streaming.apply import MAX_BUCKETS, MIN_BUCKETS, buckets_for
-
-    BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"], buckets=4)
-    assert BucketedTable(spark, path("t"), SCHEMA, ["k"], ["at"]).buckets == 4
-    for keys, buckets in ((["k"], 8), (["v"], None)):
+    KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
+    for keys, order in ((["v"], ["at"]), (["k"], ["v"])):
         with pytest.raises(ValueError, match="laid out"):
-            BucketedTable(spark, path("t"), SCHEMA, keys, ["at"], buckets)
-    assert buckets_for(0) == MIN_BUCKETS and buckets_for(10**20) == MAX_BUCKETS
-    assert buckets_for(100 * 1024**3) == 200
+            KeyedTable(spark, path("t"), SCHEMA, keys, order)
+
+
+DAYS = T.StructType([T.StructField("n", T.LongType()), T.StructField("day", T.DateType())])
+
+
+def snapshot(spark, path, number, start, days, factor, pieces=2):
+    data = [(d * factor, dt.date(2024, 1, d)) for d in days]
+    spark.createDataFrame(data, DAYS).repartition(pieces).write.parquet(path(f"in/snapshot={number}/from=2024-01-{start:02d}"))
+
+
+def kept_days(spark, path):
+    return {r.day.day: r.n for r in spark.read.parquet(path("t")).collect()}
 
 
 def test_snapshots_refresh_a_window(spark, path):
-    import datetime as dt
+    for number, start, days, factor in ((1, 1, range(1, 8), 1), (2, 5, (5, 6, 8), 10)):
+        snapshot(spark, path, number, start, days, factor)
+        window_stream(spark, path("in"), DAYS, path("t"), "day", path("cp"), files_per_batch=1)
+    assert kept_days(spark, path) == {1: 1, 2: 2, 3: 3, 4: 4, 5: 50, 6: 60, 8: 80}
 
-    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("day", T.DateType())])
 
-    def snapshot(days, factor):
-        rows = [(d * factor, dt.date(2024, 1, d)) for d in days]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path("in"))
+def test_an_older_snapshot_leaves_the_days_of_a_newer_one(spark, path):
+    for number, start, days, factor in ((2, 5, (5, 6), 10), (1, 1, range(1, 8), 1), (3, 6, (), 100)):
+        snapshot(spark, path, number, start, days, factor)
+        window_stream(spark, path("in"), DAYS, path("t"), "day", path("cp"), files_per_batch=1)
+        if number == 1:
+            assert kept_days(spark, path) == {1: 1, 2: 2, 3: 3, 4: 4, 5: 50, 6: 60}
+
+
+def test_an_unfinished_snapshot_is_refused(spark, path):
+    import os
 
-    for days, factor in ((range(1, 8), 1), ((5, 6, 8), 10)):
-        snapshot(days, factor)
-        window_stream(read_stream(spark, path("in"), schema, files_per_batch=1), path("t"), "day", path("cp"))
-    found = {r.day.day: r.n for r in spark.read.parquet(path("t")).collect()}
-    assert found == {1: 1, 2: 2, 3: 3, 4: 4, 5: 50, 6: 60, 8: 80}
+    snapshot(spark, path, 1, 1, (1, 2), 1)
+    os.remove(path("in/snapshot=1/from=2024-01-01/_SUCCESS"))
+    with pytest.raises(Exception, match="not finished"):
+        window_stream(spark, path("in"), DAYS, path("t"), "day", path("cp"))

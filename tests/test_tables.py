@@ -79,7 +79,7 @@ def test_request_is_applied_once(spark, path):
     assert tables.append_once(spark.range(3), path("t"), "r-1") is True
     assert tables.append_once(spark.range(3), path("t"), "r-1") is False
     assert tables.append_once(spark.range(2), path("t"), "r-2") is True
-    os.remove(path("t/request_id=r-2/_SUCCESS"))  # as if the write had not committed
+    os.remove(path(".t.applied/r-2"))  # as if the write had broken off
     assert tables.append_once(spark.range(2), path("t"), "r-2") is True
     assert rows(spark.read.parquet(path("t")).groupBy("request_id").count()) == [("r-1", 3), ("r-2", 2)]
     with pytest.raises(ValueError):
@@ -147,6 +147,69 @@ def test_rewriting_some_partitions(spark, path):
     assert sorted(os.listdir(path("."))) == ["days"]
 
 
+def test_partitions_of_escaped_values_and_null(spark, path):
+    t = path("odd")
+    data = [(1, "a:b"), (2, "x=y/z"), (3, None), (4, "plain")]
+    tables.write_table(spark.createDataFrame(data, "n int, k string"), t, partition_by=["k"])
+    tables.rewrite_partitions(spark, t, "k", ["a:b", "x=y/z", None], lambda df: df.withColumn("n", F.col("n") * 10))
+    assert rows(spark.read.parquet(t)) == sorted([(10, "a:b"), (20, "x=y/z"), (30, None), (4, "plain")], key=repr)
+
+
+@pytest.mark.parametrize("fails_at", range(7))
+def test_a_replacement_that_breaks_off_is_finished(spark, path, monkeypatch, fails_at):
+    """At whatever rename it broke off: the same call again gives the new state, and no row is lost."""
+    t, calls, rename = path("days"), [], files.rename
+    data = [(i, dt.date(2024, 1, i)) for i in range(1, 5)]
+    tables.write_table(spark.createDataFrame(data, "n int, day date"), t, partition_by=["day"])
+
+    def breaking(*args):
+        calls.append(args)
+        if len(calls) == fails_at + 1:
+            raise OSError("lost")
+        rename(*args)
+
+    def change():
+        tables.rewrite_partitions(spark, t, "day", ["2024-01-02", "2024-01-03"], lambda df: df.withColumn("n", F.lit(7)))
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "rename", breaking)
+        try:
+            change()
+        except OSError:
+            pass
+    change()
+    assert rows(spark.read.parquet(t)) == sorted([data[0], (7, data[1][1]), (7, data[2][1]), data[3]], key=repr)
+    assert not [n for n in os.listdir(path(".")) if "journal" in n and not n.count("-")]
+
+
+@pytest.mark.parametrize("fails_at", range(3))
+def test_a_swap_that_breaks_off_loses_nothing(spark, path, monkeypatch, fails_at):
+    t, calls, rename = path("t"), [], files.rename
+    tables.write_table(spark.range(3), t)
+
+    def breaking(*args):
+        calls.append(args)
+        if len(calls) == fails_at + 1:
+            raise OSError("lost")
+        rename(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "rename", breaking)
+        with pytest.raises(OSError):
+            tables.write_table(spark.range(5), t, "replace")
+    tables.recover(spark, t)
+    assert spark.read.parquet(t).count() == (3 if fails_at == 0 else 5)
+
+
+def test_rows_are_counted_as_they_are_written(spark, path):
+    assert tables.write_table(spark.range(7), path("a")) == 7
+    assert tables.write_table(spark.range(5), path("a"), "append") == 5
+    assert tables.write_table(spark.range(4), path("a"), "create_if_missing") == 0
+    assert tables.write_table(spark.range(2), path("a"), "replace") == 2
+    assert tables.write_table(spark.range(6).withColumn("p", F.col("id") % 2), path("b"), partition_by=["p"]) == 6
+    assert tables.export_csv(spark.range(3), path("c")) == 3
+
+
 # --- copies and exports -------------------------------------------------------------------------------------
 
 
@@ -161,6 +224,21 @@ def test_copy_packs_small_files(spark, path):
     assert 3 <= len(data_files(path("dst2/many"))) <= 5
 
 
+def test_copies_keep_schemas_partitions_and_files_as_tables(spark, path):
+    spark.range(4).withColumn("day", F.col("id") % 2).write.partitionBy("day").parquet(path("src/daily"))
+    spark.range(3).write.parquet(path("src/east/t"))
+    spark.range(2).write.parquet(path("src/west/t"))
+    spark.range(5).coalesce(1).write.parquet(path("one"))
+    os.rename(data_files(path("one"))[0] if os.path.isabs(data_files(path("one"))[0]) else path("one/" + data_files(path("one"))[0]), path("src/single.parquet"))
+    assert tables.copy_tables(spark, path("src"), path("dst")) == ["daily", "east.t", "single", "west.t"]
+    assert tables.partition_columns(spark, path("dst/daily")) == ["day"]
+    below = tables.tables_below(spark, path("dst"))
+    assert {n: spark.read.parquet(p).count() for n, p in below.items()} == {"daily": 4, "east.t": 3, "single": 5, "west.t": 2}
+    os.mkdir(path("nothing"))
+    with pytest.raises(FileNotFoundError):
+        tables.table_names(spark, path("nothing"))
+
+
 def test_copy_changes_columns_of_one_type(spark, path):
     df = spark.createDataFrame([(1, "polygon((0 0,0 1,1 1,0 0))"), (2, None), (3, "point(1 2)")], "k int, w string")
     df.select("k", geo.wkt_to_geo("w").alias("g")).write.parquet(path("a/shapes"))
@@ -185,6 +263,13 @@ def test_export_round_trip(spark, path):
     assert rows(spark.read.text(path("text"))) == [("1",), ("2",)]
 
 
+def test_texts_of_all_kinds_return(spark, path):
+    texts = [None, "", "NULL", "\\NULL", "\\\\NULL", "null", " NULL", "a\nb", '"', '"NULL"', "a,b", "\\", "tab\t", "last\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    tables.export_csv(df, path("t"))
+    assert rows(load_csv(spark, path("t"), df.schema, multi_line=True)) == sorted(enumerate(texts), key=repr)
+
+
 def test_export_of_special_types(spark, path):
     schema = struct_from_types([("g", "geography"), ("j", "json"), ("b", "bytes")])
     df = spark.createDataFrame([("point(1 2)", '{"a": [1, 2]}'), (None, None)], "w string, j string")
