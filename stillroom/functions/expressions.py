@@ -93,24 +93,25 @@ def content_hash(content: Column | str) -> Column:
     return F.sha2(_col(content), 256)
 
 
-def checked_identifier(name: str) -> str:
-    """A 1- to 3-part name that is safe to place in generated SQL, or ValueError."""
+def checked_identifier(name: str, max_length: int | None = MAX_IDENTIFIER) -> str:
+    """A 1- to 3-part name that is safe to place in generated SQL, or ValueError. The length limit is that of the
+    source databases."""
     if name is None:
         raise ValueError("an identifier is required")
     name = name.strip()
     if not name:
         raise ValueError("an identifier is required")
-    if len(name) > MAX_IDENTIFIER:
-        raise ValueError(f"identifier longer than {MAX_IDENTIFIER} characters: {name!r}")
+    if max_length is not None and len(name) > max_length:
+        raise ValueError(f"identifier longer than {max_length} characters: {name!r}")
     if not re.fullmatch(r"[\w.\-]+", name):
         raise ValueError(f"identifier with characters that are not allowed: {name!r}")
     return name
 
 
-def quote_name(name: str, quote: str = "`", end_quote: str | None = None) -> str:
-    """Quote each part of a dotted name."""
+def quote_name(name: str, quote: str = "`", end_quote: str | None = None, max_length: int | None = MAX_IDENTIFIER) -> str:
+    """Quote each part of a dotted name; None lifts the length limit, for Spark's own names."""
     end_quote = end_quote or quote
-    parts = checked_identifier(name).split(".")
+    parts = checked_identifier(name, max_length).split(".")
     if "" in parts:
         raise ValueError(f"identifier with an empty part: {name!r}")
     return ".".join(f"{quote}{part}{end_quote}" for part in parts)

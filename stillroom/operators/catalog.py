@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stillroom.functions.expressions import quote_name
+from stillroom.functions.expressions import quote_column
 from stillroom.functions.geo import is_geography
 from stillroom.operators.tables import tables_below
 
@@ -45,7 +45,7 @@ def list_catalog(spark: SparkSession, database: str | None = None, pattern: str
                 continue  # every database lists the session's views again
             if table.isTemporary:
                 views.add(table.name)
-            qualified = quote_name(table.name) if table.isTemporary else f"{quote_name(name)}.{quote_name(table.name)}"
+            qualified = quote_column(table.name) if table.isTemporary else f"{quote_column(name)}.{quote_column(table.name)}"
             rows += _rows(None if table.isTemporary else name, table.name, spark.table(qualified).schema)
     return spark.createDataFrame(rows, LISTING)
 

@@ -129,11 +129,13 @@ def insert_from(df: DataFrame, changes: DataFrame, schema: T.StructType | None =
     return df.unionByName(enforce_not_null(added, schema) if schema is not None else added)
 
 
-def upsert(df: DataFrame, changes: DataFrame, match: Match | Pairs, unique_target: bool = False) -> DataFrame:
+def upsert(
+    df: DataFrame, changes: DataFrame, match: Match | Pairs, unique_target: bool = False, updated: Observation | None = None, inserted: Observation | None = None
+) -> DataFrame:
     """Update the rows that match, insert the changes that match none.
 
     With ``unique_target`` (the target's key is known to be unique) and a changeset of complete rows, matched
-    rows are simply replaced, which reads the target once.
+    rows are simply replaced, which reads the target once. The observations count rows updated and inserted.
     """
     match = _as_match(match)
     if match.predicate is not None:
@@ -148,7 +150,7 @@ def upsert(df: DataFrame, changes: DataFrame, match: Match | Pairs, unique_targe
         return align(rows.select([_c(prefix + c).alias(renames.get(c, c)) for c in changes.columns]), df.schema)
 
     inserted_anyway = as_target(keyless, "")
-    if unique_target and complete:
+    if unique_target and complete and updated is None and inserted is None:
         keys = source.select([_c(SOURCE_PREFIX + s) for s, _ in match.pairs])
         kept = df.join(keys, _on(match), "left_anti")
         return kept.unionByName(as_target(source, SOURCE_PREFIX)).unionByName(inserted_anyway)
@@ -159,8 +161,10 @@ def upsert(df: DataFrame, changes: DataFrame, match: Match | Pairs, unique_targe
     known = target_keys.join(source, _on(match), "left_semi")
     known = known.select([_c(t).alias("__known_" + s) for s, t in match.pairs])
     absent = source.join(known, [_c(SOURCE_PREFIX + s) == _c("__known_" + s) for s, _ in match.pairs], "left_anti")
-    updated = updated_by(df, source, changes.schema, match)
-    return updated.unionByName(as_target(absent, SOURCE_PREFIX)).unionByName(inserted_anyway)
+    added = as_target(absent, SOURCE_PREFIX).unionByName(inserted_anyway)
+    if inserted is not None:
+        added = added.observe(inserted, F.count(F.lit(1)).alias("rows"))
+    return updated_by(df, source, changes.schema, match, updated).unionByName(added)
 
 
 def rolling_window(df: DataFrame, window_rows: DataFrame, date_column: str, cutoff: Column, impact: Observation | None = None) -> DataFrame:

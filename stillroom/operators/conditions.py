@@ -110,6 +110,8 @@ def _predicate(part: Mapping, schema: T.StructType) -> Column:
     name = part["target-col"]
     if name not in schema.fieldNames():
         raise ValueError(f"condition on a column that the target does not have: {name}")
+    if "const" in part and part["const"]["type"] == "datetime" and part["const"]["v"] is not None and isinstance(schema[name].dataType, T.DateType):
+        return _day_compared(F.col(quote_column(name)), COMPARISONS[op], _moment(part["const"]["v"]))
     if "const" in part:
         other = constant(part["const"], schema[name].dataType)
     else:
@@ -117,16 +119,30 @@ def _predicate(part: Mapping, schema: T.StructType) -> Column:
     return COMPARISONS[op](F.col(quote_column(name)), other)
 
 
+def _moment(text: str) -> datetime:
+    moment = datetime.fromisoformat(text)
+    return moment if moment.tzinfo is None else moment.astimezone(timezone.utc).replace(tzinfo=None)
+
+
+def _day_compared(day: Column, compare: Callable, moment: datetime) -> Column:
+    """A date column against a moment, as a comparison of dates that reaches the scan. A day is its first instant: it
+    lies before a later moment of itself, and equals none."""
+    if moment.time() == datetime.min.time():
+        return compare(day, F.lit(moment.date()))
+    if compare in (operator.lt, operator.le):
+        return day <= F.lit(moment.date())
+    if compare in (operator.gt, operator.ge):
+        return day > F.lit(moment.date())
+    return day.isNull() & day.isNotNull() if compare is operator.eq else day.isNotNull()
+
+
 def constant(const: Mapping, target_type: T.DataType) -> Column:
     """A typed constant as a literal of the target column's type, so that the comparison can push down."""
     kind, value = const["type"], const["v"]
     if value is None:
         return F.lit(None).cast(target_type)
     if kind == "datetime":
-        moment = datetime.fromisoformat(value)
-        if moment.tzinfo is not None:
-            moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
-        text = moment.isoformat(sep=" ")
+        text = _moment(value).isoformat(sep=" ")
         if isinstance(target_type, T.TimestampType):
             return F.lit(text + "Z").cast("timestamp_ltz")
         return F.lit(text).cast("timestamp_ntz")

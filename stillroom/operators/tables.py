@@ -198,20 +198,20 @@ def create_catalog_table(spark: SparkSession, name: str, schema: T.StructType, p
     """A table of the session catalog over a given folder; its database is created when missing."""
     database = name.rpartition(".")[0]
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_name(database)}")
-    spark.catalog.createTable(quote_name(name), source="parquet", schema=schema, path=path)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_name(database, max_length=None)}")
+    spark.catalog.createTable(quote_name(name, max_length=None), source="parquet", schema=schema, path=path)
 
 
 def create_table_as(df: DataFrame, name: str, path: str, mode: str = "errorifexists") -> DataFrame:
     """``CREATE TABLE … AS SELECT`` over a given folder; returns the table."""
-    df.write.format("parquet").mode(mode).option("path", path).saveAsTable(quote_name(name))
-    return df.sparkSession.table(quote_name(name))
+    df.write.format("parquet").mode(mode).option("path", path).saveAsTable(quote_name(name, max_length=None))
+    return df.sparkSession.table(quote_name(name, max_length=None))
 
 
 def insert_into(df: DataFrame, name: str) -> None:
     """``INSERT INTO name SELECT …`` by column name."""
-    target = df.sparkSession.table(quote_name(name))
-    align(df, target.schema).write.insertInto(quote_name(name))
+    target = df.sparkSession.table(quote_name(name, max_length=None))
+    align(df, target.schema).write.insertInto(quote_name(name, max_length=None))
 
 
 def publish(df: DataFrame, path: str, mode: str) -> None:
@@ -404,7 +404,7 @@ def convert_tables(spark: SparkSession, listing: DataFrame, target: str) -> list
     names = [row["table_name"] for row in listing.select("table_name").toLocalIterator()]
 
     def convert(name: str) -> str:
-        write_table(spark.table(quote_name(name)), f"{target.rstrip('/')}/{name.replace('.', '/')}", "create")
+        write_table(spark.table(quote_name(name, max_length=None)), f"{target.rstrip('/')}/{name.replace('.', '/')}", "create")
         return name
 
     with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:

@@ -153,16 +153,27 @@ def partitioned_window_refresh(spark, sf_dir):
 SELECT 'update' AS action, COUNT(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING'
 UNION ALL SELECT 'delete', COUNT(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'MACHINERY'
 UNION ALL SELECT 'insert', COUNT(*) FROM supplier
+UNION ALL SELECT 'upsert, updated', COUNT(*) FROM customer WHERE c_custkey IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'upsert, inserted', 1 + COUNT(*) FROM supplier WHERE -s_suppkey NOT IN (SELECT c_custkey FROM customer) AND s_suppkey <> 0
 """)
 def impacted_counts(spark, sf_dir):
-    customers, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
-    updated = changes.count_where(customers, F.col("c_mktsegment") == "BUILDING")
+    """Rows hit by each command, counted by the writes themselves."""
+    customers, orders, suppliers = (table(spark, sf_dir, name) for name in ("customer", "orders", "supplier"))
+    root = scratch_path(spark, "impacted")
+    updated, deleted, replaced, added = (Observation() for _ in range(4))
+    write_table(changes.update_where(customers, {"c_acctbal": F.lit(0.0)}, F.col("c_mktsegment") == "BUILDING", updated), f"{root}/update")
     gone = customers.filter(F.col("c_mktsegment") == "MACHINERY").select("c_custkey")
-    deleted = changes.count_matching(orders, gone, [["c_custkey", "o_custkey"]])
-    inserted = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n"))
-    named = {"update": updated, "delete": deleted, "insert": inserted}
-    frames = [df.select(F.lit(action).alias("action"), "n") for action, df in named.items()]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+    write_table(changes.delete_matching(orders, gone, [["c_custkey", "o_custkey"]], deleted), f"{root}/delete")
+    write_table(suppliers.filter("false"), f"{root}/insert")
+    inserted = write_table(suppliers, f"{root}/insert", "append")
+    keys = suppliers.select(F.col("s_suppkey").alias("c_custkey"), F.col("s_acctbal").alias("c_acctbal"))
+    others = keys.filter("c_custkey <> 0").withColumn("c_custkey", -F.col("c_custkey"))
+    nobody = keys.limit(1).withColumn("c_custkey", F.lit(None).cast("bigint"))
+    changed = keys.unionByName(others).unionByName(nobody)
+    write_table(changes.upsert(customers, changed, [["c_custkey", "c_custkey"]], updated=replaced, inserted=added), f"{root}/upsert")
+    counts = [("update", updated.get["rows"]), ("delete", deleted.get["rows"]), ("insert", inserted)]
+    counts += [("upsert, updated", replaced.get["rows"]), ("upsert, inserted", added.get["rows"])]
+    return spark.createDataFrame(counts, "action string, n bigint")
 
 
 @plan("""

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from stillroom.functions.expressions import epoch_to_utc, quote_column
 from stillroom.schema import align, convert, ddl_name, enforce_not_null, escaped_token, schema_from_header
 
-# Order of the fields in a date, by style name.
-DATE_STYLES = {"MDY": "M/d/y", "DMY": "d/M/y", "YMD": "y/M/d", "YDM": "y/d/M"}
+# Orders of the fields in a date.
+DATE_STYLES = ("MDY", "DMY", "YMD", "YDM")
 
 # A text no field holds, so that the reader itself never turns a field into NULL.
 UNUSED_NULL = "\u0001<no such value>\u0001"
@@ -103,12 +103,17 @@ def _date(text: Column, style: str | None, pattern: str | None, locale: str | No
     if style.upper() not in DATE_STYLES:
         raise ValueError(f"date style must be one of {sorted(DATE_STYLES)}, not {style!r}")
     # Any of the usual separators; a leading four-digit year reads as ISO unless the style says year-day-month.
-    trimmed = F.trim(text)
-    slashed = F.when(trimmed.contains(" "), F.regexp_replace(trimmed, r"[-. /]+", "/")).otherwise(F.translate(trimmed, "-.", "//"))
-    styled = F.to_date(slashed, DATE_STYLES[style.upper()])
-    if style.upper() == "YDM":
-        return styled
-    return F.when(F.instr(slashed, "/") == 5, F.to_date(slashed, DATE_STYLES["YMD"])).otherwise(styled)
+    parts = F.split(F.trim(text), r"[-./ ]+")
+    place = {letter.lower(): k for k, letter in enumerate(style.upper())}
+
+    def number(letter: str) -> Column:
+        own = parts[place[letter]]
+        iso = "ymd".index(letter)
+        chosen = own if style.upper() in ("YMD", "YDM") else F.when(F.length(parts[0]) == 4, parts[iso]).otherwise(own)
+        return chosen.cast("int")
+
+    whole = F.when(F.size(parts) == 3, F.make_date(number("y"), number("m"), number("d"))).otherwise(F.raise_error(F.concat(F.lit("not a date: "), text)).cast("date"))
+    return F.when(text.isNotNull(), whole)
 
 
 def _localised(text: Column, target: T.DataType, option: str, pattern: str, locale: str) -> Column:
