@@ -103,7 +103,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, g
     # Of each document: one row with m = 0, and one for each kept hash that some item has as well.
     cut = _with_minima(_worded(ids), lengths, gram)
     cut = cut.select("doc_id", "text_hash", "n_words", *(f"minima_{m}" for m in lengths), *(_runs(m).alias(f"starts_{m}") for m in lengths))
-    itself = F.array(F.struct(F.lit(0).alias("m"), F.lit(0).alias("from"), F.lit(0).alias("to"), F.lit(None).cast("long").alias("kept")))
+    itself = F.array(F.struct(F.lit(0).alias("m"), F.lit(0).alias("from"), F.lit(0).alias("to"), F.col("text_hash").alias("kept")))
     dealt = cut.select("doc_id", "text_hash", "n_words", F.inline(F.concat(itself, *(_kept(m) for m in lengths))))
     met = dealt.join(prints, ["m", "kept"], "left").filter("m = 0 OR known")
     near = F.collect_list(F.when(F.col("m") > 0, F.struct("m", "from", "to")))

@@ -129,7 +129,17 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-@query()
+@query(
+    r"""
+    WITH page AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+    digest AS (SELECT page_id, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((16 * (strpos('0123456789abcdef', substr(hex, (5 * i) // 4 + 1, 1)) - 1) + strpos('0123456789abcdef', substr(hex, (5 * i) // 4 + 2, 1)) - 1) // (CASE (5 * i) % 4 WHEN 0 THEN 8 WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 1 END)) % 32 + 1, 1)), 'string_agg', '') AS payload_digest FROM page),
+    top AS (SELECT payload, max(page_id) AS top FROM page GROUP BY 1)
+    SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> top THEN top END AS refers_to
+    FROM page JOIN digest USING (page_id) JOIN top USING (payload)
+    """
+)
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stillroom.llm.warc import assemble, captures, read_records, write_archives
 
@@ -149,7 +159,30 @@ def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_windows(given.unionByName(own)))
 
 
-@query()
+@query(
+    r"""
+    WITH doc AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
+        list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+        string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    gram AS (SELECT doc_id, pos, list_slice(w, pos, pos + 4) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS pos FROM doc WHERE len(w) >= 5)),
+    often AS (SELECT doc_id, g FROM gram GROUP BY 1, 2 HAVING count(*) > 1),
+    repeated AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(pos, pos + 5)) AS k FROM gram JOIN often USING (doc_id, g)) GROUP BY 1),
+    line AS (SELECT doc_id, host, text, at_line, trim(regexp_replace(lower(x), '[\s[:punct:]\p{Nd}]+', ' ', 'g')) AS norm, len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS n
+      FROM (SELECT doc_id, host, text, generate_subscripts(lines, 1) AS at_line, unnest(lines) AS x FROM doc)),
+    held AS (SELECT host, norm, count(DISTINCT text) AS texts FROM line WHERE n > 0 GROUP BY 1, 2),
+    hosts AS (SELECT host, count(DISTINCT text) AS all_texts FROM doc GROUP BY 1),
+    gone AS (SELECT doc_id, count(*) AS n_lines, sum(n) AS n_gone FROM line JOIN held USING (host, norm) JOIN hosts USING (host)
+      WHERE n > 0 AND texts > 20 AND texts > 0.05 * all_texts GROUP BY 1),
+    figure AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        (len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))))::BIGINT AS n_dup_lines,
+        coalesce(n, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0)::BIGINT AS n_removed_lines, (len(w) - coalesce(n_gone, 0))::BIGINT AS left_words
+      FROM doc LEFT JOIN repeated USING (doc_id) LEFT JOIN gone USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+      NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND left_words >= 0.3 * n_words AS kept, n_removed_lines, left_words
+    FROM figure
+    """
+)
 def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stillroom.llm.lines import judge
 

@@ -83,7 +83,7 @@ def featured(found: DataFrame, words: DataFrame, pairs: list[float], min_count:
     value = F.col("value")
     runs = found.select("value").distinct().select("value", F.explode(F.regexp_extract_all(F.lower(value), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
     known = words.filter(F.col("n") >= min_count).select("word")
-    covered = runs.join(known, "word").groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
+    covered = stored(runs.join(known, "word").groupBy("value").agg(F.sum(F.length("word")).alias("covered")), "covered")
     table = F.array(*(F.lit(p) for p in pairs))
     letters = F.transform(F.split(F.lower(value), ""), lambda c: F.ascii(c) - 97)
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0"), "[+/_=-]+", "-")
