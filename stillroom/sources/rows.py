@@ -6,6 +6,7 @@ import itertools
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,10 +72,11 @@ class _Slot(InputPartition):
         self.value = value
 
 
-def fetch_rows(spark: SparkSession, slots: Sequence, fetch: Callable[[object], Iterator[Sequence]], schema: T.StructType) -> DataFrame:
+def fetch_rows(spark: SparkSession, slots: Sequence, fetch: Callable[[object], Iterator[Sequence | pa.RecordBatch]], schema: T.StructType) -> DataFrame:
     """Rows of a feed that has no Spark reader. Each slot (a page, a day, a shard) is fetched by its own task.
 
-    ``fetch`` runs on executors and must give the same rows when a lost task runs again.
+    ``fetch`` runs on executors and must give the same rows when a lost task runs again. It yields rows, or Arrow
+    record batches of the schema, which reach Spark without a Python object for each row.
     """
 
     feed_name = f"stillroom_feed_{uuid.uuid4().hex}"
@@ -84,8 +86,8 @@ def fetch_rows(spark: SparkSession, slots: Sequence, fetch: Callable[[object], I
             return [_Slot(slot) for slot in slots]
 
         def read(self, partition):
-            for row in fetch(partition.value):
-                yield tuple(row)
+            for item in fetch(partition.value):
+                yield item if isinstance(item, pa.RecordBatch) else tuple(item)
 
     class Feed(DataSource):
         @classmethod

@@ -285,6 +285,17 @@ def test_feeds_do_not_mix(spark):
     assert (rows(one), rows(two)) == ([(1,)], [(2,)])
 
 
+def test_feed_of_record_batches(spark):
+    import pyarrow as pa
+
+    def fetch(slot):
+        for part in range(2):
+            yield pa.RecordBatch.from_pydict({"v": pa.array([slot * 10 + part, None], pa.int32()), "t": ["a", "b"]})
+
+    df = fetch_rows(spark, [1, 2], fetch, struct_from_types([("v", "int"), ("t", "text")]))
+    assert sorted(rows(df), key=repr) == sorted([(v, "a") for v in (10, 11, 20, 21)] + [(None, "b")] * 4, key=repr)
+
+
 def test_iterator_is_stored_in_batches(spark, path):
     schema = struct_from_types([("k", "int", False), ("v", "text")])
     assert write_rows(spark, ((i, f"v{i}") for i in range(25)), schema, path("it"), batch_rows=10) == 25
