@@ -5,10 +5,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from stillroom.operators.catalog import list_catalog, list_root, table_counts
-from stillroom.operators.tables import convert_tables, copy_tables, tables_below, write_table
+from stillroom.operators.tables import convert_tables, copy_tables, table_names, tables_below, write_table
 from stillroom.plans import plan, table
 from stillroom.session import scratch_path
 
+NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
 
 def _views(spark, sf_dir, names):
     """Temporary views of the given tables under a prefix of their own."""
@@ -18,23 +20,19 @@ def _views(spark, sf_dir, names):
     return prefix
 
 
-@plan("""
-SELECT c.table_name, c.position, c.column_name, c.data_type, t.n FROM (
-  SELECT 'region' AS table_name, 1 AS position, 'r_regionkey' AS column_name, 'int' AS data_type
-  UNION ALL SELECT 'region', 2, 'r_name', 'string'
-  UNION ALL SELECT 'nation', 1, 'n_nationkey', 'int' UNION ALL SELECT 'nation', 2, 'n_name', 'string'
-  UNION ALL SELECT 'nation', 3, 'n_regionkey', 'int'
-  UNION ALL SELECT 'orders', 1, 'o_orderkey', 'bigint' UNION ALL SELECT 'orders', 2, 'o_custkey', 'bigint'
-  UNION ALL SELECT 'orders', 3, 'o_orderstatus', 'string' UNION ALL SELECT 'orders', 4, 'o_totalprice', 'double'
-  UNION ALL SELECT 'orders', 5, 'o_orderdate', 'timestamp_ntz' UNION ALL SELECT 'orders', 6, 'o_orderpriority', 'string') c
-JOIN (SELECT 'region' AS table_name, COUNT(*) AS n FROM region UNION ALL SELECT 'nation', COUNT(*) FROM nation
-  UNION ALL SELECT 'orders', COUNT(*) FROM orders) t ON c.table_name = t.table_name
+@plan(f"""
+SELECT c.table_name, ordinal_position AS position, column_name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+         WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' ELSE data_type END AS data_type,
+       is_nullable = 'YES' AS nullable, CAST(NULL AS VARCHAR) AS collation, t.n
+FROM information_schema.columns c JOIN ({" UNION ALL ".join(f"SELECT '{name}' AS table_name, COUNT(*) AS n FROM {name}" for name in NAMES)}) t ON c.table_name = t.table_name
 """)
 def catalog_columns(spark, sf_dir):
-    names = ("region", "nation", "orders")
+    """Every column of every table of the folder, through the session catalog, with the tables' row counts."""
+    names = table_names(spark, sf_dir)
     prefix = _views(spark, sf_dir, names)
     listed = list_catalog(spark, pattern=f"{prefix}*").select(
-        F.substring("table_name", len(prefix) + 1, 64).alias("table_name"), "position", "column_name", "data_type"
+        F.substring("table_name", len(prefix) + 1, 64).alias("table_name"), "position", "column_name", "data_type", "nullable", "collation"
     )
     counts = table_counts({name: spark.table(prefix + name) for name in names})
     return listed.join(counts, "table_name")
@@ -59,16 +57,12 @@ def catalog_join_filter(spark, sf_dir):
     return chosen.join(counts, "table_name").select(*same, "n")
 
 
-@plan("""
-SELECT 'nation' AS table_name, COUNT(*) AS n FROM nation UNION ALL SELECT 'customer', COUNT(*) FROM customer
-UNION ALL SELECT 'orders', COUNT(*) FROM orders
-""")
+@plan(" UNION ALL ".join(f"SELECT '{name}' AS table_name, COUNT(*) AS n FROM {name}" for name in NAMES if name not in ("region", "benchmark")))
 def catalog_driven_copy(spark, sf_dir):
-    """Tables are chosen by a query over the catalog, then each is copied by a job of its own."""
-    prefix = _views(spark, sf_dir, ("region", "nation", "customer", "orders"))
+    """Tables are chosen by a query over the catalog, those of three columns or more, then each is copied by a job of its own."""
+    prefix = _views(spark, sf_dir, table_names(spark, sf_dir))
     wanted = (
         list_catalog(spark, pattern=f"{prefix}*")
-        .filter(F.col("table_name") != prefix + "region")
         .groupBy("table_name")
         .agg(F.count(F.lit(1)).alias("columns"))
         .filter(F.col("columns") >= 3)
