@@ -145,7 +145,7 @@ def size_guard(spark, sf_dir):
 
 @plan("""
 SELECT c_custkey AS customer_key, c_name AS customer_name, c_mktsegment AS segment FROM customer
-UNION ALL SELECT -1, 'Dennis Kane', 'Consumer' UNION ALL SELECT -2, 'Ed Braxton', 'Corporate'
+UNION ALL SELECT -1, 'Mira Lund', 'Consumer' UNION ALL SELECT -2, 'Tomas Quist', 'Corporate'
 UNION ALL SELECT -3, 'Frame Row', 'Corporate' UNION ALL SELECT -4, 'Value''s Row', 'Consumer'
 """)
 def rows_insert(spark, sf_dir):
@@ -156,7 +156,7 @@ def rows_insert(spark, sf_dir):
     stored = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_key"), F.col("c_name").alias("customer_name"), F.col("c_mktsegment").alias("segment")
     )
-    listed = rows_to_df(spark, [(-1, "Dennis Kane", "Consumer"), (-2, "Ed Braxton", "Corporate")], schema)
+    listed = rows_to_df(spark, [(-1, "Mira Lund", "Consumer"), (-2, "Tomas Quist", "Corporate")], schema)
     framed = pandas_to_df(spark, pd.DataFrame({"customer_key": [-3], "customer_name": ["Frame Row"], "segment": ["Corporate"]}), schema)
     valued = spark.sql("SELECT * FROM VALUES (-4L, :name, 'Consumer') AS t(customer_key, customer_name, segment)", args={"name": "Value's Row"})
     for added in (listed, framed, valued):

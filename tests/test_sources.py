@@ -83,9 +83,9 @@ def test_align_by_name(spark):
 
 
 def test_csv_with_mark_spaces_and_null_token(spark, path):
-    source = put(path, "customers.csv", "\ufeffCustomer ID,Customer Name,Loyalty Reward Points,Segment\nDK-13375,Dennis Kane,518,Consumer\nXX-1,,NULL,NULL\n")
+    source = put(path, "customers.csv", "\ufeffCustomer ID,Customer Name,Loyalty Reward Points,Segment\nML-7,Mira Lund,31,Consumer\nXX-1,,NULL,NULL\n")
     schema = struct_from_types([("Customer ID", "text", False), ("Customer Name", "text", False), ("Loyalty Reward Points", "big_int"), ("Segment", "text")])
-    assert rows(load_csv(spark, source, schema)) == [("DK-13375", "Dennis Kane", 518, "Consumer"), ("XX-1", "", None, None)]
+    assert rows(load_csv(spark, source, schema)) == [("ML-7", "Mira Lund", 31, "Consumer"), ("XX-1", "", None, None)]
 
 
 def test_csv_null_in_declared_not_null_raises(spark, path):
@@ -103,13 +103,13 @@ def test_csv_malformed_value_and_line_raise(spark, path):
 
 
 def test_csv_mixed_types_with_empty_fields(spark, path):
-    text = 'key00,12.3,,"a, ""quoted"" text",5,0,2004-04-15,,2004-07-09 10:17:35\nkey01,-12.3,NULL,,,1,,21:07:32,NULL\n'
+    text = 'row-a,7.25,,"a, ""quoted"" text",5,0,1999-12-31,,2001-02-03 04:05:06\nrow-b,-7.25,NULL,,,1,,06:30:15,NULL\n'
     schema = struct_from_types(
         [("key", "text", False), ("num0", "double"), ("num1", "double"), ("str0", "text"), ("int0", "int"), ("bool0", "bool"), ("date0", "date"), ("time0", "time"), ("datetime0", "timestamp")]
     )
     assert rows(load_csv(spark, put(path, "calcs.csv", text), schema, header=False)) == [
-        ("key00", 12.3, None, 'a, "quoted" text', 5, False, dt.date(2004, 4, 15), None, dt.datetime(2004, 7, 9, 10, 17, 35)),
-        ("key01", -12.3, None, "", None, True, None, dt.time(21, 7, 32), None),
+        ("row-a", 7.25, None, 'a, "quoted" text', 5, False, dt.date(1999, 12, 31), None, dt.datetime(2001, 2, 3, 4, 5, 6)),
+        ("row-b", -7.25, None, "", None, True, None, dt.time(6, 30, 15), None),
     ]
 
 
@@ -226,19 +226,19 @@ ORDERS = struct_from_types([("Address ID", "small_int", False), ("Order ID", "te
 
 
 def test_rows(spark):
-    data = [(399, "CA-2011-100006", dt.date(2012, 9, 7), None), (530, "CA-2011-100090", dt.date(2012, 7, 8), 0.2)]
+    data = [(61, "O-4711", dt.date(2020, 2, 29), None), (62, "O-4712", dt.date(2021, 12, 31), 0.2)]
     df = rows_to_df(spark, iter(data), ORDERS)
     assert df.count() == 2 and rows(df) == data
     with pytest.raises(Exception):
-        rows_to_df(spark, [(1, None, dt.date(2012, 9, 7), None)], ORDERS)
+        rows_to_df(spark, [(1, None, dt.date(2020, 3, 1), None)], ORDERS)
 
 
 def test_pandas(spark):
     import pandas as pd
 
-    frame = pd.DataFrame({"Customer ID": ["DK-13375", "EB-13705"], "Points": [518, 815]})
+    frame = pd.DataFrame({"Customer ID": ["ML-7", "TQ-8"], "Points": [31, 44]})
     schema = struct_from_types([("Customer ID", "text", False), ("Points", "big_int", False)])
-    assert rows(pandas_to_df(spark, frame, schema)) == [("DK-13375", 518), ("EB-13705", 815)]
+    assert rows(pandas_to_df(spark, frame, schema)) == [("ML-7", 31), ("TQ-8", 44)]
     with pytest.raises(Exception, match="NOT NULL"):
         pandas_to_df(spark, pd.DataFrame({"Customer ID": ["a", None], "Points": [1, 2]}), schema).collect()
 
@@ -254,12 +254,12 @@ MAPPINGS = [
 
 
 def test_insert_with_expressions(spark):
-    data = [(399, "2012-09-13 10:00:00", "Express Class", "Urgent"), (530, "2012-07-12 14:00:00", "Standard Class", "Low")]
+    data = [(61, "2020-02-29 23:15:00", "By Air", "Urgent"), (62, "2021-12-31 04:30:00", "By Boat", "Low")]
     assert rows(insert_rows(spark, data, INPUT, MAPPINGS, TARGET)) == [
-        (399, dt.datetime(2012, 9, 13, 10), "Express Class", 1),
-        (530, dt.datetime(2012, 7, 12, 14), "Standard Class", 3),
+        (61, dt.datetime(2020, 2, 29, 23, 15), "By Air", 1),
+        (62, dt.datetime(2021, 12, 31, 4, 30), "By Boat", 3),
     ]
-    unmatched = [(1, "2012-07-12 14:00:00", "x", "Later")]
+    unmatched = [(1, "2022-01-01 00:00:00", "x", "Later")]
     with pytest.raises(Exception, match="NULL in column Ship Priority"):
         insert_rows(spark, unmatched, INPUT, MAPPINGS, TARGET).collect()
     with pytest.raises(ValueError, match="twice"):
