@@ -26,11 +26,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_of(docs: DataFrame, *others: str) -> DataFrame:
-    """Only the named columns and ``text``, so that further columns of the input can clash with nothing."""
-    return docs.select(*(docs[c] for c in others), docs["text"])
-
-
 def ascii_lower(text: Column) -> Column:
     """A-Z in small letters. A text of ASCII alone takes the faster function, with the same result."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
