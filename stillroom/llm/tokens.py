@@ -15,7 +15,7 @@ from struct import pack
 import numpy as np
 
 #: Chunks of a generation kept per task process, and the longest that is kept.
-KEPT, LONGEST = 600_000, 48
+KEPT, LONGEST = 450_000, 48
 ID = np.dtype("<u4")
 
 
