@@ -195,3 +195,64 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stillroom.llm.secrets import find_secrets
 
     return find_secrets(table(spark, sf_dir, "documents")).select("doc_id", "start", "length", "value_sha256", "score", "is_secret")
+
+
+@query(
+    r"""
+    WITH RECURSIVE doc AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    gram AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(list_slice(w, pos, pos + 3), ' ') END AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS pos FROM doc WHERE len(w) > 0)),
+    size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY 1),
+    met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM gram a JOIN gram b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+    link AS (SELECT a, b FROM met JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * met.n >= 80 * (x.n + y.n - met.n)),
+    reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+    named AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(first, doc_id)) AS component_id
+      FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS first FROM reach GROUP BY 1) USING (doc_id))
+    SELECT *, doc_id = component_id AS kept FROM named
+    """
+)
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH word AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents) WHERE t <> '' GROUP BY 1, 2),
+    asked AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) WHERE t <> '' GROUP BY 1, 2),
+    doc AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM word GROUP BY 1),
+    whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM doc),
+    weight AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM word GROUP BY 1), whole),
+    scored AS (SELECT item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))))::BIGINT AS score
+      FROM asked JOIN weight USING (t) JOIN word USING (t) JOIN doc USING (doc_id), whole GROUP BY 1, 2)
+    SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0) WHERE rank <= 20
+    """
+)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.lexical import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    r"""
+    WITH RECURSIVE byte AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
+    run AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) WHERE length(run) >= 6 GROUP BY 1, 2),
+    coded AS (SELECT run, n, flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [192 + (unicode(ch) >> 6), 128 + (unicode(ch) & 63)] END)) AS bytes FROM run),
+    hashed AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM coded, byte),
+    word AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed) WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+    less AS (SELECT word, n, i, left(word, i::INT) || substr(word, i::INT + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM word)),
+    near AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN word b ON a.rest = b.word
+      UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN word b ON a.rest = b.word),
+    top AS (SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) AS place FROM near),
+    judged AS (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n FROM word LEFT JOIN (FROM top WHERE place = 1) USING (word)),
+    chain AS (SELECT word, word AS root FROM judged UNION ALL SELECT chain.word, form FROM chain JOIN judged ON judged.word = root WHERE form IS NOT NULL)
+    SELECT word, form, root, judged.n, n_near, form_n FROM judged JOIN (SELECT chain.word, root FROM chain JOIN judged ON judged.word = root WHERE form IS NULL) USING (word)
+    """
+)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stillroom.llm.spelling import variants
+
+    return variants(table(spark, sf_dir, "documents"))
