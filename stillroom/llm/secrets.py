@@ -6,8 +6,8 @@ of letter pairs counted over all documents), the share of it that words of all d
 the words around it. It is trained from labelled findings; at most ``train_rows`` different values of them, chosen by
 hash, are used. Word and letter-pair counts cover all documents.
 
-Defined results: null and empty texts have no candidates. Labels of one kind only, or none, train no forest; every
-candidate then counts as a secret with score 1. Rows that repeat a document have their findings each. Findings carry a
+Defined results: null and empty texts have no candidates. Labels of one kind only, or none, train no forest; no
+candidate then counts as a secret, and scores are null. Rows that repeat a document have their findings each. Findings carry a
 hash of the value and never the value.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stillroom.llm.common import ascii_lower, stored
+from stillroom.session import scratch_path
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}"
 BEFORE, AFTER = 48, 24
@@ -125,13 +126,18 @@ def train(labelled: DataFrame, train_rows: int = 20_000, trees: int = 24, depth:
     if chosen.select("label").distinct().count() < 2:
         return None
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(chosen).select("label", "features")
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(vectors.coalesce(1))
+    fitted = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(vectors.coalesce(1))
+    # A fitted forest holds its training summary and with it the session, which no task may be sent; a loaded one does not.
+    path = scratch_path(labelled.sparkSession, "forest")
+    fitted.write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def judged(featured_rows: DataFrame, model: RandomForestClassificationModel | None, threshold: float = 0.5) -> DataFrame:
-    """Adds ``score``, the forest's share of votes for a secret, and ``is_secret``."""
+    """Adds ``score``, the forest's share of votes for a secret, and ``is_secret``. Without a forest nothing is judged a
+    secret, and the score is null."""
     if model is None:
-        return featured_rows.select("*", F.lit(1.0).alias("score"), F.lit(True).alias("is_secret"))
+        return featured_rows.select("*", F.lit(None).cast("double").alias("score"), F.lit(False).alias("is_secret"))
     kept = [c for c in featured_rows.columns if c not in FEATURES]
     scored = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(featured_rows))
     score = vector_to_array("probability")[1]

@@ -5,7 +5,7 @@ Fingerprints link at three or fewer differing bits (``hamming.links_within``); a
 doc_id that links lead to.
 
 Defined results: texts that are null or without a word have fingerprint 0, which links like any other; one or two words
-are one shingle; a component whose doc_ids are all null has a null id. Copies share a fingerprint and meet as one value.
+are one shingle; a component whose doc_ids are all null has a null id, and is represented by one of its rows all the same. Copies share a fingerprint and meet as one value.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,10 +54,13 @@ def _marked(docs: DataFrame) -> DataFrame:
     return stored(docs.select(docs["doc_id"], fingerprints(docs["text"]).alias("fp"), F.xxhash64(docs["text"]).alias("text_hash")), "fingerprints")
 
 
-def _component_ids(marked: DataFrame, bucket_limit: int) -> DataFrame:
-    """(fp, component_id) for every fingerprint."""
+def _component_ids(marked: DataFrame, bucket_limit: int, named: bool = False) -> DataFrame:
+    """(fp, component_id) for every fingerprint; with ``named`` (fp, root), the fingerprint that names its component."""
     values = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-values")
     roots = stored(components(links_within(values.select("fp"), bucket_limit)), "fingerprint-roots")
+    if named:
+        linked = roots.select(F.col("node").alias("fp"), "root")
+        return stored(values.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")), "components")
     ids = roots.join(values, roots["node"] == values["fp"]).groupBy("root").agg(F.min("least").alias("component_id"))
     linked = roots.join(stored(ids, "component-ids"), "root").select(F.col("node").alias("fp"), F.col("component_id"), F.lit(True).alias("linked"))
     own = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least"))
@@ -72,14 +75,20 @@ def near_duplicates(docs: DataFrame, bucket_limit: int = 1 << 17) -> DataFrame:
 
 
 def keep_representatives(docs: DataFrame, bucket_limit: int = 1 << 17) -> DataFrame:
-    """Rows of ``docs``, all columns: one of each component, the one whose doc_id names it.
+    """Rows of ``docs``, all columns: one of each component, the one with the least doc_id (rows without one come last).
 
-    Should that doc_id be repeated, the row with the smallest hash of its text stays, once. A component without any
-    doc_id keeps nothing, as nothing names its rows.
+    Should that doc_id be repeated, the row with the smallest hash of its text stays, once.
     """
     marked = _marked(docs)
-    naming = marked.join(_component_ids(marked, bucket_limit), "fp").filter("doc_id = component_id")
-    kept = naming.groupBy(F.col("doc_id").alias("kept_id")).agg(F.min("text_hash").alias("kept_hash"), F.count(F.lit(1)).alias("n"))
-    kept = stored(kept, "representatives")
-    rows = docs.join(kept, (docs["doc_id"] == kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_hash"]), "left_semi")
-    return rows if kept.filter("n > 1").isEmpty() else rows.dropDuplicates(["doc_id"])
+    parts = _component_ids(marked, bucket_limit, named=True)
+    # A component is named by its least fingerprint, which is there whether or not any of its rows has a doc_id.
+    naming = marked.join(parts, "fp").select("root", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash").alias("row"))
+    least = naming.groupBy("root").agg(F.min("row").alias("row"))
+    kept = stored(least.select(F.col("row.doc_id").alias("kept_id"), F.col("row.text_hash").alias("kept_hash")), "representatives")
+
+    def chosen(rows: DataFrame, text_hash: Column) -> DataFrame:
+        return rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (text_hash == kept["kept_hash"]), "left_semi")
+
+    rows, text_hash = chosen(docs, F.xxhash64(docs["text"])), "__kept_text_hash"
+    repeats = chosen(marked, marked["text_hash"]).groupBy("doc_id", "text_hash").count().filter("count > 1")
+    return rows if repeats.isEmpty() else rows.withColumn(text_hash, F.xxhash64("text")).dropDuplicates(["doc_id", text_hash]).drop(text_hash)

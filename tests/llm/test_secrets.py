@@ -50,6 +50,13 @@ def test_held_out_findings_are_told_apart(docs, rows):
     assert len(right) >= 90 and sum(right) / len(right) > 0.97 and found.count() == len(rows)
 
 
+def test_a_session_that_has_counted_rows_can_still_scan(spark, docs, rows, path):
+    from stillroom.operators.tables import write_table
+
+    assert write_table(spark.range(5), path("counted")) == 5
+    assert S.find_secrets(docs).count() == len(rows)
+
+
 def test_redaction_leaves_the_rest_of_a_text(docs, rows):
     secrets = stored(S.find_secrets(docs), "s")
     values = {(r["doc_id"], r["start"]): r for r in secrets.collect()}
@@ -74,7 +81,7 @@ def test_word_counts_and_letter_pairs(spark):
 def test_hard_rows_without_labels_and_empty_tables(hard, hard_rows, empty):
     rows = S.find_secrets(hard, labelled=S.labelled_by_format(S.featured(S.candidates(empty), S.word_counts(empty), S.letter_pairs(S.word_counts(empty)))))
     found = rows.collect()
-    assert all(r["is_secret"] and r["score"] == 1.0 for r in found) and len(found) == sum(len(found_by(t)) for _, t, *_ in hard_rows)
+    assert all(not r["is_secret"] and r["score"] is None for r in found) and len(found) == sum(len(found_by(t)) for _, t, *_ in hard_rows)
     assert S.find_secrets(empty).count() == 0
     clean = S.redact(hard, rows.withColumn("is_secret", F.lit(False)))
     assert sorted(map(str, clean.collect())) == sorted(map(str, hard.collect()))

@@ -75,3 +75,10 @@ def test_one_document_of_each_group_stays(hard, hard_rows, empty):
     expected = {g for _, _, g in expected_groups(hard_rows) if g is not None}
     assert kept.columns == hard.columns and sorted(ids) == sorted(expected)
     assert keep_representatives(empty).count() == 0 and near_duplicates(empty).count() == 0
+
+
+def test_a_component_without_ids_keeps_one_row(spark):
+    one, other = "the first text has these words and no id at all to name it by", "a second one with quite other words in it and no id either"
+    rows = spark.createDataFrame([(None, one), (None, one + " "), (None, other), (7, "a text with an id that stands beside them")], "doc_id long, text string")
+    kept = keep_representatives(rows).collect()
+    assert sorted(r["text"].strip() for r in kept) == sorted([one, other, "a text with an id that stands beside them"])
