@@ -5,6 +5,7 @@ Only names, lengths and renames pass through the driver, never table data.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -95,16 +96,37 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def claim(spark: SparkSession, path: str, owner: str) -> bool:
-    """Create a file that names its owner; False when it is another's."""
+def create_whole(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file appear with its whole text under a name that nothing has yet; False when something has it.
+
+    The text is written under a name of its own and takes its place by a rename that does not replace. On file systems
+    without such a rename the file is created there without replacing.
+    """
+    draft = f"{path}.{uuid.uuid4().hex}"
+    write_text(spark, draft, text)
+    jvm = spark._jvm
+    try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(_path(spark, path).toUri(), spark._jsc.hadoopConfiguration())
+        options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        context.rename(_path(spark, draft), _path(spark, path), options)
+        return True
+    except Py4JJavaError as error:
+        name = error.java_exception.getClass().getSimpleName()
+        if name == "FileAlreadyExistsException":
+            remove(spark, draft)
+            return False
+        if name != "UnsupportedFileSystemException":
+            raise
+    remove(spark, draft)
     try:
         stream = _fs(spark, path).create(_path(spark, path), False)
     except Py4JJavaError:
         if not exists(spark, path):
             raise
-        return read_text(spark, path) == owner
+        return False
     try:
-        stream.write(bytearray(owner, "utf-8"))
+        stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
     return True

@@ -208,10 +208,12 @@ def create_table_as(df: DataFrame, name: str, path: str, mode: str = "errorifexi
     return df.sparkSession.table(quote_name(name, max_length=None))
 
 
-def insert_into(df: DataFrame, name: str) -> None:
-    """``INSERT INTO name SELECT …`` by column name."""
-    target = df.sparkSession.table(quote_name(name, max_length=None))
-    align(df, target.schema).write.insertInto(quote_name(name, max_length=None))
+def insert_into(df: DataFrame, name: str) -> int:
+    """``INSERT INTO name SELECT …`` by column name; returns the number of rows, counted in the stage that writes them."""
+    target, counted = df.sparkSession.table(quote_name(name, max_length=None)), Observation()
+    rows = align(df, target.schema).observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows.write.insertInto(quote_name(name, max_length=None))
+    return counted.get["rows"]
 
 
 def publish(df: DataFrame, path: str, mode: str) -> None:
@@ -225,18 +227,19 @@ def publish(df: DataFrame, path: str, mode: str) -> None:
 def append_once(df: DataFrame, path: str, request_id: str) -> bool:
     """Append under a request id, kept as the column ``request_id``; False when that request was applied before.
 
-    A request writes a folder of its own, so one that broke off is simply written again. Its rows are aligned by name
-    to those of earlier requests.
+    The table may be new, or have rows from before the first request, partitioned or not: a table without the column
+    gets it, NULL in these rows. Rows are aligned by name to those that are there.
     """
-    spark, mark = df.sparkSession, _ledger(path, request_id)
-    if files.exists(spark, mark):
+    spark = df.sparkSession
+    recover(spark, path)
+    if files.exists(spark, _ledger(path, request_id)):
         return False
-    if any(e.is_dir and e.name.startswith("request_id=") and e.name != f"request_id={request_id}" for e in files.entries(spark, path)):
-        present = spark.read.parquet(path).schema
-        df = align(df, T.StructType([f for f in present.fields if f.name != "request_id"]))
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/request_id={request_id}")
-    files.write_text(spark, mark, "")
-    return True
+    named = df.withColumn("request_id", F.lit(request_id))
+    if any(not e.name.startswith(("_", ".")) for e in files.entries(spark, path)):
+        present = spark.read.option("mergeSchema", True).parquet(path)
+        if "request_id" not in present.columns:
+            write_table(present.withColumn("request_id", F.lit(None).cast("string")), path, "replace")
+    return append_batch(named, path, request_id)
 
 
 def refresh(df: DataFrame, path: str) -> bool:
@@ -321,8 +324,11 @@ def tables_below(spark: SparkSession, root: str) -> dict[str, str]:
     """
 
     def is_table(entry: files.Entry) -> bool:
-        inside = _visible(spark, entry.path) if entry.is_dir else []
-        return entry.name.endswith(".parquet") or any("=" in e.name if e.is_dir else e.name.startswith("part-") for e in inside)
+        if entry.name.endswith(".parquet") or not entry.is_dir:
+            return entry.name.endswith(".parquet")
+        inside = _visible(spark, entry.path)
+        # Files of their own make a table, whatever wrote them; a schema's files are named as its tables are.
+        return any("=" in e.name if e.is_dir else _WRITTEN.match(e.name) for e in inside)
 
     def name_of(entry: files.Entry) -> str:
         return entry.name.removesuffix(".parquet")
@@ -338,6 +344,10 @@ def tables_below(spark: SparkSession, root: str) -> dict[str, str]:
     return found
 
 
+#: Names of files that writes and appended batches leave; a single-file table of a schema is named otherwise.
+_WRITTEN = re.compile(r"part-|[\w-]+\.\d{6}\.parquet$")
+
+
 def _visible(spark: SparkSession, path: str) -> list[files.Entry]:
     return [e for e in files.entries(spark, path) if not e.name.startswith((".", "_"))]
 

@@ -102,7 +102,7 @@ SOURCE_TYPES = {
     "azuresql": {
         "str": T.StringType(),
         "unicode": T.StringType(),
-        "bytearray": T.StringType(),
+        "bytearray": T.BinaryType(),
         "bool": T.BooleanType(),
         "int": T.IntegerType(),
         "long": T.LongType(),

@@ -206,12 +206,10 @@ class KeyedTable:
         return {"name": name, "bytes": files.total_bytes(self.spark, path)}
 
     def _commit(self, state: dict) -> None:
-        """Writes the version. A number belongs to the writer that claims it first; another one raises."""
-        path = f"{self.root}/versions/{state['number']:012d}"
-        if not files.claim(self.spark, f"{path}.claim", state["token"]):
-            raise RuntimeError(f"version {state['number']} of {self.root} is being written by another run")
-        files.write_text(self.spark, f"{path}.draft", json.dumps(state))
-        files.rename(self.spark, f"{path}.draft", path)
+        """Writes the version. The version file is itself the claim: only one writer can create it, and one that dies
+        before that leaves nothing that stands in another's way."""
+        if not files.create_whole(self.spark, f"{self.root}/versions/{state['number']:012d}", json.dumps(state)):
+            raise RuntimeError(f"version {state['number']} of {self.root} was written by another run")
 
     def vacuum(self) -> int:
         """Remove folders that the table no longer needs, and older versions. Run it while nothing reads or writes. The
