@@ -103,7 +103,7 @@ def _shards(weights: np.ndarray, pairs: list[tuple[int, int]], n_docs: int, n_te
         order = np.argsort(term, kind="stable")
         term, doc, impact = term[order], doc[order], impact[order]
         present, starts = np.unique(term, return_index=True)
-        lists = {int(t): (doc[s:e], impact[s:e]) for t, s, e in zip(present, starts, [*starts[1:], len(term)], strict=True)}
+        lists = {int(t): (doc[s:e], impact[s:e]) for t, s, e in zip(present, starts, np.append(starts, len(term))[1:], strict=True)}
         out = [(-1, -1, np.stack([rows["id"].to_numpy(), rows["no_id"].to_numpy().astype(np.int64)]).tobytes(), b"", [], 0)]
         dense = np.zeros(len(rows), dtype=np.int64)
         for a, (docs, values) in lists.items():

@@ -250,19 +250,19 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _links(of: _Sets) -> DataFrame:
     """(node, root) for the classes that have a link."""
     spark = of.sets.sparkSession
-    sig = of.sets.select("set", "n", "sig")
-    # A bucket names its least and greatest class by 64 bits; should two classes share them, both are compared.
-    members = of.sets.select("set", F.xxhash64("set").alias("short"), F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("short").alias("first"), F.max("short").alias("last"))
-    shared = stored(members.join(stored(buckets.filter("size > 1"), "buckets"), "bucket"), "shared-buckets")
-    ends = shared.select("set", "short", F.explode(F.array("first", "last")).alias("end")).filter("short <> end").select("set", "end").distinct()
-    named = of.sets.select(F.xxhash64("set").alias("end"), F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
-    star = ends.join(sig, "set").join(named, "end").filter("set <> b").select(F.col("set").alias("a"), "b", F.col("n").alias("n_a"), "n_b", F.col("sig").alias("sig_a"), "sig_b")
+    # Buckets hold their classes by 64 bits of their names; should two classes share these, both are compared. One shuffle
+    # of narrow rows serves the counts and what is joined with them.
+    members = of.sets.select(F.xxhash64("set").alias("short"), F.explode("bands").alias("bucket")).repartition(partitions_of(spark), "bucket")
+    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("short").alias("first"), F.max("short").alias("last")).filter("size > 1")
+    shared = stored(members.join(buckets, "bucket"), "shared-buckets")
+    ends = shared.select("short", F.explode(F.array("first", "last")).alias("end")).distinct()
+    a, b = (of.sets.select(F.xxhash64("set").alias(by), F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for by, x in (("short", "a"), ("end", "b")))
+    star = ends.join(a, "short").join(b, "end").filter("a <> b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b")
     looked = stored(_ordered(star.mapInPandas(_look, "a binary, b binary")).distinct(), "star-survivors")
     links = of.verified(looked)
     roots = stored(components(links), "roots")
-    wide = shared.filter("size > 3").select("bucket", "set")  # up to three, the star has tested all pairs
-    rooted = wide.join(roots.withColumnRenamed("node", "set"), "set", "left").join(of.sets.select("set", "n"), "set")
+    wide = shared.filter("size > 3").select("bucket", "short")  # up to three, the star has tested all pairs
+    rooted = wide.join(of.sets.select(F.xxhash64("set").alias("short"), "set", "n"), "short").join(roots.withColumnRenamed("node", "set"), "set", "left")
     rooted = stored(rooted.select("bucket", "set", F.coalesce("root", "set").alias("root"), "n"), "rooted")
     counts = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
     top = F.max_by(F.struct("root", "rows", "shingles"), F.struct("rows", "root")).alias("top")
