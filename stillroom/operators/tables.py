@@ -326,6 +326,8 @@ def tables_below(spark: SparkSession, root: str) -> dict[str, str]:
     def is_table(entry: files.Entry) -> bool:
         if entry.name.endswith(".parquet") or not entry.is_dir:
             return entry.name.endswith(".parquet")
+        if files.exists(spark, f"{entry.path}/_versions"):
+            return True
         inside = _visible(spark, entry.path)
         # Files of their own make a table, whatever wrote them; a schema's files are named as its tables are.
         return any("=" in e.name if e.is_dir else _WRITTEN.match(e.name) for e in inside)
@@ -371,16 +373,19 @@ def copy_tables(
 
     ``transform_by_type`` is a test on column types and a function for the columns that pass it; all others
     go through unchanged. The number of files follows from the input's bytes. Files are packed without a
-    shuffle, except where they are dealt to partitions. Some tables are copied at a time.
+    shuffle, except where they are dealt to partitions. Some tables are copied at a time. Of a versioned table the last
+    version is copied, as a plain folder of files.
     """
+    from stillroom.operators.versions import is_versioned, read_table
+
     below = tables_below(spark, source)
 
     def copy(name: str) -> str:
         path = below[name]
-        df = spark.read.parquet(path)
+        df = read_table(spark, path)
         if transform_by_type is not None:
             df = map_columns_by_type(df, *transform_by_type)
-        partition_by = partition_columns(spark, path)
+        partition_by = [] if is_versioned(spark, path) else partition_columns(spark, path)
         rows = df if partition_by else packed(df, files.total_bytes(spark, path), file_bytes)
         write_table(rows, f"{target.rstrip('/')}/{name.replace('.', '/')}", mode, partition_by=partition_by or None)
         return name

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stillroom.operators.tables import write_table
+from stillroom.operators.versions import VersionedTable
 from stillroom.plans import plan, table
 from stillroom.session import scratch_path
 from stillroom.streaming.apply import KeyedTable, append_stream, apply_stream, read_stream, window_stream
@@ -27,9 +27,11 @@ def event_stream(spark, path, sf_dir):
 @plan("SELECT event_id, ts, user_id, event_type, value FROM events")
 def stream_append(spark, sf_dir):
     root, source = scratch_path(spark, "appended"), event_files(spark, sf_dir)
+    events = event_stream(spark, source, sf_dir)
+    kept = VersionedTable.create(spark, f"{root}/table", events.schema)
     for _ in range(2):  # the second run finds nothing new and adds nothing
-        append_stream(event_stream(spark, source, sf_dir), f"{root}/table", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/table")
+        append_stream(events, kept, f"{root}/checkpoint")
+    return kept.read()
 
 
 @plan("""
@@ -38,15 +40,16 @@ UNION ALL SELECT -event_id, user_id, value, CAST(ts AS DATE) FROM events WHERE e
 UNION ALL SELECT event_id, user_id, 0.0, CAST(ts AS DATE) FROM events WHERE event_type = 'error'
 """)
 def mixed_append(spark, sf_dir):
-    """A table partitioned by day: a first load, then a stream, then a batch, all of them seen by a plain read."""
+    """A table partitioned by day: a first load, then a stream, then a batch, each batch one commit."""
     root, source = scratch_path(spark, "mixed"), event_files(spark, sf_dir)
     by_day = ["event_id", "user_id", "value", F.to_date("ts").alias("day")]
     events = table(spark, sf_dir, "events")
     first = events.filter("event_type = 'purchase'").withColumn("event_id", -F.col("event_id")).select(by_day)
-    write_table(first, f"{root}/table", "create", partition_by=["day"])
-    append_stream(event_stream(spark, source, sf_dir).select(by_day), f"{root}/table", f"{root}/checkpoint")
-    write_table(events.filter("event_type = 'error'").withColumn("value", F.lit(0.0)).select(by_day), f"{root}/table", "append")
-    return spark.read.parquet(f"{root}/table")
+    kept = VersionedTable.create(spark, f"{root}/table", first.schema, partition="day")
+    kept.append(first, "first-load")
+    append_stream(event_stream(spark, source, sf_dir).select(by_day), kept, f"{root}/checkpoint")
+    kept.append(events.filter("event_type = 'error'").withColumn("value", F.lit(0.0)).select(by_day), "errors")
+    return kept.read()
 
 
 @plan("""
@@ -61,8 +64,9 @@ def window_stream_refresh(spark, sf_dir):
     for number, start in enumerate(("2000-01-01", "2024-01-10", "2024-01-20")):
         window = events.filter(F.col("day") >= F.lit(start).cast("date")).withColumn("value", F.col("value") + 1000 * number)
         window.repartition(3).write.parquet(f"{root}/in/snapshot={number:04d}/from={start}")
-    window_stream(spark, f"{root}/in", events.schema, f"{root}/table", "day", f"{root}/checkpoint", files_per_batch=1)
-    return spark.read.parquet(f"{root}/table")
+    kept = VersionedTable.create(spark, f"{root}/table", events.schema, partition="day")
+    window_stream(spark, f"{root}/in", events.schema, kept, "day", f"{root}/checkpoint", files_per_batch=1)
+    return kept.read()
 
 
 @plan("""

@@ -172,11 +172,12 @@ def external_table(spark: SparkSession, name: str, paths: str | Sequence[str], *
 def attach(spark: SparkSession, root: str, alias: str) -> list[str]:
     """Make every table below a directory readable as ``<alias>_<table>``; returns the view names."""
     from stillroom.operators.tables import tables_below
+    from stillroom.operators.versions import read_table
 
     names = []
     for table, path in sorted(tables_below(spark, root).items()):
         view = f"{alias}_{table.replace('.', '_')}"
-        spark.read.parquet(path).createOrReplaceTempView(view)
+        read_table(spark, path).createOrReplaceTempView(view)
         names.append(view)
     return names
 

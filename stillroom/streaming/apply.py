@@ -20,6 +20,7 @@ from stillroom.functions.expressions import quote_column
 from stillroom.operators.changes import prefixed, updated_by
 from stillroom.operators.conditions import SOURCE_PREFIX, Match
 from stillroom.operators.tables import append_batch, refresh_window, write_table
+from stillroom.operators.versions import VersionedTable
 
 ACTIONS = ("upsert", "update", "delete")
 DELETED, VERSION = "__deleted", "__version"
@@ -37,41 +38,58 @@ def _run(stream: DataFrame, checkpoint: str, batch) -> None:
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
+def append_stream(stream: DataFrame, target: str | VersionedTable, checkpoint: str) -> None:
     """Append everything that is new since the last run, then stop.
 
-    The table may be new, or written and appended to by other means before and after.
+    The table may be new, or written and appended to by other means before and after. A batch into a versioned table is
+    one commit of its own files: readers see it whole or not at all, and its cost does not follow from the table's size.
     """
-    _run(stream, checkpoint, lambda df, token: append_batch(df, path, token))
+
+    def batch(df: DataFrame, token: str) -> None:
+        if isinstance(target, VersionedTable):
+            target.append(df, token)
+        else:
+            append_batch(df, target, token)
+
+    _run(stream, checkpoint, batch)
 
 
-def window_stream(spark: SparkSession, source: str, schema: T.StructType, path: str, date_column: str, checkpoint: str, *, files_per_batch: int = 1000) -> None:
+def window_stream(
+    spark: SparkSession, source: str, schema: T.StructType, target: str | VersionedTable, date_column: str, checkpoint: str, *, files_per_batch: int = 1000
+) -> None:
     """Rolling-window refresh from a stream of snapshots, each the full re-read of a window of days.
 
     A snapshot is the folder ``<source>/snapshot=<id>/from=<first day>`` of files, finished by ``_SUCCESS``; ids grow.
     The stream only tells which snapshots have new files: each of them is then read whole, however its files fell into
     batches, and takes the place of the window's days up to the first day of any newer snapshot. A snapshot that is not
-    finished is an error, and its batch comes again.
+    finished is an error, and its batch comes again. A versioned table, partitioned by the days, changes by one commit
+    for each snapshot.
     """
     listed = T.StructType([*schema.fields, T.StructField("snapshot", T.StringType()), T.StructField("from", T.StringType())])
     stream = read_stream(spark, source, listed, files_per_batch=files_per_batch).select("snapshot", "from")
-    applied = f"{path.rstrip('/')}.snapshots"
+    applied = f"{target.path}/_snapshots" if isinstance(target, VersionedTable) else f"{target.rstrip('/')}.snapshots"
 
     def batch(df: DataFrame, token: str) -> None:
         for row in sorted(df.distinct().collect()):  # a row for each snapshot
             folder = f"{source.rstrip('/')}/snapshot={row['snapshot']}/from={row['from']}"
+            mark = f"{applied}/{row['snapshot']}@{row['from']}"
             if not files.exists(spark, f"{folder}/_SUCCESS"):
                 raise ValueError(f"the snapshot {folder} is not finished")
+            if files.exists(spark, mark):  # read whole by an earlier batch
+                continue
             known = [e.name.partition("@") for e in files.entries(spark, applied)]
             newer = [start for number, _, start in known if number > row["snapshot"]]
             if not newer or min(newer) > row["from"]:
                 refresh_or_create(spark.read.schema(schema).parquet(folder), row["from"], min(newer, default=None))
-            files.write_text(spark, f"{applied}/{row['snapshot']}@{row['from']}", "")
+            files.write_text(spark, mark, "")
 
     def refresh_or_create(rows: DataFrame, start: str, until: str | None) -> None:
-        if not files.exists(spark, path):
-            write_table(rows.filter("false"), path, "create_if_missing", partition_by=[date_column])
-        refresh_window(rows, path, date_column, start, until)
+        if isinstance(target, VersionedTable):
+            target.replace_window(rows, start, until)
+            return
+        if not files.exists(spark, target):
+            write_table(rows.filter("false"), target, "create_if_missing", partition_by=[date_column])
+        refresh_window(rows, target, date_column, start, until)
 
     _run(stream, checkpoint, batch)
 
