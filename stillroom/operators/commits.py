@@ -5,13 +5,15 @@ Works on tables of per-file changes and file contents; reading a repository itse
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stillroom.functions.expressions import content_hash, epoch_to_utc
+from stillroom.operators.changes import settled
 from stillroom.operators.model import Model
 
 FILE_SIZE_LIMIT = 10 * 1024**2
+PART_BYTES, SEPARATOR = 64 * 1024, ", "
 
 
 def history_model() -> Model:
@@ -65,6 +67,45 @@ def changed_files(changes: DataFrame) -> DataFrame:
     return changes.select("commit_id", "file_name")
 
 
+def joined_files(changes: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """``(commit_id, part, text)``: the changed files of a commit as one list, joined by ``, `` in the order of their names
+    and cut into parts of about ``part_bytes`` bytes; a commit of few files has one part, 0.
+
+    A name belongs to the part in which its first byte falls, so a part is longer than the bound by one name at most. Names
+    with a comma, a quote, or a space at an end are quoted (``listed_files`` undoes it); NULL names are left out. Rows are
+    dealt by ranges of commit and name, and the bytes before each range are added up per commit, so that a commit with
+    very many files is split over tasks; no row holds more than a part.
+    """
+    named = changes.filter("file_name IS NOT NULL").select("commit_id", "file_name", _quoted(F.col("file_name")).alias("name"))
+    size = (F.octet_length("name") + len(SEPARATOR)).cast("long")
+    dealt = named.withColumn("bytes", size).repartitionByRange("commit_id", "file_name").withColumn("range", F.spark_partition_id())
+    dealt = settled(dealt, "ranges-of-names")  # written once: every later step sees the same ranges
+    sums = dealt.groupBy("commit_id", "range").agg(F.sum("bytes").alias("in_range"))
+    before = Window.partitionBy("commit_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col("commit_id").alias("of"), F.col("range").alias("in"), F.coalesce(F.sum("in_range").over(before), F.lit(0)).alias("start"))
+    rows = dealt.join(sums, dealt["commit_id"].eqNullSafe(sums["of"]) & (dealt["range"] == sums["in"]))
+    within = Window.partitionBy("commit_id", "range").orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.col("start") + F.coalesce(F.sum("bytes").over(within), F.lit(0))
+    parts = rows.select("commit_id", "file_name", "name", F.floor(place / part_bytes).alias("at")).groupBy("commit_id", "at")
+    texts = parts.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("file_name", "name"))), lambda x: x["name"]), SEPARATOR).alias("text"))
+    # A name longer than a part leaves parts without a first byte; parts are numbered as they come.
+    number = F.row_number().over(Window.partitionBy("commit_id").orderBy("at")) - 1
+    return texts.select("commit_id", number.cast("long").alias("part"), "text")
+
+
+def listed_files(joined: DataFrame) -> DataFrame:
+    """``(commit_id, file_name)``: the names in the parts of ``joined_files``."""
+    names = F.regexp_extract_all("text", F.lit(r'"[^"]*+(?:""[^"]*+)*+"|[^", ][^",]*+'), F.lit(0))
+    name = F.col("name")
+    plain = F.when(name.startswith('"'), F.replace(F.substring(name, F.lit(2), F.char_length(name) - 2), F.lit('""'), F.lit('"'))).otherwise(name)
+    return joined.select("commit_id", F.explode(names).alias("name")).select("commit_id", plain.alias("file_name"))
+
+
+def _quoted(name: Column) -> Column:
+    odd = (name == "") | F.rlike(name, F.lit(r'[",]|^ | $'))
+    return F.when(odd, F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(name)
+
+
 def hash_mapping(files: DataFrame) -> DataFrame:
     """``(commit_id, file_hash, file_name)`` from file contents; contents are hashed where they are read."""
     return files.select("commit_id", content_hash("content").alias("file_hash"), "file_name")

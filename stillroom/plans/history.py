@@ -49,6 +49,23 @@ def changed_files_explode(spark, sf_dir):
     return commits.changed_files(file_changes(spark, sf_dir).withColumn("file_name", named))
 
 
+@plan("""
+WITH named AS (SELECT DISTINCT l_orderkey AS commit_id, CASE l_partkey % 3 WHEN 0 THEN concat('dir, ', CAST(l_partkey AS VARCHAR), ', "v".txt') ELSE concat('src/', CAST(l_partkey AS VARCHAR), '.txt') END AS file_name FROM lineitem),
+     all_named AS (SELECT commit_id, file_name FROM named UNION ALL SELECT DISTINCT -1, file_name FROM named),
+     quoted AS (SELECT commit_id, file_name, CASE WHEN file_name LIKE 'dir%' THEN concat('"', replace(file_name, '"', '""'), '"') ELSE file_name END AS name FROM all_named),
+     placed AS (SELECT *, CAST(COALESCE(SUM(strlen(name) + 2) OVER (PARTITION BY commit_id ORDER BY file_name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 60 AS place FROM quoted)
+SELECT commit_id, ROW_NUMBER() OVER (PARTITION BY commit_id ORDER BY place) - 1 AS part, text
+FROM (SELECT commit_id, place, string_agg(name, ', ' ORDER BY file_name) AS text FROM placed GROUP BY 1, 2) t
+""")
+def commit_file_lists(spark, sf_dir):
+    """The files of each commit as a joined list in parts, and one commit, -1, that changes every file."""
+    part = F.col("file_name").cast("bigint")
+    name = F.when(part % 3 == 0, F.concat(F.lit("dir, "), "file_name", F.lit(', "v".txt'))).otherwise(F.concat(F.lit("src/"), "file_name", F.lit(".txt")))
+    named = file_changes(spark, sf_dir).select("commit_id", name.alias("file_name"))
+    everything = named.select(F.lit(-1).cast("bigint").alias("commit_id"), "file_name").distinct()
+    return commits.joined_files(named.unionByName(everything), part_bytes=60)
+
+
 @plan("SELECT event_id, date_trunc('second', ts) AS authored_date FROM events")
 def epoch_to_utc_time(spark, sf_dir):
     since = F.col("ts") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,14 +41,16 @@ def load_csv(
     Fields are read as text and converted by built-in expressions, because the reader's own null handling
     cannot tell an empty text from the null token. A field equal to ``null_token`` is NULL; an empty field
     is an empty text in a text column and NULL in any other. A text of the token behind backslashes loses one
-    of them, as ``export_csv`` adds it. Malformed lines and values raise. ``multi_line`` admits quoted line breaks;
-    a file is then one task's work.
+    of them, as ``export_csv`` adds it. Malformed lines and values raise. ``multi_line`` admits quoted line breaks; large
+    files are split all the same (``quoted_records``), but for quotes, escapes or encodings of other kinds in
+    ``options``, with which a file is one task's work.
 
     ``paths`` may hold globs and may name a file twice, which yields its rows twice. ``path_column`` adds the
     path of the file each row came from.
     """
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     reader = (
-        spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
+        spark.read.schema(texts)
         .option("header", header)
         .option("sep", sep)
         .option("mode", "FAILFAST")
@@ -60,11 +62,17 @@ def load_csv(
         reader = reader.option("pathGlobFilter", name_filter)
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
-    raw = reader.csv([paths] if isinstance(paths, str) else list(paths))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if multi_line and not {o.lower() for o in options or {}} - {"recursivefilelookup", "modifiedbefore", "modifiedafter"}:
+        records = quoted_records(spark, paths, header=header, name_filter=name_filter, options=options)
+        parsed = F.from_csv("record", ", ".join(f"{quote_column(f.name)} STRING" for f in schema.fields), {"sep": sep, "mode": "FAILFAST", "nullValue": UNUSED_NULL, "escape": '"'})
+        raw, file_path = records.select(parsed.alias("__record"), "file"), F.col("file")
+    else:
+        raw, file_path = reader.csv(paths), F.col("_metadata.file_path")
 
     columns = []
     for field in schema.fields:
-        text = F.col(quote_column(field.name))
+        text = F.col("__record")[field.name] if "__record" in raw.columns else F.col(quote_column(field.name))
         if isinstance(field.dataType, T.StringType):
             value = F.nullif(F.coalesce(text, F.lit("")), F.lit(null_token))
             value = F.when(F.rlike(value, F.lit(escaped_token(null_token))), F.substring(value, 2, 2**31 - 1)).otherwise(value)
@@ -74,7 +82,7 @@ def load_csv(
             value = _typed(value, field.dataType, date_style, date_format, timestamp_format, locale)
         columns.append(value.alias(field.name))
     if path_column:
-        columns.append(F.col("_metadata.file_path").alias(path_column))
+        columns.append(file_path.alias(path_column))
     loaded = raw.select(columns)
     if all(field.nullable for field in schema.fields):
         return loaded
@@ -82,6 +90,53 @@ def load_csv(
     return enforce_not_null(loaded, T.StructType(schema.fields + extra))
 
 
+def quoted_records(spark: SparkSession, paths: Sequence[str], *, header: bool = True, name_filter: str | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
+    """(file, record) of CSV files whose quoted fields may hold line breaks, read in splits of any size.
+
+    A quote that is escaped is doubled, so a line begins inside a field if an odd number of quotes stands before it in the
+    file. Each split counts the quotes of its lines, which tells its exit state for either state of entry; the states of
+    the splits of a file are then combined in their order, and lines are counted on from the state of their split. A line
+    that begins outside a field begins a record. Lines at the front of a split that belong to a record of an earlier one
+    are sent to it; nothing else leaves its split. The first record of each file goes with ``header``; empty ones go
+    always. Files whose first line ends with a carriage return have them at each line's end, and lose them.
+    """
+    reader = spark.read.option("lineSep", "\n")
+    for key, value in {**(options or {}), **({"pathGlobFilter": name_filter} if name_filter else {})}.items():
+        reader = reader.option(key, value)
+    found = reader.schema("line string")
+    lines = found.text([*dict.fromkeys(paths)]).select("line", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = lines.withColumns({"at": F.monotonically_increasing_id(), "quotes": F.char_length("line") - F.char_length(F.replace("line", F.lit('"'), F.lit("")))})
+
+    in_split, upto = Window.partitionBy("file", "block").orderBy("at"), (Window.unboundedPreceding, -1)
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(*upto)
+    splits = lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"), F.min_by("line", "at").alias("first"))
+    returns = F.first("first").over(Window.partitionBy("file").orderBy("block")).endswith("\r")
+    splits = splits.select("file", "block", F.coalesce(F.sum("quotes").over(before) % 2, F.lit(0)).alias("entry"), returns.alias("returns"))
+
+    inside = (F.coalesce(F.sum("quotes").over(in_split.rowsBetween(*upto)), F.lit(0)) + F.col("entry")) % 2 == 1
+    told = lines.join(splits, ["file", "block"]).withColumn("inside", inside)
+    told = told.withColumn("record", F.sum(F.when(F.col("inside"), 0).otherwise(1)).over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
+    line = F.struct("block", "at", "line").alias("line")
+    own = told.filter("record > 0").groupBy("file", "block", "record").agg(F.sort_array(F.collect_list(line)).alias("lines"), F.first("returns").alias("returns"))
+    # The front of a split carries on the last record that any split before it has begun.
+    fronts = told.filter("record = 0").groupBy("file", "block").agg(F.sort_array(F.collect_list(line)).alias("front"))
+    last = told.groupBy("file", "block").agg(F.max("record").alias("record"))
+    begun = F.last(F.when(F.col("record") > 0, F.struct("block", "record")), ignorenulls=True).over(before)
+    carried = last.select("file", "block", begun.alias("of")).join(fronts, ["file", "block"])
+    carried = carried.groupBy("file", F.col("of.block").alias("block"), F.col("of.record").alias("record")).agg(F.flatten(F.sort_array(F.collect_list("front"))).alias("front"))
+    whole = own.join(carried, ["file", "block", "record"], "left")
+    texts = F.transform(F.concat("lines", F.coalesce("front", F.array().cast("array<struct<block:bigint,at:bigint,line:string>>"))), lambda x: F.when(F.col("returns"), F.regexp_replace(x["line"], "\r$", "")).otherwise(x["line"]))
+    records = whole.select("file", "block", "record", F.array_join(texts, "\n").alias("text"))
+    if header:
+        first = (F.col("block") == 0) & (F.col("record") == 1)
+        records = records.filter(~first)
+    records = records.filter("text <> ''")
+    times = {p: list(paths).count(p) for p in paths}
+    if max(times.values()) > 1:  # a path that is listed again is read again
+        records = reduce(DataFrame.unionByName, [records, *(quoted_records(spark, [p], header=header, name_filter=name_filter, options=options).withColumnRenamed("record", "text").select("file", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("record"), "text") for p, n in times.items() for _ in range(n - 1))])
+    return records.select("file", F.col("text").alias("record"))
+
+
 def _typed(text, target, date_style, date_format, timestamp_format, locale) -> Column:
     if isinstance(target, T.DateType) and (date_style or date_format):
         return _date(text, date_style, date_format, locale)

@@ -79,3 +79,31 @@ def test_history_keys(spark):
         "file_commit_mapping_commits_fk": 0,
         "file_commit_mapping_blame_fk": 0,
     }
+
+
+def test_joined_lists_in_parts(spark):
+    from collections import Counter
+
+    names = ["a", "b, c", 'd "e"', "", " f", "g ", "ä,", '"', "h\ni", "z" * 50, "a"]
+    rows = [(1, n) for n in names] + [(2, "only"), (3, None), (None, "x, y"), (None, "w")]
+    changes = spark.createDataFrame(rows, "commit_id long, file_name string")
+    for size in (1, 10, 10_000):
+        parts = commits.joined_files(changes, size).collect()
+        assert size < 10_000 or {(r["commit_id"], r["part"]) for r in parts} == {(1, 0), (2, 0), (None, 0)}
+        assert all(len(r["text"].encode()) <= size + 54 for r in parts)
+        numbers = {c: sorted(r["part"] for r in parts if r["commit_id"] == c) for c in (1, 2, None)}
+        assert all(v == list(range(len(v))) for v in numbers.values())
+        back = commits.listed_files(spark.createDataFrame(parts)).collect()
+        assert Counter(map(tuple, back)) == Counter((c, n) for c, n in rows if n is not None)
+    assert commits.joined_files(changes.filter("false")).count() == 0
+
+
+def test_a_commit_of_very_many_files(spark):
+    many = spark.range(100_000).select(F.lit(1).alias("commit_id"), F.format_string("dir %d/file, %d.txt", F.col("id") % 100, "id").alias("file_name"))
+    joined = commits.joined_files(many, 4096).cache()
+    sizes = [r["n"] for r in joined.select(F.octet_length("text").alias("n")).collect()]
+    assert max(sizes) <= 4096 + 40 and sum(sizes) > 2_000_000 and len(sizes) > 500
+    assert commits.listed_files(joined).exceptAll(many).isEmpty() and commits.listed_files(joined).count() == 100_000
+    order = [r["text"] for r in joined.orderBy("part").collect()]
+    names = [n for r in order for n in r[1:-1].split('", "')]
+    assert names == sorted(names)
