@@ -143,6 +143,28 @@ def size_guard(spark, sf_dir):
     return guard_size(counts, size).withColumn("refused", F.lit(refused))
 
 
+@plan("""
+SELECT 'one column' AS query, FALSE AS refused, COUNT(*) AS n FROM documents WHERE lang IS NOT NULL
+UNION ALL SELECT 'whole table', TRUE, NULL
+UNION ALL SELECT 'no row group', FALSE, 0
+""")
+def size_guard_by_columns(spark, sf_dir):
+    """One limit admits a column of a table, and rows that statistics rule out, and refuses the table as a whole."""
+    documents = table(spark, sf_dir, "documents")
+    limit = files.total_bytes(spark, table_path(sf_dir, "documents")) // 2
+
+    def asked(name, df):
+        try:
+            return guard_size(df, limit, by_columns=True).select(F.lit(name).alias("query"), F.lit(False).alias("refused"), "n")
+        except QueryTooLargeError:
+            return spark.range(1).select(F.lit(name).alias("query"), F.lit(True).alias("refused"), F.lit(None).cast("bigint").alias("n"))
+
+    count = F.count(F.lit(1)).alias("n")
+    whole = documents.filter(F.concat("text", "source", "lang", F.col("doc_id").cast("string")) != "").agg(count)
+    found = asked("one column", documents.filter("lang IS NOT NULL").agg(count)).unionByName(asked("whole table", whole))
+    return found.unionByName(asked("no row group", documents.filter("doc_id < -1 AND text IS NOT NULL").agg(count)))
+
+
 @plan("""
 SELECT c_custkey AS customer_key, c_name AS customer_name, c_mktsegment AS segment FROM customer
 UNION ALL SELECT -1, 'Mira Lund', 'Consumer' UNION ALL SELECT -2, 'Tomas Quist', 'Corporate'

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from stillroom import files
 from stillroom.schema import TypeMappingError, align, data_type, describe, enforce_not_null, schema_from_header, struct_from_types, with_overrides
 from stillroom.sources.files import attach, detach, external_table, load_csv, load_csv_with_header_file, load_parquet, object_store_options, union_by_position
-from stillroom.sources.limits import QueryTooLargeError, guard_size, sample
+from stillroom.sources.limits import QueryTooLargeError, guard_size, sample, scanned_bytes
 from stillroom.sources.rows import fetch_rows, insert_rows, load_result, map_columns, pandas_to_df, rows_to_df, write_rows
 
 
@@ -349,3 +349,33 @@ def test_parquet_files_with_different_columns(spark, path):
         assert set(rows(df.select("k", "x", "y"))) == {(1, "a", None), (2, None, 5)}
     spark.createDataFrame([(3, "b")], "other int, name string").write.parquet(path("three"))
     assert rows(union_by_position(spark, [path("one"), path("three"), path("three")])) == [(1, "a"), (3, "b"), (3, "b")]
+
+
+def test_column_chunks_are_counted_from_footers(spark, path):
+    import pyarrow.parquet as pq
+
+    from stillroom.sources.limits import column_bytes
+
+    rows = spark.range(0, 40_000, 1, 4).select("id", F.sha2(F.col("id").cast("string"), 256).alias("wide"), F.struct(F.col("id").alias("x"), F.lit("y").alias("z")).alias("s"), F.expr("date_add(DATE'2024-01-01', cast(id div 10000 as int))").alias("day"))
+    rows.write.parquet(path("chunks"))
+    df = spark.read.parquet(path("chunks"))
+    footers = [pq.read_metadata(e.path.removeprefix("file:")) for e in files.entries(spark, path("chunks")) if e.name.endswith(".parquet")]
+
+    def size(*names):
+        groups = [f.row_group(g) for f in footers for g in range(f.num_row_groups)]
+        return sum(c.total_compressed_size for g in groups for c in (g.column(i) for i in range(g.num_columns)) if c.path_in_schema.split(".")[0] in names)
+
+    assert column_bytes(df.groupBy("wide").count()) == size("wide") and column_bytes(df.select("id")) == size("id")
+    assert column_bytes(df) == size("id", "wide", "s", "day") and column_bytes(df.select("s")) == size("s")
+    quarter = column_bytes(df.filter("id < 10000").select("wide"))
+    assert 0 < quarter < 0.3 * size("wide", "id") and column_bytes(df.filter("id = -5")) == 0
+    assert column_bytes(df.filter("id >= 39999").select("id")) < 0.3 * size("id") and column_bytes(df.filter("id > 39999").select("id")) == 0
+    assert column_bytes(df.filter("day = DATE'2024-01-02'").select("wide")) < 0.3 * size("wide", "day")
+    assert column_bytes(df.filter("wide > 'x' OR id < 0").select("wide")) == size("wide", "id")
+    limit = size("wide", "id", "s", "day") // 2
+    assert guard_size(df.select("id"), limit, by_columns=True).count() == 40_000
+    with pytest.raises(QueryTooLargeError):
+        guard_size(df, limit, by_columns=True)
+    joined = df.select("id").join(df.select("id", "day"), "id")
+    assert column_bytes(joined) == 2 * size("id") + size("day")
+    assert column_bytes(spark.range(5)) == scanned_bytes(spark.range(5))
