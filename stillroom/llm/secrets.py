@@ -3,8 +3,8 @@
 A candidate is a run of 12 or more characters of the alphabets that keys are written in, with a digit among them. The
 forest sees its length and make-up, its transitions between classes of characters and between letters (against a table
 of letter pairs counted over all documents), the share of it that words of all documents cover, marks of the path, and
-the words around it. It is trained from labelled findings; at most ``train_rows`` different values of them, chosen by
-hash, are used. Word and letter-pair counts cover all documents.
+the words around it. It is trained from labelled findings (``findings``: values of known kinds planted in passages, or
+the caller's own); at most ``train_rows`` different values of them, chosen by hash, are used. Word and letter-pair counts cover all documents.
 
 Defined results: null and empty texts have no candidates. Labels of one kind only, or none, train no forest; no
 candidate then counts as a secret, and scores are null. Rows that repeat a document have their findings each. Findings carry a
@@ -14,6 +14,7 @@ hash of the value and never the value.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stillroom.llm.common import ascii_lower, stored
+from stillroom.llm.findings import KINDS, Kind, planted
 from stillroom.session import scratch_path
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}"
@@ -144,25 +146,24 @@ def judged(featured_rows: DataFrame, model: RandomForestClassificationModel | No
     return scored.select(*kept, *FEATURES, score.alias("score")).select("*", (F.col("score") >= threshold).alias("is_secret"))
 
 
-def labelled_by_format(rows: DataFrame) -> DataFrame:
-    """Adds ``label`` where a value's format leaves no doubt: 1 for issued key formats, and for hexadecimal values that
-    are assigned to a name for secrets; 0 for digits alone, and for values with a harmless name before them."""
-    value, named, hexadecimal = F.col("value"), F.rlike("before", F.lit(KEYWORDS)), F.rlike("value", F.lit("^[0-9a-f]{16,}$"))
-    issued = F.rlike("value", F.lit("^(AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{16,})$"))
-    harmless = F.rlike(value, F.lit("^[0-9]+$")) | F.rlike("before", F.lit(HARMLESS))
-    return rows.select("*", F.when(issued | (named & hexadecimal), 1).when(harmless, 0).alias("label"))
+def labelled_findings(docs: DataFrame, words: DataFrame, pairs: list[float], kinds: Sequence[Kind] = KINDS, passages: int = 200, path: str = "source") -> DataFrame:
+    """``featured`` findings with ``label`` and ``kind``: those of values planted in passages of ``docs``."""
+    known = stored(planted(docs, kinds, passages, path), "planted")
+    value = known.select(F.col("doc_id").alias("_id"), "planted_value", "kind", "label")
+    found = candidates(known, "path").join(value, (F.col("doc_id") == F.col("_id")) & (F.col("value") == F.col("planted_value")))
+    return featured(stored(found.drop("_id", "planted_value"), "planted-candidates"), words, pairs)
 
 
 def find_secrets(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source", **settings) -> DataFrame:
     """A row for each candidate: doc_id, text_hash, k, start, length, value_sha256, score, is_secret.
 
-    labelled: findings with ``label`` as ``train`` takes them; by default those of ``docs`` that ``labelled_by_format``
-    can tell.
+    labelled: findings with ``label`` as ``train`` takes them; by default ``labelled_findings`` of ``docs``.
     """
     found = stored(candidates(docs, path), "candidates")
     words = stored(word_counts(docs), "word-counts")
-    rows = stored(featured(found, words, letter_pairs(words)), "featured")
-    model = train(labelled if labelled is not None else labelled_by_format(rows), **settings)
+    pairs = letter_pairs(words)
+    rows = stored(featured(found, words, pairs), "featured")
+    model = train(labelled if labelled is not None else labelled_findings(docs, words, pairs, path=path), **settings)
     return judged(rows, model).select("doc_id", "text_hash", "k", "start", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stillroom.llm import secrets as S
 from stillroom.llm.common import stored
+from stillroom.llm.findings import KINDS, planted
 
 WORDS = "the garden was quiet and nobody wanted to leave before the rain stopped over there".split()
 
@@ -39,15 +40,55 @@ def test_candidates_against_regular_expressions(hard, hard_rows):
     assert found == sorted(((d, *c) for d, t, *_ in hard_rows for c in found_by(t)), key=str)
 
 
-def test_held_out_findings_are_told_apart(docs, rows):
-    """Trained on some documents' findings, judged on the others'."""
-    found = S.find_secrets(docs).select("doc_id", "k")
-    featured = stored(S.featured(S.candidates(docs), stored(S.word_counts(docs), "w"), S.letter_pairs(S.word_counts(docs))), "f")
-    truth = {i: i % 5 < 3 for i, *_ in rows}
-    model = S.train(S.labelled_by_format(featured).filter("doc_id % 3 <> 0"))
-    judged = S.judged(featured.filter("doc_id % 3 = 0"), model).collect()
-    right = [r["is_secret"] == truth[r["doc_id"]] for r in judged]
-    assert len(right) >= 90 and sum(right) / len(right) > 0.97 and found.count() == len(rows)
+def features_of(text, start, value, path, dictionary, pairs):
+    """The features of one candidate, in plain Python and in the order of S.FEATURES."""
+    before, after = text[:start][-S.BEFORE :], text[start + len(value) :][: S.AFTER]
+    share = lambda pattern: len(re.findall(pattern, value)) / len(value)
+    kinds = ["a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-" for c in value]
+    small = value.lower()
+    mean = sum(pairs[(ord(a) - 97) * 26 + ord(b) - 97] if a.isalpha() and b.isalpha() else S.OTHER_PAIR for a, b in zip(small, small[1:])) / (len(value) - 1)
+    covered = sum(len(w) for w in re.findall("[a-z]{3,}", small) if w in dictionary)
+    marks = [bool(re.search(p, before)) for p in (S.KEYWORDS, S.HARMLESS, r"[:=][\s\"']*$", "[\"']$")] + [bool(re.search(r"^[\s\"',.;]*[A-Za-z]{2}", after))]
+    of_path = [bool(path and re.search(p, path)) for p in (S.TEST_PATH, S.CONFIG_PATH)]
+    changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
+    return [len(value), share("[0-9]"), share("[A-Z]"), share("[a-z]"), share("[+/_=-]"), len(set(small)) / len(value), changes / len(value), mean, covered / len(value), *marks, *of_path, (path or "").count("/")]
+
+
+def test_features_against_plain_ones(docs, rows, hard, hard_rows):
+    for table, texts in ((docs, [(i, t, p) for i, t, p, *_ in rows]), (hard, [(d, t, p) for d, t, _, p in hard_rows])):
+        words = stored(S.word_counts(table), "w")
+        pairs, dictionary = S.letter_pairs(words), {r["word"] for r in words.filter("n >= 5").collect()}
+        found = S.featured(S.candidates(table), words, pairs).collect()
+        expected = {(i, start): features_of(t, start, v, p, dictionary, pairs) for i, t, p in texts for start, v in found_by(t)}
+        assert len(found) >= len(expected) > 0
+        for r in found:
+            assert [r[f] for f in S.FEATURES] == pytest.approx([float(x) for x in expected[r["doc_id"], r["start"]]])
+
+
+@pytest.mark.parametrize("withheld", [("bearer", "upper_token", "uuid", "order"), ("base64_key", "short_token", "commit", "phone"), ("api_key", "password", "card", "etag")])
+def test_kinds_withheld_from_training_are_told_apart(docs, withheld):
+    words = stored(S.word_counts(docs), "w")
+    labelled = stored(S.labelled_findings(docs, words, S.letter_pairs(words), passages=60), "labelled")
+    assert {r["kind"] for r in labelled.select("kind").distinct().collect()} == {k.name for k in KINDS}
+    model = S.train(labelled.filter(~F.col("kind").isin(*withheld)))
+    judged = S.judged(labelled.filter(F.col("kind").isin(*withheld)), model).select("label", "is_secret").collect()
+    hits = sum(r["is_secret"] and r["label"] for r in judged)
+    assert hits / sum(r["label"] for r in judged) > 0.9 and hits / max(1, sum(r["is_secret"] for r in judged)) > 0.9
+
+
+def test_planted_values_are_candidates(docs):
+    """Recall of the candidates on the kinds, each occurrence at its place."""
+    known = planted(docs, passages=60).collect()
+    assert len(known) == 60 * len(KINDS) and len({r["doc_id"] for r in known}) == len(known)
+    seen = sum(r["planted_value"] in [v for _, v in found_by(r["text"])] for r in known)
+    assert seen / len(known) > 0.97
+
+
+def test_findings_of_documents_are_told_apart(docs, rows):
+    """Nothing of these documents is labelled: the forest has seen planted values only."""
+    found = S.find_secrets(docs).select("doc_id", "is_secret").collect()
+    right = [r["is_secret"] == (r["doc_id"] % 5 < 3) for r in found]
+    assert len(right) == len(rows) and sum(right) / len(right) > 0.95
 
 
 def test_a_session_that_has_counted_rows_can_still_scan(spark, docs, rows, path):
@@ -79,7 +120,8 @@ def test_word_counts_and_letter_pairs(spark):
 
 
 def test_hard_rows_without_labels_and_empty_tables(hard, hard_rows, empty):
-    rows = S.find_secrets(hard, labelled=S.labelled_by_format(S.featured(S.candidates(empty), S.word_counts(empty), S.letter_pairs(S.word_counts(empty)))))
+    words = S.word_counts(empty)
+    rows = S.find_secrets(hard, labelled=S.labelled_findings(empty, words, S.letter_pairs(words)))
     found = rows.collect()
     assert all(not r["is_secret"] and r["score"] is None for r in found) and len(found) == sum(len(found_by(t)) for _, t, *_ in hard_rows)
     assert S.find_secrets(empty).count() == 0
