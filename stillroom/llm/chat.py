@@ -132,19 +132,20 @@ def read_windows(windows: DataFrame) -> DataFrame:
 
     new = F.slice(F.transform(parts, turn), F.col("n_repeated") + 1, 2**31 - 1)
     losses = F.transform("loss_spans", lambda s: unescape(F.substring(F.col("text"), s["from"] + 1, s["length"])))
-    return windows.select("conv_id", "window", new.alias("turns"), losses.alias("losses"), F.length("text").alias("chars"))
+    return windows.select("conv_id", "window", "n_repeated", new.alias("turns"), losses.alias("losses"), F.length("text").alias("chars"))
 
 
 def digests(windows: DataFrame) -> DataFrame:
     """A row for each conversation, read back from its windows: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
-    formatted_chars."""
+    formatted_chars, n_windows, n_repeated (turns that windows repeat from earlier ones)."""
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    read = read_windows(windows).select("conv_id", "window", F.size("turns").alias("n"), said.alias("said"), F.array_join("losses", "").alias("loss"), "chars")
+    read = read_windows(windows).select("conv_id", "window", "n_repeated", F.size("turns").alias("n"), said.alias("said"), F.array_join("losses", "").alias("loss"), "chars")
     whole = read.groupBy("conv_id").agg(
-        F.sum("n").alias("n_turns"), F.sort_array(F.collect_list(F.struct("window", "said", "loss"))).alias("parts"), F.sum("chars").alias("formatted_chars")
+        F.sum("n").alias("n_turns"), F.sort_array(F.collect_list(F.struct("window", "said", "loss"))).alias("parts"), F.sum("chars").alias("formatted_chars"),
+        F.count(F.lit(1)).alias("n_windows"), F.sum("n_repeated").cast("long").alias("n_repeated"),
     )
     joined = whole.select(
-        "conv_id", "n_turns", "formatted_chars", F.array_join(F.col("parts.said"), "").alias("said"), F.array_join(F.col("parts.loss"), "").alias("loss")
+        "conv_id", "n_turns", "formatted_chars", "n_windows", "n_repeated", F.array_join(F.col("parts.said"), "").alias("said"), F.array_join(F.col("parts.loss"), "").alias("loss")
     )
     return joined.select(
         "conv_id",
@@ -153,4 +154,6 @@ def digests(windows: DataFrame) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
+        "n_windows",
+        "n_repeated",
     )

@@ -1,15 +1,16 @@
 """Quality by the frequency of lines across documents.
 
-Lines are normalised (small letters; digits, marks and white space as one space) and hashed. For every host the
-different texts that hold a line are counted; a line that more of them hold than the limits allow is boilerplate of the
-host and is removed, and a document of which too few words are left is rejected. Texts are counted, not rows: copies of
-a whole document do not make its lines boilerplate.
+Lines are normalised (small letters; runs of digits as one sign, marks and white space as one space) and hashed. For
+every host the different documents that hold a line are counted; a line that more of them hold than the limits allow is
+boilerplate of the host and is removed, and a document of which too few words are left is rejected. A line without a
+letter is no boilerplate, however many documents have such: numbers and rules differ in what normalising takes away.
 
 Before that, base rules look at each text by itself: its words, symbols, repeated lines and the words in repeated
 windows of five. Windows are compared by 64-bit hashes of their words.
 
 Defined results: a null or empty text has no word and fails the base rules; a null host is a host of its own; rows that
-repeat a document are judged each.
+repeat a document, in id and text, are one document in the counts and are judged each; without a doc_id the text tells
+documents apart.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ SPAN = 5
 
 
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\s\p{Punct}\p{Nd}]+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\p{Nd}+", "0"), r"[\s\p{Punct}]+", " "))
 
 
 def _repeated_words(n: Column) -> Column:
@@ -46,7 +47,7 @@ def _repeated_words(n: Column) -> Column:
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     """A row for each document: doc_id, host, text_hash, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and
-    lines, the hash and number of words of each line."""
+    lines, the hash and number of words of each line; the hash is null where a line has no letter."""
     text = F.coalesce(docs["text"], F.lit(""))
     rows = docs.select(docs["doc_id"], F.coalesce(docs[host].cast("string"), F.lit("")).alias("host"), F.xxhash64(docs["text"]).alias("text_hash"), text.alias("text"))
     rows = rows.select("*", F.array_remove(F.split("text", SPACE), "").alias("words"), F.split("text", "\n", -1).alias("all_lines"))
@@ -54,7 +55,8 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     starts = F.sequence(F.lit(0), F.col("n") - SPAN)
     grams = F.when(F.col("n") >= SPAN, F.transform(starts, lambda i: F.xxhash64(*(F.col("words")[i + k] for k in range(SPAN)))))
     rows = rows.select("*", F.coalesce(grams, F.array().cast("array<bigint>")).alias("grams"))
-    lines = F.transform("all_lines", lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.regexp_count(x, F.lit(WORD)).alias("n")))
+    hashed = lambda x: F.when(F.rlike(x, F.lit(r"\p{L}")), F.xxhash64(normalised(x)))
+    lines = F.transform("all_lines", lambda x: F.struct(hashed(x).alias("line"), F.regexp_count(x, F.lit(WORD)).alias("n")))
     return rows.select(
         "doc_id",
         "host",
@@ -68,22 +70,24 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     )
 
 
-def frequent_lines(measured: DataFrame, min_texts: int, share: float) -> DataFrame:
-    """(host, line) of the lines that more than ``min_texts`` different texts of the host hold, and more than ``share``
-    of its texts."""
-    held = measured.select("host", "text_hash", F.explode(F.array_distinct(F.transform(F.filter("lines", lambda x: x["n"] > 0), lambda x: x["line"]))).alias("line"))
-    counts = held.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") > min_texts)
-    hosts = measured.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all_texts"))
-    return counts.join(hosts, "host").filter(F.col("texts") > share * F.col("all_texts")).select("host", "line")
+def frequent_lines(measured: DataFrame, min_docs: int, share: float) -> DataFrame:
+    """(host, line) of the lines that more than ``min_docs`` different documents of the host hold, and more than
+    ``share`` of its documents."""
+    doc = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("text"), "text_hash")).otherwise(F.xxhash64(F.lit("id"), "doc_id", "text_hash")).alias("doc")
+    once = measured.select("host", doc, "lines").dropDuplicates(["host", "doc"])
+    held = once.select("host", F.explode(F.array_distinct(F.transform(F.filter("lines", lambda x: x["line"].isNotNull()), lambda x: x["line"]))).alias("line"))
+    counts = held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") > min_docs)
+    hosts = measured.select("host", doc).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all_docs"))
+    return counts.join(hosts, "host").filter(F.col("docs") > share * F.col("all_docs")).select("host", "line")
 
 
-def judge(docs: DataFrame, host: str = "source", min_texts: int = 20, share: float = 0.05, min_left: float = 0.3, min_words: int = 10, max_repeated: float = 0.2) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", min_docs: int = 2, share: float = 0.02, min_left: float = 0.5, min_words: int = 10, max_repeated: float = 0.2) -> DataFrame:
     """A row for each document: doc_id, text_hash, the base figures, base_failed, removed_lines (their positions),
-    left_words and kept."""
+    left_words, depleted (too few words are left) and kept."""
     measured = stored(measure(docs, host), "measured")
-    frequent = stored(frequent_lines(measured, min_texts, share), "frequent-lines")
+    frequent = stored(frequent_lines(measured, min_docs, share), "frequent-lines")
     lines = measured.select("doc_id", "text_hash", "host", F.posexplode("lines").alias("at", "x")).select("doc_id", "text_hash", "host", "at", F.col("x.line").alias("line"), F.col("x.n").alias("n"))
-    gone = lines.filter("n > 0").join(frequent, ["host", "line"]).groupBy("doc_id", "text_hash", "host").agg(F.sort_array(F.collect_set(F.struct("at", "n"))).alias("gone"))
+    gone = lines.filter("line IS NOT NULL").join(frequent, ["host", "line"]).groupBy("doc_id", "text_hash", "host").agg(F.sort_array(F.collect_set(F.struct("at", "n"))).alias("gone"))
     gone = stored(gone.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), F.col("host").alias("of"), "gone"), "removed-lines")
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")) & (F.col("host") == F.col("of"))
     left = F.col("n_words") - F.coalesce(F.aggregate("gone", F.lit(0).cast("long"), lambda a, x: a + x["n"]), F.lit(0))
@@ -94,7 +98,8 @@ def judge(docs: DataFrame, host: str = "source", min_texts: int = 20, share: flo
         F.coalesce(F.col("gone.at"), F.array().cast("array<int>")).alias("removed_lines"),
         left.alias("left_words"),
     )
-    return out.select("*", (~F.col("base_failed") & (F.col("left_words") >= min_left * F.col("n_words"))).alias("kept"))
+    out = out.select("*", (F.col("left_words") < min_left * F.col("n_words")).alias("depleted"))
+    return out.select("*", (~F.col("base_failed") & ~F.col("depleted")).alias("kept"))
 
 
 def cleaned(docs: DataFrame, judged: DataFrame) -> DataFrame:

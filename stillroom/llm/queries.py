@@ -97,7 +97,7 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The rules of op9_url_rules, in their order, and the patterns that judge other URLs.
 URL_PREFIXES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-URL_PATTERNS = [r"://([^/?#]*\.)?(casino|pills)[^/?#]*", r"\bspam-farm\b", r"\bcheap-pills\b", r"/wp-login\b", r"\bcalendar/[0-9]{4}/[0-9]{2}/[0-9]{2}\b"]
+URL_PATTERNS = [r"\b(casino|pills|bets)\b", r"\bspam-farm\b", r"\bads\b[^/]*\btrack\b"]
 
 
 @query(
@@ -115,7 +115,7 @@ URL_PATTERNS = [r"://([^/?#]*\.)?(casino|pills)[^/?#]*", r"\bspam-farm\b", r"\bc
         WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/'
         WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
         WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/' END AS rule,
-        coalesce(regexp_matches(small, '://([^/?#]*\.)?(casino|pills)[^/?#]*|\bspam-farm\b|\bcheap-pills\b|/wp-login\b|\bcalendar/[0-9]{4}/[0-9]{2}/[0-9]{2}\b'), false) AS found
+        coalesce(regexp_matches(small, '\b(casino|pills|bets)\b|\bspam-farm\b|\bads\b[^/]*\btrack\b'), false) AS found
       FROM address)
     SELECT page_id, host, path, rule,
       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL OR found THEN 'block' ELSE 'allow' END AS verdict
@@ -123,9 +123,12 @@ URL_PATTERNS = [r"://([^/?#]*\.)?(casino|pills)[^/?#]*", r"\bspam-farm\b", r"\bc
     """
 )
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stillroom.llm.urls import Pattern, Prefix, judge
+    from stillroom.llm.urls import Pattern, Prefix, judge, unfiled
 
-    judged = judge(table(spark, sf_dir, "pages"), [Prefix(*p) for p in URL_PREFIXES], [Pattern(p) for p in URL_PATTERNS])
+    prefixes, patterns = [Prefix(*p) for p in URL_PREFIXES], [Pattern(p) for p in URL_PATTERNS]
+    if unfiled([*prefixes, *patterns]):
+        raise AssertionError(f"rules that every URL would run: {unfiled([*prefixes, *patterns])}")
+    judged = judge(table(spark, sf_dir, "pages"), prefixes, patterns)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -156,7 +159,7 @@ def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return digests(format_windows(given.unionByName(own)))
+    return digests(format_windows(given.unionByName(own), budget=256, history_tokens=64))
 
 
 @query(
@@ -167,19 +170,19 @@ def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     gram AS (SELECT doc_id, pos, list_slice(w, pos, pos + 4) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS pos FROM doc WHERE len(w) >= 5)),
     often AS (SELECT doc_id, g FROM gram GROUP BY 1, 2 HAVING count(*) > 1),
     repeated AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(pos, pos + 5)) AS k FROM gram JOIN often USING (doc_id, g)) GROUP BY 1),
-    line AS (SELECT doc_id, host, text, at_line, trim(regexp_replace(lower(x), '[\s[:punct:]\p{Nd}]+', ' ', 'g')) AS norm, len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS n
-      FROM (SELECT doc_id, host, text, generate_subscripts(lines, 1) AS at_line, unnest(lines) AS x FROM doc)),
-    held AS (SELECT host, norm, count(DISTINCT text) AS texts FROM line WHERE n > 0 GROUP BY 1, 2),
-    hosts AS (SELECT host, count(DISTINCT text) AS all_texts FROM doc GROUP BY 1),
+    line AS (SELECT doc_id, host, at_line, CASE WHEN regexp_matches(x, '\p{L}') THEN trim(regexp_replace(regexp_replace(lower(x), '\p{Nd}+', '0', 'g'), '[\s[:punct:]]+', ' ', 'g')) END AS norm, len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS n
+      FROM (SELECT doc_id, host, generate_subscripts(lines, 1) AS at_line, unnest(lines) AS x FROM doc)),
+    held AS (SELECT host, norm, count(DISTINCT doc_id) AS docs FROM line WHERE norm IS NOT NULL GROUP BY 1, 2),
+    hosts AS (SELECT host, count(*) AS all_docs FROM doc GROUP BY 1),
     gone AS (SELECT doc_id, count(*) AS n_lines, sum(n) AS n_gone FROM line JOIN held USING (host, norm) JOIN hosts USING (host)
-      WHERE n > 0 AND texts > 20 AND texts > 0.05 * all_texts GROUP BY 1),
+      WHERE docs > 2 AND docs > 0.02 * all_docs GROUP BY 1),
     figure AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
         (len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))))::BIGINT AS n_dup_lines,
         coalesce(n, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0)::BIGINT AS n_removed_lines, (len(w) - coalesce(n_gone, 0))::BIGINT AS left_words
       FROM doc LEFT JOIN repeated USING (doc_id) LEFT JOIN gone USING (doc_id))
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-      NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND left_words >= 0.3 * n_words AS kept, n_removed_lines, left_words
+      NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND left_words >= 0.5 * n_words AS kept, n_removed_lines, left_words, left_words < 0.5 * n_words AS depleted
     FROM figure
     """
 )
@@ -187,7 +190,7 @@ def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stillroom.llm.lines import judge
 
     judged = judge(table(spark, sf_dir, "documents"))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.size("removed_lines").cast("long").alias("n_removed_lines"), "left_words")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.size("removed_lines").cast("long").alias("n_removed_lines"), "left_words", "depleted")
 
 
 @query()

@@ -49,6 +49,15 @@ class Pattern:
 
     regex: str
 
+    def alternatives(self) -> list[Pattern]:
+        """Patterns of which one is found where this one is: a group of plain words is taken apart, so that each of them
+        can be filed under a token of its own."""
+        group = re.search(r"(?<!\\)\(([a-z0-9_-]+(?:\|[a-z0-9_-]+)+)\)(?![?*+{])", self.regex)
+        if not group:
+            return [self]
+        parts = [Pattern(self.regex[: group.start()] + word + self.regex[group.end() :]) for word in group[1].split("|")]
+        return [p for part in parts for p in part.alternatives()]
+
     def tokens(self) -> set[str]:
         """Runs of small letters and digits between ``\\b`` or literal marks. A rule with groups or alternatives, whose
         parts need not all be there, has none."""
@@ -66,6 +75,12 @@ class Pattern:
         return found
 
 
+def unfiled(rules: list[Prefix | Pattern]) -> list[str]:
+    """Rules with a part that has no token to be filed under, so that every URL is compared with it."""
+    parts = [(r, r.alternatives() if isinstance(r, Pattern) else [r]) for r in rules]
+    return [r.name if isinstance(r, Prefix) else r.regex for r, of in parts if not all(p.tokens() for p in of)]
+
+
 def host_of(url: Column) -> Column:
     rest = F.substring_index(F.regexp_extract(url, "(?s)://(.*)$", 1), "/", 1)
     return F.coalesce(F.translate(F.regexp_extract(rest, r"^([^?#]*)", 1), UPPER, LOWER), F.lit(""))
@@ -86,7 +101,8 @@ def judge(pages: DataFrame, prefixes: list[Prefix], patterns: list[Pattern]) ->
     tokened = urls.select("page_id", "url", "host", "path", "small", F.explode(tokens).alias("token"))
 
     rules = [(k, r.name, r.verdict, r.host, r.path, None, sorted(r.tokens())) for k, r in enumerate(prefixes)]
-    rules += [(len(prefixes) + k, r.regex, "block", None, None, r.regex, sorted(r.tokens())) for k, r in enumerate(patterns)]
+    parts = [(r, part) for r in patterns for part in r.alternatives()]
+    rules += [(len(prefixes) + k, r.regex, "block", None, None, part.regex, sorted(part.tokens())) for k, (r, part) in enumerate(parts)]
     listed = spark.createDataFrame(rules, "rule_id int, name string, rule_verdict string, rule_host string, rule_path string, regex string, tokens array<string>")
     offered = listed.select("rule_id", F.explode_outer("tokens").alias("token"))
     frequency = tokened.join(offered.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
@@ -100,7 +116,7 @@ def judge(pages: DataFrame, prefixes: list[Prefix], patterns: list[Pattern]) ->
     weight = F.struct((F.length("rule_host") + F.length("rule_path")).alias("length"), F.length("rule_host").alias("host"), (-F.col("rule_id")).alias("order"))
     decided = candidates.filter(fits).groupBy("page_id", "url").agg(
         F.max_by(F.when(F.col("regex").isNull(), F.struct("name", "rule_verdict")), F.when(F.col("regex").isNull(), weight)).alias("prefix"),
-        F.sort_array(F.collect_set("regex")).alias("blocked_by"),
+        F.sort_array(F.collect_set(F.when(F.col("regex").isNotNull(), F.col("name")))).alias("blocked_by"),
     )
     decided = decided.select(F.col("page_id").alias("id"), F.col("url").alias("address"), "prefix", "blocked_by")
     out = urls.join(decided, F.col("page_id").eqNullSafe(F.col("id")) & F.col("url").eqNullSafe(F.col("address")), "left")

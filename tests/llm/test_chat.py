@@ -56,6 +56,14 @@ def test_windows_keep_the_budget_and_repeat_what_they_may(windows):
     assert any(r["n_repeated"] > 1 for r in later)
 
 
+def test_the_registered_budget_cuts_conversations(spark):
+    from stillroom.llm.queries import QUERIES
+
+    found = QUERIES["op2_chat_windows"](spark, "/root/testdata/sf0.001")
+    cut = found.filter("n_windows > 1")
+    assert 2 * cut.count() > found.count() and not cut.filter("n_repeated > 0").isEmpty()
+
+
 def test_each_turn_is_new_once(rows, windows):
     read = read_windows(windows).groupBy("conv_id").agg(F.sum(F.size("turns")).alias("n")).collect()
     assert {r["conv_id"]: r["n"] for r in read} == {c: len(v) for c, v in ordered(rows).items()}

@@ -2,16 +2,16 @@ import re
 
 import pytest
 
-from stillroom.llm.urls import Pattern, Prefix, judge
+from stillroom.llm.urls import Pattern, Prefix, judge, unfiled
 
 PREFIXES = [Prefix("allow", "org"), Prefix("block", "example.org", "/es/"), Prefix("block", "example.org", "/en/1"), Prefix("allow", "com", "/fr/"), Prefix("block", "com", "/de/"), Prefix("block", "xn-ä.de", "/")]
-PATTERNS = [Pattern(p) for p in (r"\bspam-farm\b", r"/wp-login\b", r"(casino|pills)", r"\bx[0-9]+y\b", r"/a/?b/")]
+PATTERNS = [Pattern(p) for p in (r"\bspam-farm\b", r"/wp-login\b", r"(casino|pills)", r"\bx[0-9]+y\b", r"/a/?b/", r"\b(bets|wins)\b", r"/(x|q)/(ab|cd)/")]
 
 URLS = [
     None, "", "no scheme.example.org/es/1", "https://example.org/es/1", "HTTPS://WWW.Example.ORG/es/1", "https://badexample.org/es/1", "https://example.org/ES/1", "http://a.example.org/en/123?x#y",
     "http://example.org/en/2", "http://example.org", "http://example.org?/es/", "http://example.org#/es/", "http://org/x", "http://a.com/fr/x", "http://a.com/de/x", "http://a.com/es/x", "http://com/fr/x",
     "http://spam-farm.net/", "http://SPAM-FARM.net/", "http://spam-farms.net/", "http://x.net/wp-login.php", "http://x.net/xwp-login", "http://my.casinos.net", "http://q.net/x12y", "http://q.net/x12yz", "http://q.net/ab/",
-    "http://spam-farm.com/fr/x", "a://b://c/d", "http://xn-ä.de/1", "http://h.net/p?u=http://other.org/z", "http://h.net/\nline", "://org/", "http:///path", "http://user@example.org:80/es/", "x" * 100_000,
+    "http://spam-farm.com/fr/x", "a://b://c/d", "http://xn-ä.de/1", "http://h.net/p?u=http://other.org/z", "http://h.net/\nline", "http://all.bets.net", "http://all-wins.net/bets", "http://allbets.net", "http://h.net/q/cd/", "http://h.net/q/ce/", "://org/", "http:///path", "http://user@example.org:80/es/", "x" * 100_000,
 ]
 
 
@@ -46,3 +46,9 @@ def test_no_rules_and_no_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x")], "page_id long, url string")
     assert [tuple(r) for r in judge(pages, [], []).collect()] == [(1, "a.org", "/x", None, "allow", [])]
     assert judge(pages.filter("false"), PREFIXES, PATTERNS).count() == 0
+
+
+def test_groups_of_words_are_filed_apart():
+    assert [p.regex for p in Pattern(r"\b(a|b-c)\b/(x|y)\b").alternatives()] == [r"\ba\b/x\b", r"\ba\b/y\b", r"\bb-c\b/x\b", r"\bb-c\b/y\b"]
+    assert [p.regex for p in Pattern(r"\b(a|b)?\b").alternatives()] == [r"\b(a|b)?\b"]
+    assert unfiled([Pattern(r"\b(a|b)\b"), Prefix("allow", "org"), Pattern(r"\(a|b\)")]) == [r"\(a|b\)"] and unfiled([Pattern("x|y")]) == ["x|y"]
