@@ -8,22 +8,26 @@ from __future__ import annotations
 
 import hashlib
 import json
+import operator
 import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stillroom import files
 from stillroom.functions.expressions import quote_column
-from stillroom.operators.changes import prefixed, updated_by
-from stillroom.operators.conditions import SOURCE_PREFIX, Match
 from stillroom.operators.tables import append_batch, refresh_window, write_table
 from stillroom.operators.versions import VersionedTable
 
 ACTIONS = ("upsert", "update", "delete")
-DELETED, VERSION = "__deleted", "__version"
+LIFE, SET, VERSION = "__life", "__set", "__version"
+
+
+def _c(name: str) -> Column:
+    return F.col(quote_column(name))
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, *, files_per_batch: int = 1000) -> DataFrame:
@@ -114,10 +118,16 @@ def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataF
 class KeyedTable:
     """A table of keys that takes changesets, merged when it is read.
 
-    A batch only adds its rows, with a number and a mark for deletes; reading takes the last row of each key by
-    ``order_by``, then by number, so that the result does not depend on how changes fell into batches, and a late change
-    neither displaces nor revives anything newer. Rows with a NULL in their key match nothing and are kept each. When
-    the additions are large against the rest, or many, they are merged into it.
+    A batch only adds its rows. An upsert brings a whole row, an update some columns, a delete none, each at the place
+    that its ``order_by`` columns and then the batch's number give it. Reading takes for every key the last upsert or
+    delete, which decides whether the key is there, and for every column the last change that set it. So the result does
+    not depend on how changes fell into batches nor on the order of these: a late change neither displaces nor revives
+    anything newer, updates of different columns stand side by side, and one that comes before the upsert of its key
+    waits for it. Updates and deletes without all ``order_by`` columns stand where the row that they hit stands, and
+    need it to be there. Rows with a NULL in their key match nothing and are kept each.
+
+    When the additions are large against the rest, or many, they are merged into it; that keeps, beside each key, the
+    places of its columns as far as they differ.
 
     ``data/<number>-<token>`` holds a batch, ``versions/<number>`` the folders that make up the table after it. The
     version file is the point of commit; ``applied/<token>`` remembers every batch.
@@ -132,7 +142,13 @@ class KeyedTable:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.keys, self.order_by = list(keys), list(order_by)
         self.merge_ratio, self.max_additions = merge_ratio, max_additions
-        self.stored = T.StructType([*(T.StructField(f.name, f.dataType) for f in schema.fields), T.StructField(DELETED, T.BooleanType()), T.StructField(VERSION, T.LongType())])
+        self.rest = [f.name for f in schema.fields if f.name not in self.keys]
+        place = T.StructType([*(T.StructField(f"o{i}", schema[c].dataType) for i, c in enumerate(self.order_by)), T.StructField(VERSION, T.LongType())])
+        life = T.StructType([T.StructField("at", place), T.StructField("there", T.BooleanType())])
+        # LIFE: the last upsert or delete. SET: the place of the change that set each column, NULL where that is LIFE's.
+        places = T.StructType([T.StructField(f"c{i}", place) for i, _ in enumerate(self.rest)] or [T.StructField("none", T.BooleanType())])
+        self.stored = T.StructType([*(T.StructField(f.name, f.dataType) for f in schema.fields), T.StructField(LIFE, life), T.StructField(SET, places)])
+        self.place, self.places = place, places
         layout, own = f"{self.root}/layout", {"keys": self.keys, "order_by": self.order_by}
         if not files.exists(spark, layout):
             files.write_text(spark, layout, json.dumps(own))
@@ -149,16 +165,33 @@ class KeyedTable:
             return self.spark.createDataFrame([], self.stored)
         return self.spark.read.schema(self.stored).parquet(*(f"{self.root}/data/{f}" for f in folders))
 
+    def _whole(self) -> str:
+        return " AND ".join(f"{quote_column(k)} IS NOT NULL" for k in self.keys)
+
     def _merged(self, rows: DataFrame) -> DataFrame:
-        """The last row of each key, deletes included, and all rows without a whole key."""
-        whole = " AND ".join(f"{quote_column(k)} IS NOT NULL" for k in self.keys)
-        return latest(rows.filter(whole), self.keys, [*self.order_by, VERSION]).unionByName(rows.filter(f"NOT ({whole})"))
+        """One row for each key, deleted ones and waiting updates included, and all rows without a whole key."""
+        life = F.col(LIFE)
+        born = F.when(life["there"], life["at"])
+
+        def place(i: int) -> Column:
+            return F.coalesce(F.col(SET)[f"c{i}"], F.when(F.col(SET).isNull(), born))
+
+        last = [F.max_by(_c(c), place(i)).alias(f"__v{i}") for i, c in enumerate(self.rest)]
+        places = [F.max(place(i)).alias(f"__p{i}") for i, _ in enumerate(self.rest)]
+        # A struct that is the greatest by its place: places differ between batches, and a batch has a key once.
+        grouped = rows.filter(self._whole()).groupBy([_c(k) for k in self.keys]).agg(F.max(life).alias(LIFE), *last, *places)
+        alike = reduce(operator.and_, [F.col(f"__p{i}").eqNullSafe(F.when(F.col(LIFE)["there"], F.col(LIFE)["at"])) for i, _ in enumerate(self.rest)], F.lit(True))
+        kept = F.struct([F.col(f"__p{i}").alias(f"c{i}") for i, _ in enumerate(self.rest)] or [F.lit(None).cast("boolean").alias("none")])
+        values = {c: F.col(f"__v{i}") for i, c in enumerate(self.rest)}
+        columns = [values.get(c, _c(c)).alias(c) for c in self.schema.fieldNames()]
+        merged = grouped.select(*columns, LIFE, F.when(~alike, kept).cast(self.places).alias(SET))
+        return merged.unionByName(rows.filter(f"NOT ({self._whole()})"))
 
     def read(self) -> DataFrame:
         """The current rows."""
         state = self._state()
         folders = [f["name"] for f in [state["base"], *state["added"]] if f]
-        return self._merged(self._rows(folders)).filter(~F.col(DELETED)).select(self.schema.fieldNames())
+        return self._merged(self._rows(folders)).filter(F.col(LIFE)["there"]).select(self.schema.fieldNames())
 
     def load(self, df: DataFrame) -> None:
         """First content of an empty table."""
@@ -176,12 +209,14 @@ class KeyedTable:
         if files.exists(self.spark, mark) or state["token"] == token:
             files.write_text(self.spark, mark, "")
             return False
+        if state["token"]:  # known for good before its version is followed by another
+            files.write_text(self.spark, f"{self.root}/applied/{state['token']}", "")
         number = state["number"] + 1
         columns = [c for c in self.schema.fieldNames() if c in batch.columns]
         rows = batch.select([F.col(quote_column(c)) for c in columns])
         rows = rows if action == "upsert" else rows.dropna(subset=self.keys)
-        changed = {"upsert": self._upserted, "update": self._updated, "delete": self._deleted}[action](rows)
-        added = self._store(changed.withColumn(VERSION, F.lit(number).cast("long")), f"{number:012d}-{token}")
+        changed = {"upsert": self._upserted, "update": self._updated, "delete": self._deleted}[action](rows, F.lit(number).cast("long"))
+        added = self._store(changed, f"{number:012d}-{token}")
         base, additions = state["base"], [*state["added"], added]
         if base is None or sum(f["bytes"] for f in additions) > self.merge_ratio * base["bytes"]:
             base, additions = self._store(self._merged(self._rows([f["name"] for f in [base, *additions] if f])), f"{number:012d}-{token}-base"), []
@@ -191,32 +226,45 @@ class KeyedTable:
         files.write_text(self.spark, mark, "")
         return True
 
-    def _upserted(self, rows: DataFrame) -> DataFrame:
+    def _at(self, number: Column) -> Column:
+        return F.struct([*(_c(c).alias(f"o{i}") for i, c in enumerate(self.order_by)), number.alias(VERSION)]).cast(self.place)
+
+    def _change(self, rows: DataFrame, life: Column | None, sets: Column | None) -> DataFrame:
+        """Rows as they are stored; columns that they do not bring are NULL."""
+        columns = [_c(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        life_type, set_type = self.stored[LIFE].dataType, self.stored[SET].dataType
+        life = (life if life is not None else F.lit(None)).cast(life_type).alias(LIFE)
+        return rows.select(*columns, life, (sets if sets is not None else F.lit(None)).cast(set_type).alias(SET))
+
+    def _last(self, rows: DataFrame) -> DataFrame:
+        """One row for each key of a batch; rows without a whole key each."""
+        whole = latest(rows.filter(self._whole()), self.keys, [c for c in self.order_by if c in rows.columns])
+        return whole.unionByName(rows.filter(f"NOT ({self._whole()})"))
+
+    def _upserted(self, rows: DataFrame, number: Column) -> DataFrame:
         if set(rows.columns) != set(self.schema.fieldNames()):
             raise ValueError("an upsert stream needs complete rows")
-        return rows.select("*", F.lit(False).alias(DELETED))
-
-    def _updated(self, rows: DataFrame) -> DataFrame:
-        """The rows of the table that the changes hit, as they are afterwards."""
-        ordered = [c for c in self.order_by if c in rows.columns]
-        changes = latest(rows, self.keys, ordered)
-        newer = None
-        if self.order_by and len(ordered) == len(self.order_by):
-            incoming = F.struct([F.col(quote_column(SOURCE_PREFIX + c)).alias(c) for c in self.order_by])
-            newer = incoming >= F.struct([F.col(quote_column(c)).alias(c) for c in self.order_by])
-        match = Match([(k, k) for k in self.keys], newer, frozenset(self.keys))
-        hit = self.read().join(changes.select(self.keys), self.keys, "left_semi").select(self.schema.fieldNames())
-        return updated_by(hit, prefixed(changes, changes.columns, match), changes.schema, match).select("*", F.lit(False).alias(DELETED))
-
-    def _deleted(self, rows: DataFrame) -> DataFrame:
+        return self._change(self._last(rows), F.struct(self._at(number).alias("at"), F.lit(True).alias("there")), None)
+
+    def _updated(self, rows: DataFrame, number: Column) -> DataFrame:
+        """The columns that a batch sets, at its places."""
+        changes = self._last(rows)
+        given = [c for c in self.rest if c in changes.columns]
+        if not all(c in changes.columns for c in self.order_by):
+            standing = self.read().select([_c(c) for c in dict.fromkeys([*self.keys, *(c for c in self.order_by if c not in changes.columns)])])
+            changes = changes.join(standing, self.keys)
+        at = self._at(number)
+        sets = [(at if c in given else F.lit(None).cast(self.place)).alias(f"c{i}") for i, c in enumerate(self.rest)]
+        return self._change(changes, None, F.struct(sets or [F.lit(None).cast("boolean").alias("none")]))
+
+    def _deleted(self, rows: DataFrame, number: Column) -> DataFrame:
         """Deletes stand at the order they bring; without one, at that of the row they remove."""
         if all(c in rows.columns for c in self.order_by):
             gone = latest(rows.select(list(dict.fromkeys([*self.keys, *self.order_by]))), self.keys, self.order_by)
         else:
             gone = self.read().join(rows.select(self.keys).distinct(), self.keys, "left_semi")
-        names = {*self.keys, *self.order_by}
-        columns = [F.col(quote_column(f.name)) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        return gone.select(*columns, F.lit(True).alias(DELETED))
+        life = F.struct(self._at(number).alias("at"), F.lit(False).alias("there"))
+        return self._change(gone, life, F.struct([F.lit(None).cast(f.dataType).alias(f.name) for f in self.places.fields]))
 
     def _store(self, rows: DataFrame, name: str) -> dict:
         path = f"{self.root}/data/{name}"

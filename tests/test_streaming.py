@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stillroom.operators.tables import write_table
@@ -115,6 +116,51 @@ def test_upserts_and_deletes_in_any_order(spark, path, ratio, most):
         assert rows(table.read()) == expected
 
 
+WIDE = T.StructType([T.StructField("k", T.LongType()), T.StructField("at", T.LongType()), T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("c", T.VariantType())])
+
+
+@pytest.mark.parametrize(("ratio", "most"), [(0.01, 32), (1000, 32), (1000, 2)])
+def test_changes_of_columns_in_any_order(spark, path, ratio, most):
+    """Updates of one key and different columns, before and after its upserts and deletes, in any order of batches."""
+    changes = [
+        ("upsert", (1, 1, "a1", "b1")), ("update", (1, 5, "a5", None)), ("update", (1, 3, None, "b3")), ("update", (1, 2, "a2", None)),
+        ("update", (2, 4, None, "b4")), ("upsert", (2, 2, "a2", "b2")),
+        ("upsert", (3, 1, "a1", "b1")), ("update", (3, 9, "a9", None)), ("delete", (3, 5)), ("upsert", (3, 7, "a7", "b7")),
+        ("upsert", (4, 1, "a1", "b1")), ("update", (4, 9, "a9", None)), ("delete", (4, 5)),
+        ("update", (5, 9, "a9", None)),
+        ("update", (6, 2, "a2", None)), ("upsert", (6, 4, "a4", "b4")),
+    ]
+    expected = [(1, 5, "a5", "b3"), (2, 4, "a2", "b4"), (3, 9, "a9", "b7"), (6, 4, "a4", "b4")]
+    for turn in range(4):
+        random.Random(turn).shuffle(changes)
+        table = KeyedTable(spark, path(f"w{turn}"), WIDE, ["k"], ["at"], merge_ratio=ratio, max_additions=most)
+        for i, (action, values) in enumerate(changes):
+            names = [n for n, v in zip(("k", "at", "a", "b"), values) if v is not None]
+            df = spark.createDataFrame([tuple(v for v in values if v is not None)], ", ".join(f"{n} {'long' if n in ('k', 'at') else 'string'}" for n in names))
+            table.apply(df.withColumn("c", F.expr("parse_json('1')")) if action == "upsert" else df, action, f"b-{i}")
+        assert rows(table.read().select("k", "at", "a", "b")) == expected
+
+
+def test_updates_and_deletes_without_an_order_stand_where_their_row_stands(spark, path):
+    table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
+    table.apply(spark.createDataFrame([(1, 5, "a"), (2, 5, "b")], SCHEMA), "upsert", "u-0")
+    table.apply(spark.createDataFrame([(1, "new"), (7, "nobody")], "k long, v string"), "update", "u-1")
+    table.apply(spark.createDataFrame([(1, 4, "late"), (2, 6, "later")], SCHEMA), "upsert", "u-2")
+    assert rows(table.read()) == [(1, 5, "new"), (2, 6, "later")]
+
+
+def test_a_writer_that_dies_blocks_nobody(spark, path, monkeypatch):
+    from stillroom import files
+
+    table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
+    with monkeypatch.context() as m:
+        m.setattr(files, "create_whole", lambda *args: (_ for _ in ()).throw(OSError("dead")))
+        with pytest.raises(OSError):
+            table.apply(spark.createDataFrame([(1, 1, "dead")], SCHEMA), "upsert", "dead-0")
+    assert table.apply(spark.createDataFrame([(2, 1, "alive")], SCHEMA), "upsert", "alive-0") is True
+    assert rows(table.read()) == [(2, 1, "alive")]
+
+
 def test_batch_delivered_twice_is_applied_once_even_after_vacuum(spark, path):
     table = KeyedTable(spark, path("t"), SCHEMA, ["k"], ["at"])
     batch = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], SCHEMA)
