@@ -51,12 +51,15 @@ def trie_join(keys: np.ndarray, start: int, lows: np.ndarray, highs: np.ndarray,
     """For each key, the least position that links lead to. keys: uint64, in order and different within each of the
     ranges [low, high), whose keys agree in the first ``start`` bits."""
     parent = np.arange(len(keys))
-    ones: dict[int, np.ndarray] = {}
 
-    def ones_before(depth: int) -> np.ndarray:
-        if depth not in ones:
-            ones[depth] = np.concatenate([[0], np.cumsum((keys >> np.uint64(63 - depth)) & np.uint64(1), dtype=np.int64)])
-        return ones[depth]
+    def middle(depth: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The first place in each range whose key has the bit at ``depth``, by halving all ranges at once."""
+        low, high, shift = low.copy(), high.copy(), np.uint64(63 - depth)
+        while (going := np.flatnonzero(low < high)).size:
+            half = (low[going] + high[going]) >> 1
+            one = (keys[half] >> shift) & np.uint64(1) == 1
+            high[going[one]], low[going[~one]] = half[one], half[~one] + 1
+        return low
 
     def compare(alo, ahi, blo, bhi) -> None:
         """Link by link, for pairs of small nodes."""
@@ -80,8 +83,7 @@ def trie_join(keys: np.ndarray, start: int, lows: np.ndarray, highs: np.ndarray,
         alo, ahi, blo, bhi, used = alo[large], ahi[large], blo[large], bhi[large], used[large]
         if not len(alo):
             continue
-        before = ones_before(depth)
-        amid, bmid = ahi - (before[ahi] - before[alo]), bhi - (before[bhi] - before[blo])
+        amid, bmid = middle(depth, alo, ahi), middle(depth, blo, bhi)
         same = (alo == blo) & (ahi == bhi)
         other = ~same
         children = [
@@ -115,8 +117,8 @@ def refronted(turned: Column, three: tuple[int, ...]) -> Column:
 
 def join_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links of a partition ordered by (shape, turned): from each fingerprint to the least one it reaches in its bucket.
-    Only the last bucket of a batch waits for the next batch."""
-    rest: pd.DataFrame | None = None
+    Only the last bucket of a batch waits for the next batch, in parts that are put together once."""
+    parts: list[pd.DataFrame] = []
 
     def bucket_of(rows: pd.DataFrame) -> np.ndarray:
         """Positions at which a bucket begins."""
@@ -138,14 +140,21 @@ def join_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"a": fps[moved], "b": fps[least[moved]]})
 
     for batch in batches:
-        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        if not len(rows):
+        if not len(batch):
             continue
-        last = bucket_of(rows)[-1]
-        rest = rows.iloc[last:]
-        yield from links(rows.iloc[:last])
-    if rest is not None:
-        yield from links(rest)
+        if parts:  # the front of the batch may belong to the open bucket
+            joint = bucket_of(pd.concat([parts[-1].iloc[-1:], batch], ignore_index=True)) - 1
+            cut = int(joint[1]) if len(joint) > 1 else len(batch)
+            parts.append(batch.iloc[:cut])
+            batch = batch.iloc[cut:]
+            if not len(batch):
+                continue
+            yield from links(pd.concat(parts, ignore_index=True))
+        last = bucket_of(batch)[-1]
+        yield from links(batch.iloc[:last])
+        parts = [batch.iloc[last:]]
+    if parts:
+        yield from links(pd.concat(parts, ignore_index=True))
 
 
 def links_within(fingerprints: DataFrame, bucket_limit: int = 1 << 17) -> DataFrame:

@@ -27,9 +27,10 @@ import pandas as pd
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stillroom.llm.common import partitions_of
+from stillroom.llm.common import partitions_of, stored
 from stillroom.llm.rawfiles import make_folder, reading, writing
 from stillroom.llm.tokens import default_tokenizer, encoder, end_bytes
 
@@ -51,13 +52,15 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample_rows:
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         samples, size, kind = [], 0, width_of(tokenizer, end_id)
-        for batch in batches:
-            for text in batch["text"]:
-                ids = np.frombuffer(encoder(tokenizer).encode(text) + end_bytes(end_id), dtype="<u4").astype(kind)
-                for at in range(0, len(ids), SLICE):
-                    if size < SAMPLE_BYTES:
-                        samples.append(ids[at : at + SLICE].tobytes())
-                        size += len(samples[-1])
+        for text in (t for batch in batches for t in batch["text"]):
+            ids = np.frombuffer(encoder(tokenizer).encode(text) + end_bytes(end_id), dtype="<u4").astype(kind)
+            for at in range(0, len(ids), SLICE):
+                samples.append(ids[at : at + SLICE].tobytes())
+                size += len(samples[-1])
+                if size >= SAMPLE_BYTES:
+                    break
+            if size >= SAMPLE_BYTES:  # the rest of the sample is not even encoded
+                break
         try:
             made = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
         except (zstandard.ZstdError, ValueError):  # too few samples: they are the dictionary themselves
@@ -104,8 +107,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, dict
 
 
 def write_store(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 2) -> None:
-    """All of ``docs`` (doc_id, text) as a store. The manifest is written last, by the driver; it has a line of figures
-    for each shard and nothing of the documents."""
+    """All of ``docs`` (doc_id, text) as a store. The manifest, a Parquet table with a row for each shard, is written
+    last; the ids before a shard are added up by part of the write, and then over the parts."""
     spark, tokenizer = docs.sparkSession, tokenizer or default_tokenizer()
     rows = docs.select(docs["doc_id"].cast("long"), docs["text"])
     dictionary = train_dictionary(rows, tokenizer, end_id)
@@ -113,13 +116,13 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str | None = None, end_
     with writing(f"{folder}/dictionary") as out:
         out.write(dictionary)
     placed = rows.repartitionByRange(partitions_of(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    shards = sorted(write_shards(placed, folder, tokenizer, end_id, dictionary).collect(), key=lambda r: (r["part"], r["k"]))
-    start, listed = 0, []
-    for shard in shards:
-        listed.append({"name": shard["name"], "docs": shard["docs"], "ids": shard["ids"], "start": start})
-        start += shard["ids"]
-    with writing(f"{folder}/manifest.json") as out:
-        out.write(json.dumps({"dictionary": hashlib.sha256(dictionary).hexdigest(), "shards": listed}).encode())
+    shards = stored(write_shards(placed, folder, tokenizer, end_id, dictionary), "shards")
+    within = W.partitionBy("part").orderBy("k").rowsBetween(W.unboundedPreceding, -1)
+    parts = shards.groupBy("part").agg(F.sum("ids").alias("in_part"))  # as many rows as tasks wrote
+    parts = parts.select("part", F.coalesce(F.sum("in_part").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    start = F.col("before") + F.coalesce(F.sum("ids").over(within), F.lit(0))
+    digest = F.lit(hashlib.sha256(dictionary).hexdigest()).alias("dictionary")
+    shards.join(parts, "part").select("name", "docs", "ids", start.alias("start"), digest).write.mode("overwrite").parquet(f"{folder}/manifest")
 
 
 @cache
@@ -161,8 +164,6 @@ class Shard:
 
 def read_store(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """A row for each document: doc_id, start, n_tokens, ids_crc32 and, if wanted, ids as bytes (unsigned 32-bit)."""
-    with reading(f"{folder}/manifest.json") as source:
-        shards = json.loads(source.read())["shards"]
     columns = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -179,5 +180,5 @@ def read_store(spark: SparkSession, folder: str, with_ids: bool = False) -> Data
                             "start": starts[part], "n_tokens": [len(a) // 4 for a in arrays], "ids_crc32": [zlib.crc32(a) for a in arrays], **({"ids": arrays} if with_ids else {}),
                         })
 
-    listed = spark.createDataFrame([(s["name"], s["start"]) for s in shards], "name string, start long")
-    return listed.repartition(max(1, min(len(shards), partitions_of(spark)))).mapInPandas(read, columns)
+    listed = spark.read.schema("name string, start long").parquet(f"{folder}/manifest")
+    return listed.repartition(partitions_of(spark), "name").mapInPandas(read, columns)

@@ -3,7 +3,8 @@
 Every document, ended by an id of its own, is cut into full windows and a rest. Full windows are sequences; the rests
 are dealt into groups of equal expected size, and in each group the longest rest comes first and goes to the open window
 with the least room that still holds it. A segment tree over the room left finds that window in a few steps. A group
-holds ``group_windows`` windows or so, whatever the size of the corpus, which bounds the memory of a task; groups are
+holds ``group_windows`` windows or ``GROUP_ROWS`` pieces or so, whatever the size of the corpus and of its texts, which
+bounds the memory of a task; groups are
 large enough that each one's last, unfilled windows do not count.
 
 Defined results: a null text is an empty one and has the end id alone; rows that repeat a document are packed each.
@@ -22,6 +23,8 @@ from stillroom.llm.common import stored
 from stillroom.llm.tokens import default_tokenizer, encoder, end_bytes
 
 WINDOW = 2048
+#: Pieces of a group, where they are so short that their tokens bound it less.
+GROUP_ROWS = 1 << 18
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -97,8 +100,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, window:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, padded_to and, if
     wanted, ids. A sequence is padded to the window unless its length is a power of two."""
     cut = stored(pieces(docs, tokenizer or default_tokenizer(), end_id, window, with_ids), "pieces")
-    total = cut.agg(F.sum("length")).first()[0] or 0
-    groups = max(1, -(-total // (window * group_windows)))
+    total, rows = cut.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
+    groups = max(1, -(-total // (window * group_windows)), -(-rows // GROUP_ROWS))
     dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(groups)))
 
     def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

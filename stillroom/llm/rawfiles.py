@@ -12,13 +12,18 @@ from contextlib import contextmanager
 from urllib.parse import urlparse
 
 
+#: Names under which Spark knows object stores, and those of pyarrow.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "wasb": "abfs", "wasbs": "abfss"}
+
+
 def located(address: str):
     """The pyarrow file system and the path in it."""
     from pyarrow import fs
 
     if address.startswith("file:") or "://" not in address:
         return fs.LocalFileSystem(), urlparse(address).path if address.startswith("file:") else address
-    return fs.FileSystem.from_uri(address)
+    scheme, _, rest = address.partition("://")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
 
 
 def make_folder(address: str) -> None:

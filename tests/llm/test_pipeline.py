@@ -76,4 +76,4 @@ def test_names():
     import __spark_entry__
 
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and {"pipeline", *QUERIES} <= __spark_entry__.queries().keys()
+    assert numbers == list(range(1, 14)) and {"pipeline", *QUERIES} <= __spark_entry__.queries().keys()

@@ -1,10 +1,10 @@
-import json
 import struct
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import zstandard
 
 from stillroom.llm.idstore import Shard, read_store, write_store
@@ -115,8 +115,7 @@ def test_store_round_trip(spark, hard, hard_rows, path, whole):
 def test_single_documents_and_a_wrong_dictionary(spark, hard, path):
     folder = path("one")
     write_store(hard, folder)
-    with reading(f"{folder}/manifest.json") as source:
-        shards = json.loads(source.read())["shards"]
+    shards = spark.read.parquet(f"{folder}/manifest").collect()
     with reading(f"{folder}/dictionary") as source:
         dictionary = source.read()
     found = {r["start"]: bytes(r["ids"]) for r in read_store(spark, folder, with_ids=True).collect()}
@@ -137,3 +136,22 @@ def test_single_documents_and_a_wrong_dictionary(spark, hard, path):
 def test_store_of_nothing(spark, empty, path):
     write_store(empty, path("none"))
     assert read_store(spark, path("none")).count() == 0
+
+
+def test_addresses_of_object_stores(monkeypatch):
+    from pyarrow import fs
+
+    from stillroom.llm.rawfiles import located
+
+    monkeypatch.setattr(fs, "FileSystem", type("Named", (), {"from_uri": staticmethod(lambda uri: uri)}))
+    assert [located(f"{s}://bucket/a b/c") for s in ("s3a", "s3n", "s3", "gs", "gcs", "hdfs")] == [f"{s}://bucket/a b/c" for s in ("s3", "s3", "s3", "gs", "gs", "hdfs")]
+    assert located("file:///x/y")[1] == located("/x/y")[1] == "/x/y"
+
+
+def test_a_group_of_tiny_texts_is_bounded_by_its_rows(spark, monkeypatch):
+    from stillroom.llm import packing
+
+    monkeypatch.setattr(packing, "GROUP_ROWS", 100)
+    packed = packing.pack(spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text")))
+    groups = packed.groupBy((F.col("sequence_id") / (1 << 32)).cast("long").alias("group")).count().collect()
+    assert len(groups) == 10 and max(r["count"] for r in groups) < 200 and sum(r["count"] for r in groups) == 1000
