@@ -6,11 +6,15 @@ ring of one vertex. Longitude comes first, as in well-known text.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERTEX = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
+#: Columns, and rows, of the grid under the space-filling curve.
+GRID = 1 << 16
 GEOGRAPHY = T.StructType(
     [
         T.StructField("kind", T.StringType()),
@@ -160,8 +164,67 @@ def latitude(geo: Column | str) -> Column:
 
 
 def in_box(lon: Column | str, lat: Column | str, min_lon: float, max_lon: float, min_lat: float, max_lat: float) -> Column:
-    """Bounding-box test on two doubles, borders included; both ranges push down to the scan."""
-    return _col(lon).between(min_lon, max_lon) & _col(lat).between(min_lat, max_lat)
+    """Bounding-box test on two doubles, borders included; both ranges push down to the scan. A box whose west lies east
+    of its east reaches over the date line."""
+    across = _col(lon).between(min_lon, max_lon) if min_lon <= max_lon else (_col(lon) >= min_lon) | (_col(lon) <= max_lon)
+    return across & _col(lat).between(min_lat, max_lat)
+
+
+def cell(lon: Column | str, lat: Column | str) -> Column:
+    """The place of a point on a space-filling curve (32 bits: those of its column and row in a grid of 65,536 each way,
+    interleaved), so that points that lie near each other have near places. NULL where a coordinate is."""
+
+    def spread(value: Column) -> Column:
+        for by, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            value = value.bitwiseOR(F.shiftleft(value, by)).bitwiseAND(F.lit(mask).cast("long"))
+        return value
+
+    def step(value: Column, low: float, width: float) -> Column:
+        return F.least(F.greatest(F.floor((value - low) / width * GRID), F.lit(0)), F.lit(GRID - 1)).cast("long")
+
+    x, y = step(_col(lon), -180.0, 360.0), step(_col(lat), -90.0, 180.0)
+    return F.shiftleft(spread(x), 1).bitwiseOR(spread(y))
+
+
+def box_cells(min_lon: float, max_lon: float, min_lat: float, max_lat: float, most: int = 64) -> list[tuple[int, int]]:
+    """Ranges of places on the curve of ``cell`` that cover a box, about ``most`` of them, in order. A box whose west lies
+    east of its east reaches over the date line."""
+    if min_lon > max_lon:
+        parts = [*box_cells(min_lon, 180.0, min_lat, max_lat, most // 2), *box_cells(-180.0, max_lon, min_lat, max_lat, most // 2)]
+        return _merged_ranges(parts)
+    if min_lat > max_lat:
+        return []
+
+    def step(value: float, low: float, width: float) -> int:
+        return min(max(math.floor((value - low) / width * GRID), 0), GRID - 1)
+
+    west, east = step(min_lon, -180.0, 360.0), step(max_lon, -180.0, 360.0)
+    south, north = step(min_lat, -90.0, 180.0), step(max_lat, -90.0, 180.0)
+    inside, open_quads, size = [], [(0, 0, 0)], GRID  # (first place, column, row) of quads of one size
+    while open_quads and size > 1 and len(inside) + len(open_quads) < most:
+        size //= 2
+        halves, open_quads = open_quads, []
+        for first, x, y in halves:
+            for k, (dx, dy) in enumerate(((0, 0), (0, size), (size, 0), (size, size))):
+                a, b, start = x + dx, y + dy, first + k * size * size
+                if a > east or a + size - 1 < west or b > north or b + size - 1 < south:
+                    continue
+                whole = west <= a and a + size - 1 <= east and south <= b and b + size - 1 <= north
+                if whole:
+                    inside.append((start, start + size * size - 1))
+                else:
+                    open_quads.append((start, a, b))
+    return _merged_ranges([*inside, *((start, start + size * size - 1) for start, _, _ in open_quads)])
+
+
+def _merged_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    merged: list[tuple[int, int]] = []
+    for low, high in sorted(ranges):
+        if merged and low <= merged[-1][1] + 1:
+            merged[-1] = merged[-1][0], max(merged[-1][1], high)
+        else:
+            merged.append((low, high))
+    return merged
 
 
 def ring_area(ring: Column) -> Column:

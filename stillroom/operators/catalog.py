@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from stillroom.functions.expressions import quote_column
 from stillroom.functions.geo import is_geography
 from stillroom.operators.tables import tables_below
+from stillroom.operators.versions import read_table
 
 LISTING = T.StructType(
     [
@@ -55,7 +56,7 @@ def list_root(spark: SparkSession, root: str) -> DataFrame:
     rows = []
     for name, path in sorted(tables_below(spark, root).items()):
         database, _, table = name.rpartition(".")
-        rows += _rows(database or None, table, spark.read.parquet(path).schema)
+        rows += _rows(database or None, table, read_table(spark, path).schema)
     return spark.createDataFrame(rows, LISTING)
 
 

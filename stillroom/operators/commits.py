@@ -5,12 +5,14 @@ Works on tables of per-file changes and file contents; reading a repository itse
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stillroom.functions.expressions import content_hash, epoch_to_utc
 from stillroom.operators.changes import settled
 from stillroom.operators.model import Model
+from stillroom.operators.versions import VersionedTable
 
 FILE_SIZE_LIMIT = 10 * 1024**2
 PART_BYTES, SEPARATOR = 64 * 1024, ", "
@@ -139,3 +141,25 @@ def new_contents(files: DataFrame, known_hashes: DataFrame | None = None, size_l
     if known_hashes is None:
         return first
     return first.join(known_hashes.select("file_hash").distinct(), "file_hash", "left_anti")
+
+
+def hash_index(spark: SparkSession, path: str) -> VersionedTable:
+    """A table of the hashes that were analysed, dealt by their prefixes to sorted files."""
+    schema = T.StructType([T.StructField("file_hash", T.StringType(), False), T.StructField("file_id", T.LongType()), T.StructField("run", T.StringType())])
+    return VersionedTable.create(spark, path, schema, keys=["file_hash"])
+
+
+def take_new_contents(files: DataFrame, index: VersionedTable, token: str, size_limit: int | None = FILE_SIZE_LIMIT) -> DataFrame:
+    """``new_contents`` against an index of all earlier runs, to which the new hashes are added under ``token``.
+
+    What is read of the index follows from the new contents: files whose range or Bloom filter holds none of their hashes
+    are not opened. A run that is repeated under its token gives the same rows.
+    """
+    first = settled(new_contents(files, None, size_limit), "contents")
+    match = [["file_hash", "file_hash"]]
+    known = settled(index.matching(first.select("file_hash"), match), "known-contents")
+    # Hashes that this very run added before it broke off are new all the same.
+    own = first.join(known.select("file_hash", "run"), "file_hash", "left")
+    fresh = settled(own.filter((F.col("run").isNull()) | (F.col("run") == token)).select("file_hash", "file_id"), "new-contents")
+    index.append(fresh.withColumn("run", F.lit(token)), token)
+    return fresh

@@ -28,7 +28,9 @@ import uuid
 from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 from itertools import accumulate
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -37,6 +39,7 @@ from pyspark.sql import types as T
 
 from stillroom import files
 from stillroom.functions.expressions import quote_column
+from stillroom.functions.geo import box_cells, in_box
 from stillroom.operators import changes as C
 from stillroom.operators.conditions import Match
 from stillroom.schema import align, enforce_not_null
@@ -240,6 +243,20 @@ class VersionedTable:
         entries = (live if where is None else live.filter(where)).select("file", "deletes").collect()  # names, as Spark's own file index holds
         return self._rows(of, entries).select([_c(f.name) for f in of.schema.fields])
 
+    def matching(self, keys: DataFrame, match: Match | C.Pairs) -> DataFrame:
+        """The rows that have a partner among ``keys``; only files that may hold one are read."""
+        now, match = self.version(), C._as_match(match)
+        source = C.settled(C.prefixed(keys, sorted(match.source_columns), match).distinct(), "wanted-keys")
+        rows = self._rows(now, self._touched(now, source, match))
+        return rows.join(source, C._on(match), "left_semi").select([_c(f.name) for f in now.schema.fields])
+
+    def in_box(self, lon: str, lat: str, box: tuple[float, float, float, float]) -> DataFrame:
+        """The points in a box (min_lon, max_lon, min_lat, max_lat) of a table whose first key is their ``geo.cell``; only
+        files with places on the curve that the box covers are opened."""
+        ranges = box_cells(*box)
+        meets = reduce(or_, [(F.col("low") <= high) & (F.col("high") >= low) for low, high in ranges], F.lit(False))
+        return self.read(where=meets).filter(in_box(quote_column(lon), quote_column(lat), *box))
+
     def _write(self, of: Version, df: DataFrame, n_files: int | None = None) -> str:
         """Store rows as new files and return their folder; rows are checked against the table's definition."""
         folder = self._name()

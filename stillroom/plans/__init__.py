@@ -34,4 +34,4 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from stillroom.plans import external, geography, history, listing, loads, maintenance, publishing, streams, versioned  # noqa: F401
+    from stillroom.plans import external, further, geography, history, listing, loads, maintenance, publishing, streams, versioned  # noqa: F401

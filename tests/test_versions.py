@@ -263,3 +263,37 @@ def test_empty_tables_and_declared_columns(spark, path):
     with pytest.raises(Exception, match="NOT NULL"):
         made.append(spark.createDataFrame([(None, "x")], "id long, `Odd ``name``` string"))
     assert bag(made.read()) == [(1, "x")]
+
+
+def test_boxes_open_few_files(spark, path):
+    from stillroom.functions import geo
+
+    rows = spark.range(40_000).select("id", (F.rand(3) * 360 - 180).alias("lon"), (F.rand(4) * 180 - 90).alias("lat")).withColumn("cell", geo.cell("lon", "lat"))
+    made = VersionedTable.create(spark, path("geo"), rows.schema, keys=["cell"])
+    made.spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.createDataFrame(rows.collect(), rows.schema)
+        made._commit(made.version(), [made._log(made._described(made.version(), made._write(made.version(), rows, 64)))], None)
+    finally:
+        made.spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    everything = made.files().count()
+    for box in ((10.0, 46.0, 20.0, 38.0), (-180.0, -150.0, -90.0, -70.0), (175.0, -170.0, -20.0, 20.0), (5.0, 5.0, 5.0, 5.0)):
+        found = made.in_box("lon", "lat", box)
+        assert bag(found) == bag(rows.filter(geo.in_box("lon", "lat", *box)))
+        assert len(found.inputFiles()) < 0.1 * everything
+    assert made.in_box("lon", "lat", (0.0, 1.0, 5.0, 4.0)).isEmpty()
+    assert made.in_box("lon", "lat", (-180.0, 180.0, -90.0, 90.0)).count() == 40_000
+
+
+def test_an_index_of_hashes_reads_what_new_contents_ask(spark, path):
+    from stillroom.operators import commits
+
+    index = commits.hash_index(spark, path("hashes"))
+    old = spark.range(6000).select(F.col("id").alias("file_id"), F.col("id").cast("string").alias("content"))
+    for k in range(3):
+        assert commits.take_new_contents(old.filter(F.col("file_id") % 3 == k), index, f"old-{k}").count() == 2000
+    new = spark.createDataFrame([(7000, "5"), (7001, "new"), (7002, "new")], "file_id long, content string")
+    assert [tuple(r)[1:] for r in commits.take_new_contents(new, index, "new-0").collect()] == [(7001,)]
+    assert [tuple(r)[1:] for r in commits.take_new_contents(new, index, "new-0").collect()] == [(7001,)]  # as when it broke off
+    assert commits.take_new_contents(new, index, "new-1").count() == 0 and index.count() == 6001
+    assert commits.take_new_contents(old, index, "all-again").count() == 0
