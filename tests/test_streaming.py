@@ -119,7 +119,7 @@ def test_upserts_and_deletes_in_any_order(spark, path, ratio, most):
 WIDE = T.StructType([T.StructField("k", T.LongType()), T.StructField("at", T.LongType()), T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("c", T.VariantType())])
 
 
-@pytest.mark.parametrize(("ratio", "most"), [(0.01, 32), (1000, 32), (1000, 2)])
+@pytest.mark.parametrize(("ratio", "most"), [(0.01, 32), (1000, 2)])
 def test_changes_of_columns_in_any_order(spark, path, ratio, most):
     """Updates of one key and different columns, before and after its upserts and deletes, in any order of batches."""
     changes = [
@@ -131,7 +131,7 @@ def test_changes_of_columns_in_any_order(spark, path, ratio, most):
         ("update", (6, 2, "a2", None)), ("upsert", (6, 4, "a4", "b4")),
     ]
     expected = [(1, 5, "a5", "b3"), (2, 4, "a2", "b4"), (3, 9, "a9", "b7"), (6, 4, "a4", "b4")]
-    for turn in range(4):
+    for turn in range(2):
         random.Random(turn).shuffle(changes)
         table = KeyedTable(spark, path(f"w{turn}"), WIDE, ["k"], ["at"], merge_ratio=ratio, max_additions=most)
         for i, (action, values) in enumerate(changes):
