@@ -224,9 +224,11 @@ class _Sets:
     """The classes of ``docs``: rows of documents, and one row for each different set."""
 
     def __init__(self, docs: DataFrame):
-        self.texts = docs.select(docs["doc_id"], F.xxhash64(docs["doc_id"], docs["text"]).alias("loc"), docs["text"])
+        # Ids go through the tasks as text: beside a null, pandas would make them floating-point numbers.
+        self.texts = docs.select(docs["doc_id"].cast("string"), F.xxhash64(docs["doc_id"], docs["text"]).alias("loc"), docs["text"])
         of_id = docs.schema["doc_id"].dataType.simpleString()
-        self.marked = stored(self.texts.mapInPandas(_marks, f"doc_id {of_id}, loc long, n long, set binary, sig binary, bands array<long>"), "marked")
+        marked = self.texts.mapInPandas(_marks, "doc_id string, loc long, n long, set binary, sig binary, bands array<long>")
+        self.marked = stored(marked.withColumn("doc_id", F.col("doc_id").cast(of_id)), "marked")
         known = self.marked.filter("set IS NOT NULL").groupBy("set", "n", "sig", "bands")
         self.sets = stored(known.agg(F.min("doc_id").alias("least"), F.min("loc").alias("loc")), "sets")
 

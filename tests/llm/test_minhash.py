@@ -90,6 +90,12 @@ def test_classes_of_null_ids(spark):
     assert found(M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == sorted([(None, 3, None)] * 2 + [(None, 0, None)] * 2 + [(3, 0, 3)], key=str)
 
 
+def test_large_ids_beside_nulls_are_kept(spark):
+    big = 2**62 + 1
+    rows = [(None, "a b c d e"), (big, "one two three four five"), (big + 1, "one two three four five"), (big + 2, "other words in this text")]
+    assert found(M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == sorted(brute(rows), key=str)
+
+
 def test_signatures_estimate_similarity():
     rnd = np.random.default_rng(1)
     pool = np.unique(rnd.integers(0, 1 << 63, 10_000, dtype=np.uint64))
