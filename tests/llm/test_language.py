@@ -1,6 +1,9 @@
+import math
+
 import numpy as np
 import pytest
 
+from stillroom.llm import language as L
 from stillroom.llm.language import BUCKETS, codes_of, counts_of, fit_temperature, grams_of, identify, keep_identified, predictor, softmax, train
 
 WORDS = {
@@ -98,3 +101,45 @@ def test_temperature_has_the_least_loss():
 
 def test_predictor_without_a_model(hard):
     assert {r[0]["lang_pred"] for r in hard.select(predictor(None)(hard["text"])).collect()} == {"und"}
+
+
+def plain_ftrl(rows, n_languages, epochs, alpha, beta, l1, l2):
+    """Follow the regularised leader, one coordinate of one language at a time; (language, bucket) to weight."""
+    z, n = {}, {}
+
+    def weight(c, b):
+        zc = z.get((c, b), 0.0)
+        if abs(zc) <= l1:
+            return 0.0
+        return -(zc - math.copysign(l1, zc)) / ((beta + math.sqrt(n.get((c, b), 0.0))) / alpha + l2)
+
+    for epoch in range(epochs):
+        for k in np.random.default_rng(epoch).permutation(len(rows)):
+            found, values, language = rows[k]
+            x = [*zip(found.tolist(), values.tolist()), (L.BUCKETS, 1.0)]
+            w = {(c, b): weight(c, b) for c in range(n_languages) for b, _ in x}
+            margins = [sum(w[c, b] * v for b, v in x) for c in range(n_languages)]
+            e = [math.exp(m - max(margins)) for m in margins]
+            for c in range(n_languages):
+                off = e[c] / sum(e) - (c == language)
+                for b, v in x:
+                    g, before = off * v, n.get((c, b), 0.0)
+                    sigma = (math.sqrt(before + g * g) - math.sqrt(before)) / alpha
+                    z[c, b] = z.get((c, b), 0.0) + g - sigma * w[c, b]
+                    n[c, b] = before + g * g
+    return {key: weight(*key) for key in z}
+
+
+def test_training_against_a_plain_version():
+    rnd = np.random.default_rng(5)
+    rows = []
+    for _ in range(60):
+        language = int(rnd.integers(3))
+        found = np.sort(rnd.choice(np.arange(10) + 10 * language * int(rnd.random() < 0.8), size=4, replace=False))
+        rows.append((found, rnd.random(4), language))
+    for settings in ((2, 1.0, 1.0, 0.005, 0.01), (1, 0.3, 2.0, 0.2, 0.0), (3, 0.5, 1.0, 0.0, 1.0)):
+        weights, bias = L.fit_rows(rows, 3, *settings)
+        expected = plain_ftrl(rows, 3, *settings)
+        assert np.count_nonzero(weights) == sum(w != 0 for (_, b), w in expected.items() if b < L.BUCKETS)
+        for (c, b), w in expected.items():
+            assert (bias[c] if b == L.BUCKETS else weights[c, b]) == pytest.approx(w, abs=1e-9)
