@@ -7,8 +7,10 @@ import math
 import re
 import time
 import uuid
+from bisect import bisect_left, insort
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -23,6 +25,8 @@ from stillroom.schema import align, enforce_not_null, escaped_token
 FILE_BYTES = 128 * 1024**2
 PARTS_PER_OUTPUT = 5
 TABLES_AT_A_TIME = 4
+#: Output files of one job of a dense rewrite.
+BINS_A_JOB = 64
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 MODES = ("create", "create_if_missing", "replace", "append")
@@ -399,6 +403,66 @@ def packed(df: DataFrame, input_bytes: int, file_bytes: int = FILE_BYTES) -> Dat
     return df.coalesce(max(1, math.ceil(input_bytes / file_bytes)))
 
 
+def best_bins(sizes: Sequence[int], room: int) -> list[list[int]]:
+    """Places of ``sizes`` in bins of ``room``: the largest first, each to the fullest bin that still holds it. A size
+    beyond the room has a bin for itself."""
+    bins: list[list[int]] = []
+    left: list[tuple[int, int]] = []  # (room left, bin), in order
+    for at in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+        found = bisect_left(left, (sizes[at], -1))
+        rest, number = left.pop(found) if found < len(left) else (room, len(bins))
+        if number == len(bins):
+            bins.append([])
+        bins[number].append(at)
+        if rest > sizes[at]:
+            insort(left, (rest - sizes[at], number))
+    return bins
+
+
+def rewrite_dense(spark: SparkSession, source: str, target: str, file_bytes: int = FILE_BYTES) -> int:
+    """Copy a plain table so that its files come near ``file_bytes``, whatever sizes it has, and return their number.
+
+    Files of a partition are packed into bins by their sizes, and each bin is one task that reads its files and writes
+    one; larger files are cut at their row groups into equal parts. Nothing is shuffled. Only names and sizes pass the
+    driver, and the table appears when it is whole. A file of one row group cannot be cut.
+    """
+    if files.exists(spark, target):
+        raise FileExistsError(target)
+    recover(spark, source)
+    whole = spark.read.option("mergeSchema", True).parquet(source).schema
+    inner = T.StructType([f for f in whole.fields if f.name not in partition_columns(spark, source)])
+    root, staged = _parts(source)[1], _beside(target, "dense")
+    folders: dict[str, list[files.Entry]] = {}
+    for entry in files.walk(spark, source):
+        inside = entry.path[entry.path.rindex(f"/{root}/") + len(root) + 2 :]
+        if entry.length and not any(part.startswith(("_", ".")) for part in inside.split("/")):
+            folders.setdefault(inside.rpartition("/")[0], []).append(entry)
+
+    def read(session: SparkSession, paths: Sequence[str]) -> DataFrame:
+        return session.read.schema(inner).option("recursiveFileLookup", True).parquet(*paths)
+
+    apart = spark.newSession()  # in which a union of single partitions does not put these together
+    apart.conf.set("spark.sql.unionOutputPartitioning", "false")
+    for folder, entries in folders.items():
+        bins = best_bins([e.length for e in entries], file_bytes)
+        large = [entries[b[0]] for b in bins if entries[b[0]].length > file_bytes]
+        packed_bins = [[entries[k].path for k in b] for b in bins if entries[b[0]].length <= file_bytes]
+        place = f"{staged}/{folder}".rstrip("/")
+        for at in range(0, len(packed_bins), BINS_A_JOB):
+            parts = [read(apart, paths).coalesce(1) for paths in packed_bins[at : at + BINS_A_JOB]]
+            reduce(DataFrame.union, parts).write.mode("append").parquet(place)
+        for entry in large:
+            session = spark.newSession()  # the size of its splits is a setting of the session that reads
+            session.conf.set("spark.sql.files.maxPartitionBytes", str(-(-entry.length // max(1, round(entry.length / file_bytes)))))
+            session.conf.set("spark.sql.files.minPartitionNum", "1")
+            session.conf.set("spark.sql.files.openCostInBytes", "0")
+            read(session, [entry.path]).write.mode("append").parquet(place)
+    if not folders:
+        spark.createDataFrame([], whole).write.parquet(staged)
+    files.rename(spark, staged, target)
+    return sum(1 for e in files.walk(spark, target) if e.name.endswith(".parquet"))
+
+
 def batched_parts(df: DataFrame, parts: int, per_output: int = PARTS_PER_OUTPUT) -> DataFrame:
     """Join small exported parts, ``per_output`` to one output file."""
     return df.coalesce(max(1, math.ceil(parts / per_output)))

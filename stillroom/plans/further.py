@@ -178,3 +178,13 @@ def box_on_layout(spark, sf_dir):
     boxes = {"alps": (5.9962, 30.5226, 35.8389, 47.8229), "date line": (170.0, -165.0, -45.0, 10.0)}
     found = [kept.in_box("lon", "lat", box).select(F.lit(name).alias("box"), "event_id") for name, box in boxes.items()]
     return found[0].unionByName(found[1])
+
+
+@plan("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def dense_rewrite(spark, sf_dir):
+    """A table of very uneven files written anew in files of like size."""
+    orders, root = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), scratch_path(spark, "uneven")
+    size = F.floor(F.log2((F.col("o_orderkey") % 1000 + 1).cast("double"))).alias("size")  # each about twice the one before
+    orders.repartition(10, size).write.parquet(f"{root}/old")
+    tables.rewrite_dense(spark, f"{root}/old", f"{root}/new", file_bytes=200_000)
+    return spark.read.parquet(f"{root}/new")

@@ -338,3 +338,36 @@ def test_key_sets_that_form_no_tree():
         join_tree(Model().foreign_key("a", "b", "zz", "b"), ["a"])
     with pytest.raises(ModelError):
         Model().foreign_key("a", ["x", "y"], "b", ["x"])
+
+
+def test_bins_are_full_and_hold_everything_once():
+    import random
+
+    rnd = random.Random(2)
+    sizes = [rnd.choice([rnd.randrange(1, 20), rnd.randrange(1, 100), 250]) for _ in range(300)]
+    bins = tables.best_bins(sizes, 100)
+    assert sorted(k for b in bins for k in b) == list(range(300))
+    fill = [sum(sizes[k] for k in b) for b in bins if sizes[b[0]] <= 100]
+    assert max(fill) <= 100 and all(len(b) == 1 for b in bins if sizes[b[0]] > 100) and sorted(fill)[2] >= 90
+    assert tables.best_bins([], 10) == []
+
+
+@pytest.mark.parametrize("by", [[], ["p"]])
+def test_a_dense_rewrite_of_very_uneven_files(spark, path, by):
+    rows = spark.range(12_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"), (F.col("id") % 2).alias("p"))
+    cuts = [0, 50, 130, 150, 400, 420, 1000, 1900, 2000, 2300, 7500, 7600, 8000, 9500, 9600, 11_000, 11_200, 11_900, 12_000]
+    for low, high in zip(cuts, cuts[1:]):
+        writer = rows.filter((F.col("id") >= low) & (F.col("id") < high)).coalesce(1).write.mode("append").option("parquet.enable.dictionary", False)
+        writer = writer.option("parquet.block.size", 32_768) if high - low > 4000 else writer
+        (writer.partitionBy(*by) if by else writer).parquet(path("uneven"))
+    sizes = [e.length for e in files.walk(spark, path("uneven")) if e.name.endswith(".parquet")]
+    target = 120_000 if by else 240_000
+    n = tables.rewrite_dense(spark, path("uneven"), path("dense"), target)
+    dense = [e.length for e in files.walk(spark, path("dense")) if e.name.endswith(".parquet")]
+    assert len(dense) == n < len(sizes) and sorted(spark.read.parquet(path("dense")).columns) == ["id", "p", "text"]
+    back = spark.read.parquet(path("dense")).select(rows.columns)
+    assert back.count() == 12_000 and back.exceptAll(rows.withColumn("p", F.col("p").cast(back.schema["p"].dataType))).isEmpty()
+    near = [x for x in dense if 0.8 * target <= x <= 1.2 * target]
+    assert len(near) >= len(dense) - (2 if by else 1), (target, sorted(dense), sorted(sizes))
+    with pytest.raises(FileExistsError):
+        tables.rewrite_dense(spark, path("uneven"), path("dense"), target)
