@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from stillroom.functions import geo
 from stillroom.functions.expressions import quote_column
 from stillroom.operators import changes, commits, tables
-from stillroom.operators.versions import VersionedTable
+from stillroom.operators.versions import VersionedTable, read_table
 from stillroom.plans import plan, table, table_path
 from stillroom.plans.streams import event_files, event_stream
 from stillroom.schema import describe, struct_from_types
@@ -15,8 +15,6 @@ from stillroom.sources.files import attach, detach
 from stillroom.sources.rows import fetch_rows, write_rows
 from stillroom.streaming.apply import append_stream, read_stream
 
-NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-
 
 @plan("""
 SELECT 'events' AS table_name, event_id AS id, event_type AS name FROM events
@@ -93,7 +91,7 @@ FROM information_schema.columns
 """)
 def table_definitions(spark, sf_dir):
     """The definition of every table, as written down for a new one."""
-    rows = [(name, *column) for name in NAMES for column in describe(table(spark, sf_dir, name).schema)]
+    rows = [(name, *column) for name, path in tables.tables_below(spark, sf_dir).items() for column in describe(read_table(spark, path).schema)]
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, nullable boolean")
 
 
